@@ -1,8 +1,9 @@
 """Additive ridge model: piecewise linear trend plus Fourier seasons, per series.
 
 The model form follows Taylor & Letham, "Forecasting at Scale" (2018). The fit needs only sums
-of products, so a series is never gathered: Arrow batches of one (series, time block) become
-one d x d sum each, and the few sums of a series are added and solved in a second, small step.
+of products, and the model terms depend on the day alone. So Spark first reduces each day of a
+series to (count, sum, sum of squares); the days of one (series, time block) become one d x d
+sum; the few sums of a series are added and solved. No step sees more than one block of days.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from sparkseries.functions.timegrid import ORIGIN, day_index
 from sparkseries.operators.forecast import INTERVAL_WIDTH, interval_z
+from sparkseries.operators.rank import null_safe
 from sparkseries.operators.splits import series_bounds
 
 # Shape of the additive model.
@@ -61,21 +63,26 @@ def fit_additive_ridge(
     l2_season: float = 0.1,
     block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
-    """One model row per series: (keys, n_obs, first_ds, last_ds, weights, sigma).
-
-    `y` is expected once per day and series (resample first), so a block is bounded by its days.
-    """
+    """One model row per series: (keys, n_obs, first_ds, last_ds, weights, sigma)."""
     keys = list(keys)
     key_fields = [df.schema[k] for k in keys]
-    data = df.where(F.col(y).isNotNull()).select(*keys, F.col(ds).cast("date").alias("ds"), F.col(y).alias("y"))
-    bounds = series_bounds(data, keys, "ds")
+    v = F.col(y).cast("double")
+    days = (
+        df.where(F.col(y).isNotNull())
+        .groupBy(*keys, F.col(ds).cast("date").alias("ds"))
+        .agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(v).alias("_y"), F.sum(v * v).alias("_yy"))
+    )
+    names = [f"_k{i}" for i in range(len(keys))]
+    bounds = series_bounds(days, keys, "ds").select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)],
+        day_index(F.col("first_ds")).cast("double").alias("_first"),
+        day_index(F.col("last_ds")).cast("double").alias("_last"),
+    )
     rows = (
-        data.join(bounds, keys)
-        .withColumn("_day", day_index(F.col("ds")).cast("double"))
+        days.withColumn("_day", day_index(F.col("ds")).cast("double"))
         .withColumn("_block", F.floor(F.col("_day") / block_days))
-        .select(*keys, "_block", "_day", F.col("y").cast("double").alias("y"),
-                day_index(F.col("first_ds")).cast("double").alias("_first"),
-                day_index(F.col("last_ds")).cast("double").alias("_last"))
+        .join(bounds, null_safe(keys, names))
+        .select(*keys, "_block", "_day", "_n", "_y", "_yy", "_first", "_last")
     )
     sums_schema = T.StructType(
         [*key_fields,
@@ -85,9 +92,12 @@ def fit_additive_ridge(
 
     def block_sums(pdf: pd.DataFrame) -> pd.DataFrame:
         x = design(pdf["_day"].to_numpy(), pdf["_first"].to_numpy(), pdf["_last"].to_numpy())
-        z = np.column_stack([x, pdf["y"].to_numpy()])
+        g = np.zeros((N_TERMS + 1, N_TERMS + 1))
+        g[:-1, :-1] = x.T @ (x * pdf["_n"].to_numpy()[:, None])
+        g[:-1, -1] = x.T @ pdf["_y"].to_numpy()
+        g[-1, -1] = pdf["_yy"].sum()
         out = pdf[[*keys, "_first", "_last"]].iloc[:1].copy()
-        out["_sums"] = [(z.T @ z).ravel()]
+        out["_sums"] = [g.ravel()]
         return out
 
     model_schema = T.StructType(

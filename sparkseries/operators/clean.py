@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkseries.functions.text import READING_FORMAT, parse_decimal, parse_timestamp, to_number
@@ -31,10 +31,15 @@ def clean_readings(
     )
 
 
+def as_date(df: DataFrame, date: str) -> Column:
+    """The day of a column; bad text gives null instead of an error."""
+    col = F.col(date)
+    return col.try_cast("date") if dict(df.dtypes)[date] == "string" else col.cast("date")
+
+
 def to_series(df: DataFrame, date: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, ds, y) with an explicit date and a tolerant double."""
-    ds = F.col(date).try_cast("date") if dict(df.dtypes)[date] == "string" else F.col(date).cast("date")
-    return df.select(*keys, ds.alias("ds"), to_number(F.col(value)).alias("y"))
+    return df.select(*keys, as_date(df, date).alias("ds"), to_number(F.col(value)).alias("y"))
 
 
 def between_dates(df: DataFrame, date: str, start: str, end: str) -> DataFrame:
@@ -45,6 +50,8 @@ def between_dates(df: DataFrame, date: str, start: str, end: str) -> DataFrame:
     dtype = dict(df.dtypes)[date]
     if dtype == "date":
         return df.where(F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    if dtype == "string":
+        return df.where(as_date(df, date).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     kind = "timestamp_ntz" if dtype == "timestamp_ntz" else "timestamp"
     after = F.date_add(F.lit(end).cast("date"), 1).cast(kind)
     return df.where((F.col(date) >= F.lit(start).cast(kind)) & (F.col(date) < after))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkseries.operators.rank import with_neighbours, with_position
+from sparkseries.operators.rank import null_safe, with_neighbours, with_position
 
 # The lag set of the hourly panel (hours; 168 is one week).
 HOURLY_LAGS = (1, 2, 3, 4, 5, 12, 24, 168)
@@ -113,19 +113,17 @@ def ema(
             {f"_tail{k}": last.over(runs.rangeBetween(-k, -k)) for k in (1, 2)}
         )
     else:
+        names = [f"_k{n}" for n in range(len(part))]
         ends = rows.where(F.col("_i") == span - 1).select(
-            *[F.col(k).alias(f"_k{n}") for n, k in enumerate(part)], F.col("_run").alias("_r"), "_local"
+            *[F.col(k).alias(n) for k, n in zip(part, names)], F.col("_run").alias("_r"), "_local"
         )
         for k in (1, 2):
             tail = ends.select(
-                *[c for c in ends.columns if c.startswith("_k")],
+                *names,
                 (F.col("_r") + k).alias("_r"),
                 F.col("_local").alias(f"_tail{k}"),
             )
-            cond = F.col("_run") == F.col("_r")
-            for n, name in enumerate(part):
-                cond = cond & F.col(name).eqNullSafe(F.col(f"_k{n}"))
-            rows = rows.join(tail, cond, "left").drop("_r", *[f"_k{n}" for n in range(len(part))])
+            rows = rows.join(tail, null_safe([*part, "_run"], [*names, "_r"]), "left").drop("_r", *names)
     carried = F.coalesce(F.col("_tail1"), F.lit(0.0)) + F.lit(q**span) * F.coalesce(
         F.col("_tail2"), F.lit(0.0)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkseries.functions import scoring
+from sparkseries.operators.rank import null_safe
 
 PLAIN = {
     "mse": scoring.mse,
@@ -39,15 +40,15 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> Data
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], _SKETCH_ACCURACY).alias("_mark"),
     )
-    cond = F.lit(True)
-    for key, name in zip(by, names):
-        cond = cond & F.col(key).eqNullSafe(F.col(name))
+    if by:
+        rows = rows.join(marks, null_safe(by, names))
+    else:
+        rows = rows.select("*", *[marks.select(c).scalar().alias(c) for c in ("_n", "_mark")])
     low, high = F.col("_mark")[0], F.col("_mark")[1]
     # Rows below the bracket fall into one counting row per group (null value, sorted first).
     side = F.when(F.col("_v") >= low, F.col("_v"))
     counted = (
-        rows.join(marks, cond)
-        .where(F.col("_v") <= high)
+        rows.where(F.col("_v") <= high)
         .groupBy(*by, side.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"), F.any_value("_n").alias("_n"))
     )
@@ -97,14 +98,10 @@ def score(
         middle = exact_median(df.withColumn("_ape", ape), by, "_ape", "mdape")
         if by:
             names = [f"_m{i}" for i in range(len(by))]
-            cond = F.lit(True)
-            for key, name in zip(by, names):
-                cond = cond & F.col(key).eqNullSafe(F.col(name))
             middle = middle.select(*[F.col(k).alias(n) for k, n in zip(by, names)], "mdape")
-            out = out.join(middle, cond, "left").drop(*names)
+            out = out.join(middle, null_safe(by, names), "left").drop(*names)
         else:
-            one = F.lit(1).alias("_one")
-            out = out.select("*", one).join(middle.select("*", one), "_one", "left").drop("_one")
+            out = out.withColumn("mdape", middle.scalar())
     return out.select(*by, "n_rows", *metrics)
 
 
@@ -128,21 +125,15 @@ def score_by_horizon(
     ahead = F.datediff(F.col(ds), F.col(cutoff))
     rows = df.withColumn("horizon", ahead)
     if window > 1:
-        last = rows.groupBy(*by).agg(F.max("horizon").alias("_last"))
         if by:
-            rows = rows.join(last, list(by))
+            names = [f"_b{i}" for i in range(len(by))]
+            last = rows.groupBy(*[F.col(k).alias(n) for k, n in zip(by, names)]).agg(F.max("horizon").alias("_last"))
+            rows = rows.join(last, null_safe(by, names)).drop(*names)
         else:
-            one = F.lit(1).alias("_one")
-            rows = rows.select("*", one).join(last.select("*", one), "_one").drop("_one")
-        reach = F.sequence(
-            F.greatest(F.col("horizon"), F.lit(window)),
-            F.least(F.col("horizon") + window - 1, F.col("_last")),
-        )
-        reach = F.when(
-            F.least(F.col("horizon") + window - 1, F.col("_last"))
-            >= F.greatest(F.col("horizon"), F.lit(window)),
-            reach,
-        )
+            rows = rows.withColumn("_last", rows.agg(F.max("horizon")).scalar())
+        first = F.greatest(F.col("horizon"), F.lit(window))
+        final = F.least(F.col("horizon") + window - 1, F.col("_last"))
+        reach = F.when(final >= first, F.sequence(first, final))
         rows = rows.withColumn("horizon", F.explode(reach)).drop("_last")
     return score(rows, y, yhat, [*by, "horizon"], metrics, **options)
 

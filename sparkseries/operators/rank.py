@@ -4,9 +4,10 @@ Two forms with the same result:
 
 - plain: one window per series. Right for resampled series, whose length is bounded by the time
   span (a year of hours is 8,760 rows) however many raw readings they stand for.
-- blocked: for raw series of any length. Rows are numbered inside (series, time block); the
-  offset of a block is the running sum of the block counts, a table of one row per series and
-  block. A series that holds a third of all rows is spread over its blocks.
+- blocked: for raw series of any length. Rows are counted by (series, time block), a table that
+  running sums turn into offsets; consecutive blocks are merged into chunks of about
+  `chunk_rows` rows, and rows are numbered inside (series, chunk). A series, or a day, that
+  holds a third of all rows becomes many chunks as long as the block is fine enough.
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ def with_position(
     pos: str = "pos",
     total: str | None = None,
     block: Column | None = None,
+    chunk_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add the 1-based position by `order` and, on request, the series length.
 
     `order` should be unique inside a series; add a tie-break column where it is not. `block`
-    is a non-decreasing function of the first order column, such as its day.
+    is a non-decreasing function of the first order column, such as its minute; only rows of
+    one block are sure to share a task.
     """
     if block is None:
         series = Window.partitionBy(*keys)
@@ -36,28 +39,26 @@ def with_position(
         return out.withColumn(total, F.count(F.lit(1)).over(series)) if total else out
 
     rows = df.withColumn("_block", block)
-    by_block = Window.partitionBy(*keys).orderBy("_block")
+    names = [f"_k{i}" for i in range(len(keys))]
+    in_order = Window.partitionBy(*names).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        rows.groupBy(*keys, "_block")
+        rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_block").alias("_kb"))
         .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn(
-            "_before",
-            F.coalesce(F.sum("_size").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-        .withColumn("_total", F.sum("_size").over(Window.partitionBy(*keys)))
-    )
-    joined = rows.alias("r").join(
-        sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                     F.col("_block").alias("_kb"), "_before", "_total"),
-        _null_safe([*keys, "_block"], [*(f"_k{i}" for i in range(len(keys))), "_kb"]),
+        .withColumn("_before", F.coalesce(F.sum("_size").over(in_order), F.lit(0)))
+        .withColumn("_total", F.sum("_size").over(Window.partitionBy(*names)))
+        .withColumn("_part", F.floor(F.col("_before") / chunk_rows))
+        .withColumn("_start", F.min("_before").over(Window.partitionBy(*names, "_part")))
+        .drop("_size", "_before")
     )
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    out = joined.withColumn(pos, (F.col("_before") + F.row_number().over(inside)).cast("long"))
+    joined = rows.join(sizes, null_safe([*keys, "_block"], [*names, "_kb"]))
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    out = joined.withColumn(pos, (F.col("_start") + F.row_number().over(inside)).cast("long"))
     extra = [F.col("_total").alias(total)] if total else []
     return out.select(*df.columns, pos, *extra)
 
 
-def _null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
+def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of two name lists under which a null key meets its own rows."""
     cond = F.lit(True)
     for a, b in zip(left, right):
         cond = cond & F.col(a).eqNullSafe(F.col(b))
@@ -83,7 +84,7 @@ def with_neighbours(
         return df, Window.partitionBy(*keys).orderBy(*order), None
     if max(before, after) > chunk_rows:
         raise ValueError("a chunk must be at least as long as the window reach")
-    rows = with_position(df, keys, order, pos="_pos", block=block)
+    rows = with_position(df, keys, order, pos="_pos", block=block, chunk_rows=chunk_rows)
     home = F.floor((F.col("_pos") - 1) / chunk_rows)
     offset = (F.col("_pos") - 1) % chunk_rows
     chunks = F.array_compact(

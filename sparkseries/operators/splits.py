@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkseries.operators.rank import with_position
+from sparkseries.operators.rank import null_safe, with_position
 
 
 def _ranked(df, keys, ts, block):
@@ -108,15 +108,12 @@ def cutoff_folds(
     bounds = series_bounds(df, keys, ds)
     names = [f"_k{i}" for i in range(len(keys))]
     bounds = bounds.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "first_ds", "last_ds")
-    cond = F.lit(True)
-    for key, name in zip(keys, names):
-        cond = cond & F.col(key).eqNullSafe(F.col(name))
-    rows = df.join(bounds, cond)
+    rows = df.join(bounds, null_safe(keys, names))
     most = F.floor((F.datediff("last_ds", "first_ds") - horizon - initial) / period)
     back = F.datediff(F.col("last_ds"), F.col(ds))
     # cutoff j lies horizon + j*period days before the last day
     newest_train = F.least(F.floor((back - horizon) / period), most)
-    oldest_test = F.least(F.ceil(back / period) - 1, most)
+    oldest_test = F.least(F.floor(back / period), most)
     first_test = F.greatest(F.floor((back - horizon) / period) + 1, F.lit(0))
 
     def spread(low, high, role):

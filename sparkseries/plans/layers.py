@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkseries.operators.clean import complete_rows, to_series
+from sparkseries.operators.clean import as_date, between_dates, complete_rows, to_series
 from sparkseries.operators.forecast import fit_trend_season, future_days, predict_trend_season
 from sparkseries.operators.metrics import score
 from sparkseries.plans.backtest import RunWindow, assign_runs, evaluation_rows, run_end
@@ -27,7 +27,9 @@ def bronze(raw: DataFrame, date: str, runs: Sequence[RunWindow], part: str) -> D
     The evaluation part starts after the train end; training years could never join a
     forecast.
     """
-    rows = raw.withColumn("_day", F.col(date).cast("date"))
+    # The outer bounds are on the raw column, so they reach the file scan.
+    rows = between_dates(raw, date, min(r.start for r in runs), max(r.eval_end for r in runs))
+    rows = rows.withColumn("_day", as_date(raw, date))
     return assign_runs(rows, "_day", runs).where(F.col("part") == part).drop("_day", "part")
 
 

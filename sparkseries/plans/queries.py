@@ -638,8 +638,8 @@ def _cv_out(alias=""):
 
 
 @query(
-    f"WITH {_CV_SQL}, g AS (SELECT CAST(unnest(range(9, 91)) AS INTEGER) AS at),"
-    f" k AS (SELECT series, at AS horizon, y, yhat, yhat_lower, yhat_upper FROM z JOIN g ON z.horizon BETWEEN at - 8 AND at)"
+    f"WITH {_CV_SQL}, g AS (SELECT CAST(unnest(range(9, 91)) AS INTEGER) AS ahead),"
+    f" k AS (SELECT series, ahead AS horizon, y, yhat, yhat_lower, yhat_upper FROM z JOIN g ON z.horizon BETWEEN ahead - 8 AND ahead)"
     f" SELECT series, CAST(horizon AS INTEGER) AS horizon, count(*) AS n_rows, {_cv_out()} FROM k GROUP BY 1, 2"
 )
 def scores_by_horizon(spark, sf):
@@ -948,7 +948,7 @@ _TUNED_SQL = (
 
 
 @query(
-    f"WITH {_TUNED_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, any_value(l2) + 0.0 AS l2, any_value(n_lags) + 0.0 AS n_lags,"
+    f"WITH {_TUNED_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, CAST(any_value(l2) AS DOUBLE) AS l2, CAST(any_value(n_lags) AS DOUBLE) AS n_lags,"
     f" round(any_value(cv_score), 6) + 0.0 AS cv_score, count(*) AS n_rows, {_err_sql(['rmse', 'mape'])} FROM e GROUP BY 1, 2"
 )
 def tuned_series_models(spark, sf):
