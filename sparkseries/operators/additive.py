@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from sparkseries.functions.timegrid import ORIGIN, day_index
 from sparkseries.operators.forecast import INTERVAL_WIDTH, interval_z
-from sparkseries.operators.rank import null_safe
+from sparkseries.operators.joins import join_on
 from sparkseries.operators.splits import series_bounds
 
 # Shape of the additive model.
@@ -72,16 +72,16 @@ def fit_additive_ridge(
         .groupBy(*keys, F.col(ds).cast("date").alias("ds"))
         .agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(v).alias("_y"), F.sum(v * v).alias("_yy"))
     )
-    names = [f"_k{i}" for i in range(len(keys))]
     bounds = series_bounds(days, keys, "ds").select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)],
+        *keys,
         day_index(F.col("first_ds")).cast("double").alias("_first"),
         day_index(F.col("last_ds")).cast("double").alias("_last"),
     )
+    days = days.withColumn("_day", day_index(F.col("ds")).cast("double")).withColumn(
+        "_block", F.floor(F.col("_day") / block_days)
+    )
     rows = (
-        days.withColumn("_day", day_index(F.col("ds")).cast("double"))
-        .withColumn("_block", F.floor(F.col("_day") / block_days))
-        .join(bounds, null_safe(keys, names))
+        join_on(days, bounds, keys)
         .select(*keys, "_block", "_day", "_n", "_y", "_yy", "_first", "_last")
     )
     sums_schema = T.StructType(

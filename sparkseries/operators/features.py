@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkseries.operators.rank import null_safe, with_neighbours, with_position
+from sparkseries.operators.joins import join_on
+from sparkseries.operators.rank import with_neighbours, with_position
 
 # The lag set of the hourly panel (hours; 168 is one week).
 HOURLY_LAGS = (1, 2, 3, 4, 5, 12, 24, 168)
@@ -113,17 +114,10 @@ def ema(
             {f"_tail{k}": last.over(runs.rangeBetween(-k, -k)) for k in (1, 2)}
         )
     else:
-        names = [f"_k{n}" for n in range(len(part))]
-        ends = rows.where(F.col("_i") == span - 1).select(
-            *[F.col(k).alias(n) for k, n in zip(part, names)], F.col("_run").alias("_r"), "_local"
-        )
+        ends = rows.where(F.col("_i") == span - 1)
         for k in (1, 2):
-            tail = ends.select(
-                *names,
-                (F.col("_r") + k).alias("_r"),
-                F.col("_local").alias(f"_tail{k}"),
-            )
-            rows = rows.join(tail, null_safe([*part, "_run"], [*names, "_r"]), "left").drop("_r", *names)
+            tail = ends.select(*part, (F.col("_run") + k).alias("_run"), F.col("_local").alias(f"_tail{k}"))
+            rows = join_on(rows, tail, [*part, "_run"], "left")
     carried = F.coalesce(F.col("_tail1"), F.lit(0.0)) + F.lit(q**span) * F.coalesce(
         F.col("_tail2"), F.lit(0.0)
     )

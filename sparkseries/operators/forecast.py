@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkseries.functions.timegrid import day_index
+from sparkseries.operators.joins import join_on
 from sparkseries.operators.splits import cutoff_folds
 
 # Fixed value: interval width of the additive model.
@@ -42,21 +43,24 @@ def fit_trend_season(
     the mean residuals per season; sigma is the sample deviation of what remains. A series
     without spread in time gets slope 0.
     """
-    t = day_index(F.col(ds)).cast("double")
-    v = F.col(y).cast("double")
+    # Rows that lack a side count for nothing. This is said in the sums and not as a filter, so
+    # that the input's plan stays the same as where it is read for other purposes.
+    both = F.col(ds).isNotNull() & F.col(y).isNotNull()
+    t = F.when(both, day_index(F.col(ds)).cast("double"))
+    v = F.when(both, F.col(y).cast("double"))
     sums = (
-        df.where(F.col(y).isNotNull() & F.col(ds).isNotNull())
-        .groupBy(*keys, SEASONS[season](F.col(ds)).alias("season"))
+        df.groupBy(*keys, SEASONS[season](F.col(ds)).alias("season"))
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count(v).alias("n"),
             F.sum(t).alias("t"),
             F.sum(v).alias("y"),
             F.sum(t * t).alias("tt"),
             F.sum(t * v).alias("ty"),
             F.sum(v * v).alias("yy"),
-            F.min(ds).alias("first_ds"),
-            F.max(ds).alias("last_ds"),
+            F.min(F.when(both, F.col(ds))).alias("first_ds"),
+            F.max(F.when(both, F.col(ds))).alias("last_ds"),
         )
+        .where("n > 0")
     )
     per_season = F.struct("season", "n", "t", "y", "tt", "ty", "yy")
     total = sums.groupBy(*keys).agg(
@@ -177,17 +181,17 @@ def rolling_origin(
 
     Returns (keys, cutoff, ds, y, yhat, yhat_lower, yhat_upper) for the test days.
     """
-    span = dict(initial=initial, period=period, horizon=horizon)
+    span = dict(initial=initial, period=period, horizon=horizon, value="y")
     by = [*keys, "cutoff"]
     data = df.select(*keys, F.col(ds).alias("ds"), F.col(y).alias("y"))
     train = cutoff_folds(data, keys, "ds", **span, roles=["train"])
     test = cutoff_folds(data, keys, "ds", **span, roles=["test"]).drop("role")
     if model == "trend_season":
         fitted = fit_trend_season(train, by)
-        return predict_trend_season(test.join(fitted, by), by, width, keep=["y"])
+        return predict_trend_season(join_on(test, fitted, by), by, width, keep=["y"])
     if model == "ridge":
         from sparkseries.operators.additive import fit_additive_ridge, predict_additive_ridge
 
         fitted = fit_additive_ridge(train, by)
-        return predict_additive_ridge(test.join(fitted, by), by, width, keep=["y"])
+        return predict_additive_ridge(join_on(test, fitted, by), by, width, keep=["y"])
     raise ValueError(f"unknown model {model!r}")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkseries.functions import scoring
-from sparkseries.operators.rank import null_safe
+from sparkseries.operators.joins import join_on
 
 PLAIN = {
     "mse": scoring.mse,
@@ -34,16 +34,12 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> Data
     counted; the few inside are counted by value and the middle ranks are read off.
     """
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    names = [f"_k{i}" for i in range(len(by))]
     margin = 2.0 / _SKETCH_ACCURACY
-    marks = rows.groupBy(*[F.col(k).alias(n) for k, n in zip(by, names)]).agg(
+    marks = rows.groupBy(*by).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], _SKETCH_ACCURACY).alias("_mark"),
     )
-    if by:
-        rows = rows.join(marks, null_safe(by, names))
-    else:
-        rows = rows.select("*", *[marks.select(c).scalar().alias(c) for c in ("_n", "_mark")])
+    rows = join_on(rows, marks, by)
     low, high = F.col("_mark")[0], F.col("_mark")[1]
     # Rows below the bracket fall into one counting row per group (null value, sorted first).
     side = F.when(F.col("_v") >= low, F.col("_v"))
@@ -96,12 +92,7 @@ def score(
     )
     if "mdape" in metrics and "mdape" not in aggs:
         middle = exact_median(df.withColumn("_ape", ape), by, "_ape", "mdape")
-        if by:
-            names = [f"_m{i}" for i in range(len(by))]
-            middle = middle.select(*[F.col(k).alias(n) for k, n in zip(by, names)], "mdape")
-            out = out.join(middle, null_safe(by, names), "left").drop(*names)
-        else:
-            out = out.withColumn("mdape", middle.scalar())
+        out = join_on(out, middle, by, "left")
     return out.select(*by, "n_rows", *metrics)
 
 
@@ -113,6 +104,7 @@ def score_by_horizon(
     cutoff: str = "cutoff",
     by: Sequence[str] = (),
     window: int = 1,
+    horizon: int | None = None,
     metrics: Sequence[str] = ("mse", "rmse", "mae", "mdape", "smape", "coverage"),
     **options,
 ) -> DataFrame:
@@ -120,17 +112,16 @@ def score_by_horizon(
 
     Each row counts for the horizons whose window reaches back to it, so any measure, also a
     median, is taken over the rows of the window. Horizons with an unfilled window are left
-    out. With window 1 this is the plain score per horizon.
+    out. With window 1 this is the plain score per horizon. `horizon` is the longest one; where
+    it is not given it is read from the rows.
     """
     ahead = F.datediff(F.col(ds), F.col(cutoff))
     rows = df.withColumn("horizon", ahead)
     if window > 1:
-        if by:
-            names = [f"_b{i}" for i in range(len(by))]
-            last = rows.groupBy(*[F.col(k).alias(n) for k, n in zip(by, names)]).agg(F.max("horizon").alias("_last"))
-            rows = rows.join(last, null_safe(by, names)).drop(*names)
+        if horizon is None:
+            rows = join_on(rows, rows.groupBy(*by).agg(F.max("horizon").alias("_last")), by)
         else:
-            rows = rows.withColumn("_last", rows.agg(F.max("horizon")).scalar())
+            rows = rows.withColumn("_last", F.lit(horizon))
         first = F.greatest(F.col("horizon"), F.lit(window))
         final = F.least(F.col("horizon") + window - 1, F.col("_last"))
         reach = F.when(final >= first, F.sequence(first, final))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkseries.functions import linalg
+from sparkseries.operators.joins import join_on
 from sparkseries.operators.metrics import score
 from sparkseries.operators.splits import holdout_fraction
 
@@ -65,7 +66,7 @@ def linear_yhat(features: Sequence[str], weights: str = "weights", intercept: st
 
 def predict_ridge(df: DataFrame, model: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Add `yhat`. The model side has one row per series; AQE broadcasts it when it is small."""
-    joined = df.join(model.select(*keys, "intercept", "weights"), list(keys))
+    joined = join_on(df, model.select(*keys, "intercept", "weights"), keys)
     return joined.select(*df.columns, linear_yhat(features).alias("yhat"))
 
 
@@ -107,7 +108,7 @@ def linear_contributions(
     Adds `base` (the prediction at the means) and one `<feature>_contribution` per feature;
     base plus contributions is the prediction.
     """
-    joined = df.join(model.select(*keys, "intercept", "weights", "means"), list(keys))
+    joined = join_on(df, model.select(*keys, "intercept", "weights", "means"), keys)
     base = F.col("intercept")
     for i in range(len(features)):
         base = base + F.col("weights")[i] * F.col("means")[i]

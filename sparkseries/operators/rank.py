@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkseries.operators.joins import join_on
+
 
 def with_position(
     df: DataFrame,
@@ -39,32 +41,23 @@ def with_position(
         return out.withColumn(total, F.count(F.lit(1)).over(series)) if total else out
 
     rows = df.withColumn("_block", block)
-    names = [f"_k{i}" for i in range(len(keys))]
-    in_order = Window.partitionBy(*names).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_block").alias("_kb"))
+        rows.groupBy(*keys, "_block")
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_before", F.coalesce(F.sum("_size").over(in_order), F.lit(0)))
-        .withColumn("_total", F.sum("_size").over(Window.partitionBy(*names)))
+        .withColumn("_total", F.sum("_size").over(Window.partitionBy(*keys)))
         .withColumn("_part", F.floor(F.col("_before") / chunk_rows))
-        .withColumn("_start", F.min("_before").over(Window.partitionBy(*names, "_part")))
+        .withColumn("_start", F.min("_before").over(Window.partitionBy(*keys, "_part")))
         .drop("_size", "_before")
     )
-    joined = rows.join(sizes, null_safe([*keys, "_block"], [*names, "_kb"]))
+    joined = join_on(rows, sizes, [*keys, "_block"])
     inside = Window.partitionBy(*keys, "_part").orderBy(*order)
     out = joined.withColumn(pos, (F.col("_start") + F.row_number().over(inside)).cast("long"))
     extra = [F.col("_total").alias(total)] if total else []
     return out.select(*df.columns, pos, *extra)
 
 
-def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
-    """Equality of two name lists under which a null key meets its own rows."""
-    cond = F.lit(True)
-    for a, b in zip(left, right):
-        cond = cond & F.col(a).eqNullSafe(F.col(b))
-    return cond
-
-
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkseries.operators.rank import null_safe, with_position
+from sparkseries.operators.joins import join_on
+from sparkseries.operators.rank import with_position
 
 
 def _ranked(df, keys, ts, block):
@@ -70,9 +71,10 @@ def time_series_folds(
     return rows.select(*df.columns, "fold", role.alias("role"))
 
 
-def series_bounds(df: DataFrame, keys: Sequence[str], ds: str) -> DataFrame:
-    """First and last day of each series."""
-    return df.groupBy(*keys).agg(F.min(ds).alias("first_ds"), F.max(ds).alias("last_ds"))
+def series_bounds(df: DataFrame, keys: Sequence[str], ds: str, value: str | None = None) -> DataFrame:
+    """First and last day of each series; with `value`, of its rows that have one."""
+    day = F.col(ds) if value is None else F.when(F.col(value).isNotNull(), F.col(ds))
+    return df.groupBy(*keys).agg(F.min(day).alias("first_ds"), F.max(day).alias("last_ds"))
 
 
 def cutoffs(
@@ -97,6 +99,7 @@ def cutoff_folds(
     period: int = 30,
     horizon: int = 90,
     roles: Sequence[str] = ("train", "test"),
+    value: str | None = None,
 ) -> DataFrame:
     """One row per cutoff a day takes part in: 'train' up to the cutoff, 'test' in the
     `horizon` days after it.
@@ -105,10 +108,7 @@ def cutoff_folds(
     one-row-per-series bounds. A following aggregate is combined in the map task, so the
     copies of a row are never shuffled.
     """
-    bounds = series_bounds(df, keys, ds)
-    names = [f"_k{i}" for i in range(len(keys))]
-    bounds = bounds.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "first_ds", "last_ds")
-    rows = df.join(bounds, null_safe(keys, names))
+    rows = join_on(df, series_bounds(df, keys, ds, value), keys)
     most = F.floor((F.datediff("last_ds", "first_ds") - horizon - initial) / period)
     back = F.datediff(F.col("last_ds"), F.col(ds))
     # cutoff j lies horizon + j*period days before the last day

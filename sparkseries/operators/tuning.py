@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkseries.functions import linalg
+from sparkseries.operators.joins import join_on
 from sparkseries.operators.metrics import best_candidate, score
 from sparkseries.operators.models import MODEL_FIELDS, linear_yhat, moments, predict_ridge
 from sparkseries.operators.splits import fold_segments, holdout_fraction, time_series_folds
@@ -219,7 +220,7 @@ def tuned_scores(
     # The choice travels as text so that it can be a grouping key next to the series.
     model = model.withColumn("_params", F.to_json("best_params")).drop("best_params")
     chosen = ["candidate_id", "_params", "cv_score"]
-    test = parts.where("part = 'test'").join(model.select(*keys, *chosen, "intercept", "weights"), list(keys))
+    test = join_on(parts.where("part = 'test'"), model.select(*keys, *chosen, "intercept", "weights"), keys)
     out = score(test.withColumn("yhat", linear_yhat(features)), y, "yhat", [*keys, *chosen], metrics)
     params = F.from_json("_params", "map<string,double>").alias("best_params")
     return out.select(*keys, "candidate_id", params, "cv_score", "n_rows", *metrics)
@@ -264,7 +265,7 @@ def random_search(
         if chosen is None:
             table = sums.withColumn("candidate_id", F.explode(F.array(*[F.lit(c).cast("long") for c in params])))
         else:
-            table = sums.join(chosen.select(*keys, "candidate_id"), keys)
+            table = join_on(sums, chosen.select(*keys, "candidate_id"), keys)
         schema = T.StructType(
             [*(sums.schema[c] for c in keys), T.StructField("candidate_id", T.LongType()), *MODEL_FIELDS[1:3]]
         )
@@ -276,8 +277,7 @@ def random_search(
         .agg(F.collect_list(F.struct("candidate_id", "intercept", "weights")).alias("_trials"))
     )
     checks = (
-        inner.where("part = 'test'")
-        .join(fitted, keys)
+        join_on(inner.where("part = 'test'"), fitted, keys)
         .withColumn("_t", F.explode("_trials"))
         .select(*keys, *features, F.col(y).alias("_y"), "_t.*")
         .withColumn("yhat", linear_yhat(features))
@@ -288,4 +288,4 @@ def random_search(
     best = best_candidate(trial_scores, keys, "candidate_id", "validation_mape")
     final = trials(train, best)
     scored = score(predict_ridge(test, final, keys, features), y, "yhat", keys, metrics)
-    return best.join(scored, keys).select(*keys, "candidate_id", "validation_mape", "n_rows", *metrics)
+    return join_on(best, scored, keys).select(*keys, "candidate_id", "validation_mape", "n_rows", *metrics)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkseries.operators.forecast import additive_forecast
+from sparkseries.operators.joins import join_on
 from sparkseries.operators.metrics import score
 
 # Up to this many run windows travel as a literal array; more are joined by day.
@@ -103,7 +104,7 @@ def walk_forward_forecast(
 
 def evaluation_rows(actuals: DataFrame, forecast: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join of actuals and forecasts on explicit keys, complete rows only."""
-    return actuals.join(forecast, list(on)).dropna("any")
+    return join_on(actuals, forecast, on).dropna("any")
 
 
 def walk_forward(
@@ -134,5 +135,4 @@ def compare_runs(forecast: DataFrame, actuals: DataFrame, keys: Sequence[str] =
     """
     left = forecast.withColumn("date", F.col("ds").cast("date")).drop("ds")
     right = actuals.withColumnRenamed("ds", "date").withColumn("date", F.col("date").cast("date"))
-    on = ["date", "runid", *keys]
-    return left.join(right, on).orderBy("runid", *keys, "date")
+    return join_on(left, right, ["date", "runid", *keys]).orderBy("runid", *keys, "date")

@@ -72,7 +72,7 @@ def daily(spark, sf):
     """Total order value per day, one series."""
     orders = table(spark, sf, "orders")
     days = resample(orders, [], "o_orderdate", {"y": F.sum("o_totalprice")}, "day")
-    return days.select(F.lit("all").alias("series"), F.to_date("o_orderdate").alias("ds"), "y")
+    return days.select(F.to_date("o_orderdate").alias("ds"), "y")
 
 
 def daily_by_priority(spark, sf):
@@ -369,11 +369,11 @@ def exponential_average(spark, sf):
 
 
 @query(
-    "WITH " + DAILY_SQL + " SELECT series, ds, round(avg(y) OVER (PARTITION BY series ORDER BY ds"
+    "WITH " + PRIORITY_SQL + " SELECT series, ds, round(avg(y) OVER (PARTITION BY series ORDER BY ds"
     " ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), 3) AS smooth FROM d"
 )
 def moving_average(spark, sf):
-    out = features.moving_average(daily(spark, sf), ["series"], "ds", "y", width=5)
+    out = features.moving_average(daily_by_priority(spark, sf), ["series"], "ds", "y", width=5)
     return rounded(out.select("series", "ds", "smooth"), 3, "smooth")
 
 
@@ -426,17 +426,17 @@ CUTOFF_SQL = (
 )
 
 
-@query("WITH " + DAILY_SQL + ", " + CUTOFF_SQL + " SELECT series, cutoff FROM c")
+@query("WITH " + PRIORITY_SQL + ", " + CUTOFF_SQL + " SELECT series, cutoff FROM c")
 def cutoff_days(spark, sf):
-    return splits.cutoffs(daily(spark, sf), ["series"], "ds")
+    return splits.cutoffs(daily_by_priority(spark, sf), ["series"], "ds")
 
 
 @query(
-    "WITH " + DAILY_SQL + ", " + CUTOFF_SQL + " SELECT d.series, ds, cutoff, CASE WHEN ds <= cutoff THEN 'train' ELSE 'test' END AS role"
+    "WITH " + PRIORITY_SQL + ", " + CUTOFF_SQL + " SELECT d.series, ds, cutoff, CASE WHEN ds <= cutoff THEN 'train' ELSE 'test' END AS role"
     " FROM d JOIN c ON d.series = c.series AND ds <= cutoff + 90"
 )
 def cutoff_fold_rows(spark, sf):
-    out = splits.cutoff_folds(daily(spark, sf), ["series"], "ds")
+    out = splits.cutoff_folds(daily_by_priority(spark, sf), ["series"], "ds")
     return out.select("series", "ds", "cutoff", "role")
 
 
@@ -484,7 +484,7 @@ def panel_union(spark, sf):
 )
 def stacked_runs(spark, sf):
     """The same layer of five runs, tagged and stacked."""
-    days = daily(spark, sf).select("ds", "y")
+    days = daily(spark, sf)
     parts = {r.runid: clean.between_dates(days, "ds", r.start, r.train_end) for r in RUNS}
     return rounded(layer_io.stack_layers(parts), 2, "y").select("runid", "ds", "y")
 
@@ -620,12 +620,12 @@ _CV_SQL = (
 
 
 @query(
-    f"WITH {_CV_SQL} SELECT series, cutoff, ds, round(y, 2) + 0.0 AS y, round(yhat, 3) + 0.0 AS yhat,"
+    f"WITH {_CV_SQL} SELECT cutoff, ds, round(y, 2) + 0.0 AS y, round(yhat, 3) + 0.0 AS yhat,"
     " round(yhat_lower, 3) + 0.0 AS yhat_lower, round(yhat_upper, 3) + 0.0 AS yhat_upper FROM z"
 )
 def rolling_origin(spark, sf):
     """Forecasts of every cutoff (700 days first, every 30 days, 90 days ahead)."""
-    out = rounded(forecast.rolling_origin(daily(spark, sf), ["series"]), 3, "yhat", "yhat_lower", "yhat_upper")
+    out = rounded(forecast.rolling_origin(daily(spark, sf), []), 3, "yhat", "yhat_lower", "yhat_upper")
     return rounded(out, 2, "y")
 
 
@@ -639,25 +639,39 @@ def _cv_out(alias=""):
 
 @query(
     f"WITH {_CV_SQL}, g AS (SELECT CAST(unnest(range(9, 91)) AS INTEGER) AS ahead),"
-    f" k AS (SELECT series, ahead AS horizon, y, yhat, yhat_lower, yhat_upper FROM z JOIN g ON z.horizon BETWEEN ahead - 8 AND ahead)"
-    f" SELECT series, CAST(horizon AS INTEGER) AS horizon, count(*) AS n_rows, {_cv_out()} FROM k GROUP BY 1, 2"
+    f" k AS (SELECT ahead AS horizon, y, yhat, yhat_lower, yhat_upper FROM z JOIN g ON z.horizon BETWEEN ahead - 8 AND ahead)"
+    f" SELECT CAST(horizon AS INTEGER) AS horizon, count(*) AS n_rows, {_cv_out()} FROM k GROUP BY 1"
 )
 def scores_by_horizon(spark, sf):
     """Measures by days ahead, rolling over nine horizons."""
-    rows = forecast.rolling_origin(daily(spark, sf), ["series"])
-    out = metrics.score_by_horizon(rows, "y", "yhat", "ds", by=["series"], window=9, metrics=_CV)
+    rows = forecast.rolling_origin(daily(spark, sf), [])
+    # One series: a horizon has at most (cutoffs x window) rows, so its median fits a task.
+    out = metrics.score_by_horizon(rows, "y", "yhat", "ds", window=9, horizon=90, metrics=_CV, median="grouped")
     return out.withColumns({n: F.round(n, _CV_PLACES[n]) + F.lit(0.0) for n in _CV})
 
 
 @query(
-    f"WITH {_CV_SQL}, k AS (SELECT series, horizon, {', '.join(f'{_ERR[n]} AS {n}' for n in _CV)} FROM z GROUP BY 1, 2)"
-    f" SELECT series, {', '.join(f'round(avg({n}), {_CV_PLACES[n]}) + 0.0 AS {n}' for n in _CV)} FROM k GROUP BY 1"
+    f"WITH {_CV_SQL}, k AS (SELECT horizon, {', '.join(f'{_ERR[n]} AS {n}' for n in _CV)} FROM z GROUP BY 1)"
+    f" SELECT {', '.join(f'round(avg({n}), {_CV_PLACES[n]}) + 0.0 AS {n}' for n in _CV)} FROM k"
 )
 def cross_validation_metrics(spark, sf):
-    """Mean of each measure over the 90 horizons, per series."""
-    rows = forecast.rolling_origin(daily(spark, sf), ["series"])
-    per_day = metrics.score_by_horizon(rows, "y", "yhat", "ds", by=["series"], metrics=_CV)
-    out = metrics.mean_over_horizons(per_day, ["series"], _CV)
+    """Mean of each measure over the 90 horizons."""
+    rows = forecast.rolling_origin(daily(spark, sf), [])
+    per_day = metrics.score_by_horizon(rows, "y", "yhat", "ds", metrics=_CV, median="grouped")
+    out = metrics.mean_over_horizons(per_day, [], _CV)
+    return out.withColumns({n: F.round(n, _CV_PLACES[n]) + F.lit(0.0) for n in _CV})
+
+
+_PANEL_CV_SQL = _CV_SQL.replace(DAILY_SQL, PRIORITY_SQL)
+
+
+@query(
+    f"WITH {_PANEL_CV_SQL} SELECT CAST(horizon AS INTEGER) AS horizon, count(*) AS n_rows, {_cv_out()} FROM z GROUP BY 1"
+)
+def panel_scores_by_horizon(spark, sf):
+    """Measures per horizon over all series of a panel; medians of groups of any size."""
+    rows = forecast.rolling_origin(daily_by_priority(spark, sf), ["series"])
+    out = metrics.score_by_horizon(rows, "y", "yhat", "ds", metrics=_CV)
     return out.withColumns({n: F.round(n, _CV_PLACES[n]) + F.lit(0.0) for n in _CV})
 
 
@@ -669,7 +683,7 @@ def cross_validation_metrics(spark, sf):
 )
 def run_window_rows(spark, sf):
     """Days assigned to the train and eval windows of all runs at once."""
-    out = backtest.assign_runs(daily(spark, sf).select("ds", "y"), "ds", RUNS)
+    out = backtest.assign_runs(daily(spark, sf), "ds", RUNS)
     return rounded(out.select("runid", "ds", "y", "part"), 2, "y")
 
 

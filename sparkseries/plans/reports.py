@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkseries.functions.scoring import absolute_percentage
 from sparkseries.operators.features import ema
 from sparkseries.operators.forecast import fit_trend_season, predict_trend_season
+from sparkseries.operators.joins import join_on
 from sparkseries.operators.metrics import exact_median
-from sparkseries.functions.scoring import absolute_percentage
 
 
 def forecast_quality(rows: DataFrame, version: str, ds: str, y: str = "y", yhat: str = "yhat") -> DataFrame:
@@ -20,7 +21,7 @@ def forecast_quality(rows: DataFrame, version: str, ds: str, y: str = "y", yhat:
     )
     last = keyed.groupBy("model_version").agg(F.max(ds).alias("max_date"))
     middle = exact_median(keyed, ["model_version"], "_ape", "mdape")
-    return last.join(middle, "model_version", "left").select("max_date", "mdape", "model_version")
+    return join_on(last, middle, ["model_version"], "left").select("max_date", "mdape", "model_version")
 
 
 def forecast_and_actuals(
@@ -38,7 +39,7 @@ def forecast_and_actuals(
     """
     smoothed = ema(hourly, keys, ts, value, alpha, out=f"hourly_ema_{value}")
     model = fit_trend_season(hourly, keys, ts, value, season=season)
-    rows = smoothed.join(model, list(keys)).withColumn("ds", F.col(ts))
+    rows = join_on(smoothed, model, keys).withColumn("ds", F.col(ts))
     out = predict_trend_season(rows, keys, season=season, keep=[value, f"hourly_ema_{value}"])
     return out.select(
         *keys, F.col("ds").alias(ts), F.col(value).alias(f"hourly_{value}"), f"hourly_ema_{value}", "yhat"
