@@ -134,7 +134,7 @@ def fit_additive_ridge(
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _predict(day: pd.Series, first: pd.Series, last: pd.Series, weights: pd.Series) -> pd.Series:
     if day.empty:
         return pd.Series([], dtype=float)

@@ -17,8 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 N_KNOTS = 201
+N_GRID = 1001
 
 
 @dataclass(frozen=True)
@@ -38,19 +40,25 @@ def _normal_grid(n: int) -> np.ndarray:
 
 
 def _to_score(values, scores):
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def score(x: pd.Series) -> pd.Series:
         return pd.Series(np.interp(x.to_numpy(float), values, scores)).where(x.notna().to_numpy())
 
     return score
 
 
-def _to_value(values, scores):
-    @F.pandas_udf("double")
-    def value(z: pd.Series) -> pd.Series:
-        return pd.Series(np.interp(z.to_numpy(float), scores, values))
-
-    return value
+def _to_value(z: Column, values, scores) -> Column:
+    """Value at a normal score: linear between points of an even grid, so the place in the
+    table is plain arithmetic and the draws never leave the JVM."""
+    low, high = scores[0], scores[-1]
+    if low == high:
+        return F.lit(float(values[0]))
+    grid = np.interp(np.linspace(low, high, N_GRID), scores, values)
+    table = F.array(*[F.lit(float(v)) for v in grid])
+    place = (F.least(F.greatest(z, F.lit(low)), F.lit(high)) - low) / ((high - low) / (N_GRID - 1))
+    cell = F.least(F.greatest(F.floor(place), F.lit(0)), F.lit(N_GRID - 2)).cast("int")
+    left, right = F.element_at(table, cell + 1), F.element_at(table, cell + 2)
+    return left + (place - cell) * (right - left)
 
 
 def fit_copula(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> Copula:
@@ -109,7 +117,8 @@ def synthesize(
     drawn = {}
     for i, c in enumerate(copula.columns):
         z = sum((F.lit(float(root[i, j])) * F.col(f"_e{j}") for j in range(i + 1)), F.lit(0.0))
-        drawn[c] = _to_value(copula.values[c], copula.scores[c])(z)
+        rows = rows.withColumn(f"_z{i}", z)
+        drawn[c] = _to_value(F.col(f"_z{i}"), copula.values[c], copula.scores[c])
     return rows.select(series, *keep, *[v.alias(c) for c, v in drawn.items()])
 
 
