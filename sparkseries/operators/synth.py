@@ -77,7 +77,9 @@ def fit_copula(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) ->
         values[c] = knots.tolist()
         scores[c] = (np.bincount(where, grid) / np.bincount(where)).tolist()
     scored = rows.select(*[_to_score(values[c], scores[c])(F.col(c)).alias(c) for c in columns])
-    pairs = list(itertools.combinations(columns, 2))
+    # A constant column has one knot and no correlation with anything.
+    varying = [c for c in columns if len(values[c]) > 1]
+    pairs = list(itertools.combinations(varying, 2))
     matrix = np.eye(len(columns))
     if pairs:
         found = scored.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]).first()
