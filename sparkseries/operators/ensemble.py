@@ -32,9 +32,18 @@ def tree_pipeline(features: Sequence[str], label: str, estimator=None) -> Pipeli
     return Pipeline(stages=[assembler, estimator or boosted_trees(label)])
 
 
+def fit_persisted(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit while the input is kept in memory and on disk: tree fits read it many times."""
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def fit_trees(df: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
     """Fit one boosted-tree model on all series; runs jobs."""
-    return tree_pipeline(features, label, boosted_trees(label, **params)).fit(df)
+    return fit_persisted(tree_pipeline(features, label, boosted_trees(label, **params)), df.select(*features, label))
 
 
 def time_fold_column(df: DataFrame, keys: Sequence[str], ts: str, k: int, out: str = "fold", block=None) -> DataFrame:
@@ -102,8 +111,8 @@ def past_only_scores(
     found = []
     try:
         for fold, depth, trees in itertools.product(range(k), max_depth, n_trees):
-            model = fit_trees(rows.where(F.col("segment") <= fold), features, label,
-                              max_depth=depth, n_trees=trees, seed=seed)
+            estimator = boosted_trees(label, max_depth=depth, n_trees=trees, seed=seed)
+            model = tree_pipeline(features, label, estimator).fit(rows.where(F.col("segment") <= fold))
             rmse = evaluator.evaluate(model.transform(rows.where(F.col("segment") == fold + 1)))
             found.append((depth, trees, fold, float(rmse)))
     finally:

@@ -25,13 +25,16 @@ ALL_METRICS = (*PLAIN, "mdape", "coverage")
 
 # Relative rank error allowed to the sketch that brackets an exact median.
 _SKETCH_ACCURACY = 10_000
+_MEDIAN_BINS = 10_000
 
 
 def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
     """Exact median per group without holding a group in one task.
 
-    A quantile sketch gives two values that surround the median. Rows outside are only
-    counted; the few inside are counted by value and the middle ranks are read off.
+    A quantile sketch gives two values that surround the median. Rows below are only counted;
+    the few rows between are counted by value in narrow bins. Running counts over the bins, at
+    most `_MEDIAN_BINS` per group, tell which bin holds the middle ranks, and only the values
+    of that bin are ordered.
     """
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     margin = 2.0 / _SKETCH_ACCURACY
@@ -40,19 +43,38 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str, out: str) -> Data
         F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], _SKETCH_ACCURACY).alias("_mark"),
     )
     rows = join_on(rows, marks, by)
-    low, high = F.col("_mark")[0], F.col("_mark")[1]
-    # Rows below the bracket fall into one counting row per group (null value, sorted first).
-    side = F.when(F.col("_v") >= low, F.col("_v"))
+    low, high, v = F.col("_mark")[0], F.col("_mark")[1], F.col("_v")
+    # Rows below the bracket form one counting row per group: bin -1, no value.
+    place = F.coalesce(F.try_divide(v - low, high - low), F.lit(0.0)) * _MEDIAN_BINS
     counted = (
-        rows.where(F.col("_v") <= high)
-        .groupBy(*by, side.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.any_value("_n").alias("_n"))
+        rows.where(v <= high)
+        .groupBy(
+            *by,
+            F.when(v >= low, F.floor(place)).otherwise(F.lit(-1)).alias("_bin"),
+            F.when(v >= low, v).alias("_v"),
+        )
+        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
     )
-    upto = Window.partitionBy(*by).orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_hi", F.sum("_c").over(upto)).withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
     r1 = F.floor((F.col("_n") + 1) / 2)
     r2 = F.floor(F.col("_n") / 2) + 1
-    at = lambda r: F.max(F.when(r.between(F.col("_lo"), F.col("_hi")), F.col("_v")))
+    before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    middle = (
+        counted.groupBy(*by, "_bin")
+        .agg(F.sum("_c").alias("_size"), F.max("_n").alias("_n"))
+        .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .where((F.col("_start") < r2) & (F.col("_start") + F.col("_size") >= r1))
+        .select(*by, "_bin", "_start")
+    )
+    inside = Window.partitionBy(*by, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        join_on(counted, middle, [*by, "_bin"])
+        .withColumn("_hi", F.col("_start") + F.sum("_c").over(inside))
+        .withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
+    )
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(rank.between(F.col("_lo"), F.col("_hi")), F.col("_v")))
+
     return ranked.groupBy(*by).agg(((at(r1) + at(r2)) / 2).alias(out))
 
 

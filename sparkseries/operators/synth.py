@@ -54,7 +54,7 @@ def _to_value(z: Column, values, scores) -> Column:
     if low == high:
         return F.lit(float(values[0]))
     grid = np.interp(np.linspace(low, high, N_GRID), scores, values)
-    table = F.array(*[F.lit(float(v)) for v in grid])
+    table = F.expr("array(" + ", ".join(f"{v!r}D" for v in grid.tolist()) + ")")
     place = (F.least(F.greatest(z, F.lit(low)), F.lit(high)) - low) / ((high - low) / (N_GRID - 1))
     cell = F.least(F.greatest(F.floor(place), F.lit(0)), F.lit(N_GRID - 2)).cast("int")
     left, right = F.element_at(table, cell + 1), F.element_at(table, cell + 2)

@@ -436,7 +436,7 @@ def cutoff_days(spark, sf):
     " FROM d JOIN c ON d.series = c.series AND ds <= cutoff + 90"
 )
 def cutoff_fold_rows(spark, sf):
-    out = splits.cutoff_folds(daily_by_priority(spark, sf), ["series"], "ds")
+    out = splits.cutoff_folds(daily_by_priority(spark, sf), ["series"], "ds", value="y")
     return out.select("series", "ds", "cutoff", "role")
 
 
@@ -1079,6 +1079,7 @@ def feature_waterfall(spark, sf):
 def boosted_trees(spark, sf):
     """One gradient-boosted model over all series, scored on the last 48 hours of each."""
     parts = splits.holdout_last(lagged(spark, sf), SERIES, "ts", 48)
+    # `fit_trees` keeps its input in memory and on disk while the trees grow.
     model = ensemble.fit_trees(parts.where("part = 'train'"), EIGHT, "value", max_depth=4, n_trees=5)
     scored = model.transform(parts.where("part = 'test'"))
     return metrics.score(scored, "value", "prediction", SERIES, ["rmse", "mae", "mape"])
@@ -1089,10 +1090,18 @@ def boosted_trees_grid(spark, sf):
     """Assembler and grid search over contiguous time blocks, mean RMSE per grid point."""
     rows = ensemble.time_fold_column(lagged(spark, sf), SERIES, "ts", 3)
     pipeline = ensemble.cross_validated_trees(EIGHT, "value", max_depth=(2, 4), n_trees=(3, 5), k=3)
-    table_rows = ensemble.grid_table(pipeline.fit(rows))
+    table_rows = ensemble.grid_table(ensemble.fit_persisted(pipeline, rows))
     return spark.createDataFrame(table_rows, "maxDepth int, maxIter int, rmse double")
 
 
+@query()
+def boosted_trees_past_only(spark, sf):
+    """RMSE of grid points on expanding windows, each fitted on the past alone."""
+    return ensemble.past_only_scores(
+        lagged(spark, sf), SERIES, "ts", EIGHT, "value", max_depth=(2,), n_trees=(3,), k=3
+    )
+
+
 # --------------------------------------------------------------------------- synthetic series
 
 @query()

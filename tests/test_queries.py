@@ -15,7 +15,7 @@ def con(sf):
     return con
 
 
-SLOW = {"boosted_trees", "boosted_trees_grid"}
+SLOW = {"boosted_trees", "boosted_trees_grid", "boosted_trees_past_only"}  # see test_models.py
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
