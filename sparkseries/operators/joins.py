@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A side of a join is broadcast only when it was counted and has at most this many rows.
+BROADCAST_ROWS = 500_000
+
 
 def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
     """Equality of two name lists under which a null key meets its own rows."""
@@ -36,3 +40,17 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     other = [c for c in right.columns if c not in keys]
     renamed = right.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *other)
     return left.join(renamed, null_safe(keys, names), how).drop(*names)
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it is small; runs a job that counts it.
+
+    Without the hint Spark starts to shuffle the large side before it has measured the small
+    one. The counted rows stay in memory or on disk for the join that follows; a table too
+    long to broadcast is released and joined by shuffle.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df

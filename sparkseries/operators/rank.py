@@ -7,7 +7,8 @@ Two forms with the same result:
 - blocked: for raw series of any length. Rows are counted by (series, time block), a table that
   running sums turn into offsets; consecutive blocks are merged into chunks of about
   `chunk_rows` rows, and rows are numbered inside (series, chunk). A series, or a day, that
-  holds a third of all rows becomes many chunks as long as the block is fine enough.
+  holds a third of all rows becomes many chunks as long as the block is fine enough. The count
+  table is made at once (one job), because its size decides how it is joined.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkseries.operators.joins import join_on
+from sparkseries.operators.joins import join_on, small_side
 
 
 def with_position(
@@ -41,21 +42,28 @@ def with_position(
         return out.withColumn(total, F.count(F.lit(1)).over(series)) if total else out
 
     rows = df.withColumn("_block", block)
+    chunks = block_chunks(rows, keys, chunk_rows)
+    chunks = small_side(chunks.select(*keys, "_block", "_part", "_start", "_total"))
+    joined = join_on(rows, chunks, [*keys, "_block"])
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    out = joined.withColumn(pos, (F.col("_start") + F.row_number().over(inside)).cast("long"))
+    extra = [F.col("_total").alias(total)] if total else []
+    return out.select(*df.columns, pos, *extra)
+
+
+def block_chunks(rows: DataFrame, keys: Sequence[str], chunk_rows: int) -> DataFrame:
+    """One row per series and `_block`: its chunk `_part`, the rows of the series before the
+    block (`_before`), up to its end (`_end`), before its chunk (`_start`) and in all (`_total`)."""
     in_order = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
+    return (
         rows.groupBy(*keys, "_block")
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_before", F.coalesce(F.sum("_size").over(in_order), F.lit(0)))
+        .withColumn("_end", F.col("_before") + F.col("_size"))
         .withColumn("_total", F.sum("_size").over(Window.partitionBy(*keys)))
         .withColumn("_part", F.floor(F.col("_before") / chunk_rows))
         .withColumn("_start", F.min("_before").over(Window.partitionBy(*keys, "_part")))
-        .drop("_size", "_before")
     )
-    joined = join_on(rows, sizes, [*keys, "_block"])
-    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
-    out = joined.withColumn(pos, (F.col("_start") + F.row_number().over(inside)).cast("long"))
-    extra = [F.col("_total").alias(total)] if total else []
-    return out.select(*df.columns, pos, *extra)
 
 
 def with_neighbours(
@@ -70,22 +78,30 @@ def with_neighbours(
     """Prepare row-offset windows that never need a whole series in one task.
 
     Returns (rows, window, home). Without `block` the window spans the series. With it, rows
-    are cut into chunks of `chunk_rows` positions and each chunk also receives copies of the
-    `before` / `after` rows around it; after the window columns are added, keep `home` rows.
+    are cut into chunks of about `chunk_rows` rows, and each chunk also receives copies of the
+    whole blocks that hold its `before` / `after` neighbouring rows. After the window columns
+    are added, keep the `home` rows. Which blocks a chunk needs follows from the block counts
+    alone, so the rows themselves are shuffled and sorted once.
     """
     if block is None:
         return df, Window.partitionBy(*keys).orderBy(*order), None
-    if max(before, after) > chunk_rows:
-        raise ValueError("a chunk must be at least as long as the window reach")
-    rows = with_position(df, keys, order, pos="_pos", block=block, chunk_rows=chunk_rows)
-    home = F.floor((F.col("_pos") - 1) / chunk_rows)
-    offset = (F.col("_pos") - 1) % chunk_rows
-    chunks = F.array_compact(
-        F.array(
-            F.col("_home"),
-            F.when(offset >= chunk_rows - before, F.col("_home") + 1),
-            F.when(offset < after, F.col("_home") - 1),
+    rows = df.withColumn("_block", block)
+    chunks = block_chunks(rows, keys, chunk_rows)
+    needed = [F.array("_part")]
+    if before > 0:
+        # The next block starts where this one ends: a chunk that holds a block starting less
+        # than `before` rows later looks back into this one.
+        reach = Window.partitionBy(*keys).orderBy("_before").rangeBetween(0, before - 1)
+        chunks = chunks.withColumn("_later", F.collect_set("_part").over(reach)).withColumn(
+            "_later", F.lead("_later").over(Window.partitionBy(*keys).orderBy("_before"))
         )
-    )
-    rows = rows.withColumn("_home", home).withColumn("_chunk", F.explode(chunks))
-    return rows, Window.partitionBy(*keys, "_chunk").orderBy("_pos"), F.col("_chunk") == F.col("_home")
+        needed.append(F.coalesce(F.col("_later"), F.array().cast("array<bigint>")))
+    if after > 0:
+        reach = Window.partitionBy(*keys).orderBy("_end").rangeBetween(1 - after, 0)
+        chunks = chunks.withColumn("_earlier", F.collect_set("_part").over(reach)).withColumn(
+            "_earlier", F.lag("_earlier").over(Window.partitionBy(*keys).orderBy("_end"))
+        )
+        needed.append(F.coalesce(F.col("_earlier"), F.array().cast("array<bigint>")))
+    chunks = chunks.select(*keys, "_block", "_part", F.array_distinct(F.concat(*needed)).alias("_needed"))
+    rows = join_on(rows, small_side(chunks), [*keys, "_block"]).withColumn("_chunk", F.explode("_needed"))
+    return rows, Window.partitionBy(*keys, "_chunk").orderBy(*order), F.col("_chunk") == F.col("_part")

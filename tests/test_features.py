@@ -71,9 +71,17 @@ def test_blocked_lags_and_averages_equal_plain(panel):
         assert np.allclose(a, b, rtol=0, atol=1e-12)
 
 
-def test_chunk_must_cover_the_reach(panel):
-    with pytest.raises(ValueError):
-        features.lag_features(panel, ["k"], "ts", "v", [100], block=day(), chunk_rows=50)
+@pytest.mark.parametrize("chunk", [1, 3, 40, 10_000])
+def test_chunks_shorter_than_the_reach(panel, chunk):
+    """A lag of 100 rows reaches over many chunks; so does a wide centred average."""
+    cols = ("k", "ts", "v", "v_lag1", "v_lag100")
+    plain = features.lag_features(panel, ["k"], "ts", "v", [1, 100])
+    blocked = features.lag_features(panel, ["k"], "ts", "v", [1, 100], block=F.date_trunc("hour", "ts"), chunk_rows=chunk)
+    assert rows(plain, *cols) == rows(blocked, *cols)
+    plain = features.moving_average(panel, ["k"], "ts", "v", 61)
+    blocked = features.moving_average(panel, ["k"], "ts", "v", 61, block=day(), chunk_rows=chunk)
+    a, b = (d.toPandas().sort_values(["k", "ts"]).smooth.to_numpy() for d in (plain, blocked))
+    assert len(a) == len(b) and np.allclose(a, b, rtol=0, atol=1e-12)
 
 
 @pytest.mark.parametrize("alpha", [0.02, 0.1, 0.5, 0.9, 0.99, 1.0])
