@@ -5,7 +5,6 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sparkseries.operators.rank import with_position
 from sparkseries.operators.splits import fold_segments
+from sparkseries.session import kept
 
 # The tuning grid of the single tree-ensemble model.
 MAX_DEPTH = (5, 10)
@@ -32,18 +32,15 @@ def tree_pipeline(features: Sequence[str], label: str, estimator=None) -> Pipeli
     return Pipeline(stages=[assembler, estimator or boosted_trees(label)])
 
 
-def fit_persisted(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
-    """Fit while the input is kept in memory and on disk: tree fits read it many times."""
-    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+def fit_kept(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit on kept rows: tree fits read their input many times."""
+    with kept(df) as rows:
         return pipeline.fit(rows)
-    finally:
-        rows.unpersist()
 
 
 def fit_trees(df: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
     """Fit one boosted-tree model on all series; runs jobs."""
-    return fit_persisted(tree_pipeline(features, label, boosted_trees(label, **params)), df.select(*features, label))
+    return fit_kept(tree_pipeline(features, label, boosted_trees(label, **params)), df.select(*features, label))
 
 
 def time_fold_column(df: DataFrame, keys: Sequence[str], ts: str, k: int, out: str = "fold", block=None) -> DataFrame:
@@ -102,21 +99,16 @@ def past_only_scores(
     k: int = 10,
     seed: int = 7,
 ) -> DataFrame:
-    """(max_depth, n_trees, fold, rmse) on expanding windows; runs one fit per fold and point.
-
-    The labelled rows are kept in memory and on disk during the fits and released afterwards.
-    """
-    rows = fold_segments(df, keys, ts, k).where("segment IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
+    """(max_depth, n_trees, fold, rmse) on expanding windows; runs one fit per fold and point."""
+    segments = fold_segments(df, keys, ts, k).where("segment IS NOT NULL").select(*features, label, "segment")
     evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     found = []
-    try:
+    with kept(segments) as rows:
         for fold, depth, trees in itertools.product(range(k), max_depth, n_trees):
             estimator = boosted_trees(label, max_depth=depth, n_trees=trees, seed=seed)
             model = tree_pipeline(features, label, estimator).fit(rows.where(F.col("segment") <= fold))
             rmse = evaluator.evaluate(model.transform(rows.where(F.col("segment") == fold + 1)))
             found.append((depth, trees, fold, float(rmse)))
-    finally:
-        rows.unpersist()
     return df.sparkSession.createDataFrame(found, "max_depth int, n_trees int, fold int, rmse double")
 
 

@@ -269,14 +269,24 @@ def measures_long(spark, sf):
     return rounded(out, 6, "value")
 
 
-@query()
+def _vector_sql():
+    lags, _, full = _lag_sql(features.HOURLY_LAGS)
+    names = ", ".join(features.lag_names("value", features.HOURLY_LAGS))
+    return (
+        f"WITH {HOURLY_SQL}, {lags}, u AS (SELECT event_type, ts, unnest(range(8)) AS position, unnest([{names}]) AS feature"
+        f" FROM l WHERE {full}) SELECT event_type, ts, CAST(position AS INTEGER) AS position, round(feature, 6) AS feature FROM u"
+    )
+
+
+@query(_vector_sql())
 def feature_vectors(spark, sf):
-    """Lag columns assembled into one ML vector, shown as an array."""
+    """Lag columns assembled into one ML vector, one row per vector entry."""
     from pyspark.ml.functions import vector_to_array
 
     names = features.lag_names("value", features.HOURLY_LAGS)
     out = features.feature_vector(lagged(spark, sf), names)
-    return out.select("event_type", "ts", "value", vector_to_array("features").alias("features"))
+    entries = F.posexplode(vector_to_array("features")).alias("position", "feature")
+    return rounded(out.select("event_type", "ts", entries), 6, "feature")
 
 
 # --------------------------------------------------------------------------- resampling, lags, smoothing
@@ -861,7 +871,12 @@ def series_model_scores_eight_lags(spark, sf):
     return rounded(out, 6, "rmse", "mape")
 
 
-@query()
+@query(
+    f"WITH {_TWO_SQL}, c AS ({_centred_sql('(SELECT * FROM pt WHERE part = ' + chr(39) + 'train' + chr(39) + ')', 'event_type')}),"
+    f" m AS ({_solve_sql('c', 'event_type', l2='0.0')}),"
+    " e AS (SELECT event_type, y, w0 + w1 * x1 + w2 * x2 AS yhat FROM pt JOIN m USING (event_type) WHERE part = 'test')"
+    f" SELECT event_type, {_err_sql(['rmse'])} FROM e GROUP BY 1"
+)
 def user_model_per_series(spark, sf):
     """A user's own Python model per series: any function from one series to result rows."""
     import numpy as np
@@ -876,7 +891,8 @@ def user_model_per_series(spark, sf):
         e = y[-test_rows:] - x[-test_rows:] @ w
         return pd.DataFrame({"event_type": [pdf["event_type"].iloc[0]], "rmse": [float(np.sqrt(np.mean(e * e)))]})
 
-    return models.apply_per_series(two_lags(spark, sf), SERIES, fit, "event_type string, rmse double")
+    out = models.apply_per_series(two_lags(spark, sf), SERIES, fit, "event_type string, rmse double")
+    return rounded(out, 6, "rmse")
 
 
 # --------------------------------------------------------------------------- tuning
@@ -1079,7 +1095,6 @@ def feature_waterfall(spark, sf):
 def boosted_trees(spark, sf):
     """One gradient-boosted model over all series, scored on the last 48 hours of each."""
     parts = splits.holdout_last(lagged(spark, sf), SERIES, "ts", 48)
-    # `fit_trees` keeps its input in memory and on disk while the trees grow.
     model = ensemble.fit_trees(parts.where("part = 'train'"), EIGHT, "value", max_depth=4, n_trees=5)
     scored = model.transform(parts.where("part = 'test'"))
     return metrics.score(scored, "value", "prediction", SERIES, ["rmse", "mae", "mape"])
@@ -1090,7 +1105,7 @@ def boosted_trees_grid(spark, sf):
     """Assembler and grid search over contiguous time blocks, mean RMSE per grid point."""
     rows = ensemble.time_fold_column(lagged(spark, sf), SERIES, "ts", 3)
     pipeline = ensemble.cross_validated_trees(EIGHT, "value", max_depth=(2, 4), n_trees=(3, 5), k=3)
-    table_rows = ensemble.grid_table(ensemble.fit_persisted(pipeline, rows))
+    table_rows = ensemble.grid_table(ensemble.fit_kept(pipeline, rows))
     return spark.createDataFrame(table_rows, "maxDepth int, maxIter int, rmse double")
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -38,3 +42,21 @@ def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(target)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows for a loop of jobs that all read them.
+
+    Where the cluster names a shared checkpoint folder the rows are written there once, so a
+    lost executor costs no recomputation in the middle of the loop. Otherwise they are kept in
+    memory and on disk, and released at the end.
+    """
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        yield cut_lineage(df)
+        return
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
