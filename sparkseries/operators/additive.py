@@ -8,7 +8,7 @@ sum; the few sums of a series are added and solved. No step sees more than one b
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 from sparkseries.functions.timegrid import ORIGIN, day_index
 from sparkseries.operators.forecast import INTERVAL_WIDTH, interval_z
 from sparkseries.operators.joins import join_on
-from sparkseries.operators.splits import series_bounds
 
 # Shape of the additive model.
 CHANGEPOINTS = 25
@@ -54,6 +53,32 @@ def _penalty(l2_trend: float, l2_season: float) -> np.ndarray:
     return np.concatenate([[1e-10, 1e-10], trend + 1e-10, season + 1e-10])
 
 
+_UPPER = np.triu_indices(N_TERMS + 1)
+
+
+def _day_sums(day, n, y, yy, first: float, last: float) -> np.ndarray:
+    """Sums of products of (terms, y) over days that stand for `n` observations each."""
+    x = design(day, np.full(len(day), first), np.full(len(day), last))
+    g = np.empty((N_TERMS + 1, N_TERMS + 1))
+    g[:-1, :-1] = x.T @ (x * n[:, None])
+    g[:-1, -1] = g[-1, :-1] = x.T @ y
+    g[-1, -1] = yy.sum()
+    return g
+
+
+def _solve(g: np.ndarray, penalty: np.ndarray) -> tuple:
+    """(n_obs, weights, sigma)"""
+    xx, xy, yy = g[:-1, :-1], g[:-1, -1], g[-1, -1]
+    a = xx + np.diag(penalty)
+    if penalty[2:].min() > 1e-6:
+        w = np.linalg.solve(a, xy)
+    else:  # terms the data cannot tell apart: take the shortest solution
+        w = np.linalg.lstsq(a, xy, rcond=None)[0]
+    n = int(round(g[0, 0]))
+    left = max(yy - 2 * w @ xy + w @ xx @ w, 0.0)
+    return n, w, float(np.sqrt(left / max(n - 1, 1)))
+
+
 def fit_additive_ridge(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,64 +90,66 @@ def fit_additive_ridge(
 ) -> DataFrame:
     """One model row per series: (keys, n_obs, first_ds, last_ds, weights, sigma)."""
     keys = list(keys)
-    key_fields = [df.schema[k] for k in keys]
     v = F.col(y).cast("double")
     days = (
-        df.where(F.col(y).isNotNull())
+        df.where(F.col(y).isNotNull() & F.col(ds).isNotNull())
         .groupBy(*keys, F.col(ds).cast("date").alias("ds"))
         .agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(v).alias("_y"), F.sum(v * v).alias("_yy"))
     )
-    bounds = series_bounds(days, keys, "ds").select(
-        *keys,
-        day_index(F.col("first_ds")).cast("double").alias("_first"),
-        day_index(F.col("last_ds")).cast("double").alias("_last"),
-    )
-    days = days.withColumn("_day", day_index(F.col("ds")).cast("double")).withColumn(
-        "_block", F.floor(F.col("_day") / block_days)
+    bounds = days.groupBy(*keys).agg(
+        day_index(F.min("ds")).cast("double").alias("_first"),
+        day_index(F.max("ds")).cast("double").alias("_last"),
+        F.count("ds").alias("_days"),
     )
-    rows = (
-        join_on(days, bounds, keys)
-        .select(*keys, "_block", "_day", "_n", "_y", "_yy", "_first", "_last")
+    rows = join_on(
+        days.select(*keys, day_index(F.col("ds")).cast("double").alias("_day"), "_n", "_y", "_yy"), bounds, keys
     )
-    sums_schema = T.StructType(
-        [*key_fields,
-         T.StructField("_first", T.DoubleType()), T.StructField("_last", T.DoubleType()),
-         T.StructField("_sums", T.ArrayType(T.DoubleType()))]
-    )
-
-    def block_sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = design(pdf["_day"].to_numpy(), pdf["_first"].to_numpy(), pdf["_last"].to_numpy())
-        g = np.zeros((N_TERMS + 1, N_TERMS + 1))
-        g[:-1, :-1] = x.T @ (x * pdf["_n"].to_numpy()[:, None])
-        g[:-1, -1] = x.T @ pdf["_y"].to_numpy()
-        g[-1, -1] = pdf["_yy"].sum()
-        out = pdf[[*keys, "_first", "_last"]].iloc[:1].copy()
-        out["_sums"] = [g.ravel()]
-        return out
-
-    model_schema = T.StructType(
-        [*key_fields,
-         T.StructField("n_obs", T.LongType()),
-         T.StructField("_first", T.DoubleType()), T.StructField("_last", T.DoubleType()),
-         T.StructField("weights", T.ArrayType(T.DoubleType())),
-         T.StructField("sigma", T.DoubleType())]
+    series = [*keys, "_first", "_last"]
+    key_types = [rows.schema[c] for c in series]
+    sums_type = T.StructType([*key_types, T.StructField("_sums", T.ArrayType(T.DoubleType()))])
+    model_type = T.StructType(
+        [*key_types, T.StructField("n_obs", T.LongType()),
+         T.StructField("weights", T.ArrayType(T.DoubleType())), T.StructField("sigma", T.DoubleType())]
     )
     penalty = _penalty(l2_trend, l2_season)
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = np.sum(np.stack(pdf["_sums"].to_numpy()), axis=0).reshape(N_TERMS + 1, N_TERMS + 1)
-        xx, xy, yy = g[:-1, :-1], g[:-1, -1], g[-1, -1]
-        w = np.linalg.lstsq(xx + np.diag(penalty), xy, rcond=None)[0]
-        n = int(round(g[0, 0]))
-        left = max(yy - 2 * w @ xy + w @ xx @ w, 0.0)
-        out = pdf[[*keys, "_first", "_last"]].iloc[:1].copy()
-        out["n_obs"] = n
-        out["weights"] = [w]
-        out["sigma"] = float(np.sqrt(left / max(n - 1, 1)))
-        return out[[*keys, "n_obs", "_first", "_last", "weights", "sigma"]]
-
-    sums = rows.groupBy(*keys, "_block").applyInPandas(block_sums, sums_schema)
-    model = sums.groupBy(*keys).applyInPandas(solve, model_schema)
+    fields = ["_day", "_n", "_y", "_yy"]
+
+    def sums_of(pdf: pd.DataFrame) -> list[np.ndarray]:
+        columns = [pdf[c] for c in (*fields, "_first", "_last")]
+        return [_day_sums(*values) for values in zip(*columns)]
+
+    def with_models(keys_part: pd.DataFrame, sums: list[np.ndarray]) -> pd.DataFrame:
+        solved = [_solve(g, penalty) for g in sums]
+        return keys_part.assign(**{c: [s[i] for s in solved] for i, c in enumerate(("n_obs", "weights", "sigma"))})
+
+    def block_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[series].assign(_sums=[g[_UPPER] for g in sums_of(pdf)])
+
+    def solve_series(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield with_models(pdf[series], sums_of(pdf))
+
+    def solve_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+        full = np.zeros((N_TERMS + 1, N_TERMS + 1))
+        full[_UPPER] = np.sum(np.stack(pdf["_sums"].to_numpy()), axis=0)
+        return with_models(pdf[series].iloc[:1], [full + np.triu(full, 1).T])
+
+    # The days of one block travel as arrays of at most `block_days` entries, so one Arrow batch
+    # carries many series. A short series is one block and is solved at once; only long ones
+    # send sums on.
+    lists = [F.collect_list(c).alias(c) for c in fields]
+    short = rows.where(F.col("_days") <= block_days).groupBy(*series).agg(*lists).mapInPandas(solve_series, model_type)
+    blocks = rows.where(F.col("_days") > block_days).withColumn("_block", F.floor(F.col("_day") / block_days))
+    long = (
+        blocks.groupBy(*series, "_block")
+        .agg(*lists)
+        .mapInPandas(block_sums, sums_type)
+        .groupBy(*keys)
+        .applyInPandas(solve_blocks, model_type)
+    )
+    model = short.unionByName(long)
     origin = F.lit(ORIGIN).cast("date")
     return model.select(
         *keys,

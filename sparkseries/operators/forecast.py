@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkseries.functions.timegrid import day_index
 from sparkseries.operators.joins import join_on
-from sparkseries.operators.splits import cutoff_folds
+from sparkseries.operators.splits import HORIZON_DAYS, INITIAL_DAYS, PERIOD_DAYS, cutoff_folds
 
 # Fixed value: interval width of the additive model.
 INTERVAL_WIDTH = 0.8
@@ -171,9 +171,9 @@ def rolling_origin(
     keys: Sequence[str],
     ds: str = "ds",
     y: str = "y",
-    initial: int = 700,
-    period: int = 30,
-    horizon: int = 90,
+    initial: int = INITIAL_DAYS,
+    period: int = PERIOD_DAYS,
+    horizon: int = HORIZON_DAYS,
     model: str = "trend_season",
     width: float = INTERVAL_WIDTH,
 ) -> DataFrame:

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from sparkseries.operators.joins import join_on
 from sparkseries.operators.rank import with_position
 
+# Rolling-origin folds in days (first history, step between cutoffs, test span).
+INITIAL_DAYS = 700
+PERIOD_DAYS = 30
+HORIZON_DAYS = 90
+
 
 def _ranked(df, keys, ts, block):
     return with_position(df, keys, [ts], pos="_rn", total="_n", block=block)
@@ -78,7 +83,8 @@ def series_bounds(df: DataFrame, keys: Sequence[str], ds: str, value: str | None
 
 
 def cutoffs(
-    df: DataFrame, keys: Sequence[str], ds: str, initial: int = 700, period: int = 30, horizon: int = 90
+    df: DataFrame, keys: Sequence[str], ds: str, initial: int = INITIAL_DAYS, period: int = PERIOD_DAYS,
+    horizon: int = HORIZON_DAYS,
 ) -> DataFrame:
     """Cutoff days of each series: from last - horizon back by `period` while at least
     `initial` days of history remain (all in days)."""
@@ -95,9 +101,9 @@ def cutoff_folds(
     df: DataFrame,
     keys: Sequence[str],
     ds: str,
-    initial: int = 700,
-    period: int = 30,
-    horizon: int = 90,
+    initial: int = INITIAL_DAYS,
+    period: int = PERIOD_DAYS,
+    horizon: int = HORIZON_DAYS,
     roles: Sequence[str] = ("train", "test"),
     value: str | None = None,
 ) -> DataFrame:

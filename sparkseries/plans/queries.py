@@ -359,7 +359,7 @@ def raw_lags_blocked(spark, sf):
         "event_id", "event_type", F.struct("ts", "event_id").alias("at"), "value"
     )
     out = features.lag_features(
-        raw, SERIES, "at", "value", (1, 24), block=F.to_date(F.col("at.ts")), chunk_rows=10_000
+        raw, SERIES, "at", "value", (1, 24), block=F.date_trunc("hour", F.col("at.ts")), chunk_rows=10_000
     )
     return out.select("event_id", "event_type", "value_lag1", "value_lag24")
 
@@ -402,9 +402,9 @@ def holdout_last_rows(spark, sf):
     " SELECT event_id, CASE WHEN rn <= 48 THEN 'test' ELSE 'train' END AS part FROM l"
 )
 def holdout_raw_blocked(spark, sf):
-    """The same hold-out on raw events, ranked by day blocks."""
+    """The same hold-out on raw events, ranked by hour blocks."""
     raw = table(spark, sf, "events").select("event_id", "event_type", F.struct("ts", "event_id").alias("at"))
-    out = splits.holdout_last(raw, SERIES, "at", 48, block=F.to_date(F.col("at.ts")))
+    out = splits.holdout_last(raw, SERIES, "at", 48, block=F.date_trunc("hour", F.col("at.ts")))
     return out.select("event_id", "part")
 
 
@@ -759,9 +759,9 @@ def walk_forward_panel(spark, sf):
     return rounded(backtest.walk_forward(daily_by_priority(spark, sf), RUNS, ["series"]), 2, "rmse")
 
 
-def _run_actuals(spark, sf):
+def _run_actuals(spark, sf, runs=RUNS):
     return (
-        backtest.assign_runs(daily(spark, sf), "ds", RUNS).where("part = 'eval'").select("runid", "ds", "y")
+        backtest.assign_runs(daily(spark, sf), "ds", runs).where("part = 'eval'").select("runid", "ds", "y")
     )
 
 
@@ -780,7 +780,7 @@ def compare_runs(spark, sf):
 def evaluate_one_run(spark, sf):
     """Join, completeness, count and RMSE of one stored forecast."""
     forecasts = backtest.walk_forward_forecast(daily(spark, sf), RUNS[:1])
-    rows = backtest.evaluation_rows(_run_actuals(spark, sf).where("runid = 1"), forecasts, ["runid", "ds"])
+    rows = backtest.evaluation_rows(_run_actuals(spark, sf, RUNS[:1]), forecasts, ["runid", "ds"])
     out = metrics.score(rows, "y", "yhat", [], ["rmse"])
     return rounded(out.withColumnsRenamed({"n_rows": "eval_forecast_count", "rmse": "eval_rmse"}), 2, "eval_rmse")
 
