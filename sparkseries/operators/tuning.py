@@ -95,10 +95,10 @@ def _solve(m: np.ndarray, candidate: Candidate):
     return linalg.ridge(m, float(candidate["l2"]), used)
 
 
-def _fold_table(pdf: pd.DataFrame, d: int, k: int, candidates: Sequence[Candidate]) -> list[tuple]:
+def _fold_table(segments, packed, d: int, k: int, candidates: Sequence[Candidate]) -> list[tuple]:
     """(candidate_id, fold, mse, r2) from the k+1 segment sums of one series."""
     size = (d + 2, d + 2)
-    by_segment = {int(s): linalg.unpack(p, d) for s, p in zip(pdf["segment"], pdf["moments"])}
+    by_segment = {int(s): linalg.unpack(p, d) for s, p in zip(segments, packed)}
     out = []
     train = np.zeros(size)
     for fold in range(k):
@@ -116,7 +116,11 @@ def _fold_table(pdf: pd.DataFrame, d: int, k: int, candidates: Sequence[Candidat
 
 def _segment_moments(train, keys, ts, features, y, k):
     segments = fold_segments(train, keys, ts, k).where("segment IS NOT NULL")
-    return moments(segments, [*keys, "segment"], features, y)
+    sums = moments(segments, [*keys, "segment"], features, y)
+    # At most k+1 sums per series: as arrays, one Arrow batch carries many series.
+    return sums.groupBy(*keys).agg(
+        F.collect_list("segment").alias("segments"), F.collect_list("moments").alias("moments")
+    )
 
 
 def fold_scores(
@@ -135,18 +139,20 @@ def fold_scores(
     keys, d = list(keys), len(features)
     sums = _segment_moments(train, keys, ts, features, y, k)
 
-    def evaluate(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = pd.DataFrame(_fold_table(pdf, d, k, candidates), columns=["candidate_id", "fold", "mse", "r2"])
-        for i, name in enumerate(keys):
-            table.insert(i, name, pdf[name].iloc[0])
-        return table
+    def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = pdf[keys].copy()
+            out["_scores"] = [_fold_table(s, p, d, k, candidates) for s, p in zip(pdf["segments"], pdf["moments"])]
+            out = out.explode("_scores", ignore_index=True).dropna(subset="_scores")
+            scores = pd.DataFrame(out["_scores"].tolist(), index=out.index, columns=["candidate_id", "fold", "mse", "r2"])
+            yield out[keys].join(scores)
 
     schema = T.StructType(
         [*(sums.schema[c] for c in keys),
          T.StructField("candidate_id", T.LongType()), T.StructField("fold", T.IntegerType()),
          T.StructField("mse", T.DoubleType()), T.StructField("r2", T.DoubleType())]
     )
-    return sums.groupBy(*keys).applyInPandas(evaluate, schema)
+    return sums.mapInPandas(evaluate, schema)
 
 
 def tune_ridge(
@@ -162,7 +168,7 @@ def tune_ridge(
     """Best candidate per series by mean fold score, refitted on all train rows.
 
     (keys, candidate_id, best_params, cv_score, n_train, intercept, weights, means). Equal
-    scores go to the smallest candidate id. A group call receives k+1 rows of sums.
+    scores go to the smallest candidate id. Python receives k+1 sums per series.
     """
     keys, d = list(keys), len(features)
     sums = _segment_moments(train, keys, ts, features, y, k)
@@ -170,26 +176,32 @@ def tune_ridge(
     sign = {"r2": -1.0, "mse": 1.0}[metric]
     columns = [*keys, "candidate_id", "best_params", "cv_score", "n_train", "intercept", "weights", "means"]
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = pd.DataFrame(_fold_table(pdf, d, k, candidates), columns=["candidate_id", "fold", "mse", "r2"])
-        mean = table.groupby("candidate_id")[metric].mean().dropna()
-        if mean.empty:
-            return pd.DataFrame(columns=columns)
-        ranked = sorted((sign * v, cid) for cid, v in mean.items())
-        best = int(ranked[0][1])
-        total = sum(linalg.unpack(p, d) for p in pdf["moments"])
+    position = {"mse": 2, "r2": 3}[metric]
+
+    def best_model(segments, packed) -> tuple | None:
+        """The chosen columns of one series; None where no candidate has a score."""
+        found: dict[int, list[float]] = {}
+        for row in _fold_table(segments, packed, d, k, candidates):
+            if row[position] is not None:
+                found.setdefault(row[0], []).append(row[position])
+        if not found:
+            return None
+        score, best = min((sign * float(np.mean(v)), c) for c, v in found.items())
+        total = sum(linalg.unpack(p, d) for p in packed)
         intercept, weights = _solve(total, params[best])
-        row = {name: pdf[name].iloc[0] for name in keys}
-        row.update(
-            candidate_id=best,
-            best_params={n: float(v) for n, v in params[best].items() if n != "candidate_id"},
-            cv_score=float(mean[best]),
-            n_train=int(total[0, 0]),
-            intercept=intercept,
-            weights=weights,
-            means=total[0, 1:-1] / total[0, 0],
-        )
-        return pd.DataFrame([row], columns=columns)
+        chosen = {n: float(v) for n, v in params[best].items() if n != "candidate_id"}
+        return best, chosen, sign * score, int(total[0, 0]), intercept, weights, total[0, 1:-1] / total[0, 0]
+
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [
+                (*key, *model)
+                for key, model in zip(
+                    pdf[keys].itertuples(index=False, name=None), map(best_model, pdf["segments"], pdf["moments"])
+                )
+                if model is not None
+            ]
+            yield pd.DataFrame(rows, columns=columns)
 
     schema = T.StructType(
         [*(sums.schema[c] for c in keys),
@@ -198,7 +210,7 @@ def tune_ridge(
          T.StructField("cv_score", T.DoubleType()),
          *MODEL_FIELDS]
     )
-    return sums.groupBy(*keys).applyInPandas(choose, schema)
+    return sums.mapInPandas(choose, schema)
 
 
 def tuned_scores(
