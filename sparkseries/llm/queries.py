@@ -14,6 +14,7 @@ from sparkseries.llm.language import language_of
 from sparkseries.llm.licenses import license_scan
 from sparkseries.llm.lines import cleaned
 from sparkseries.llm.lm import lm_scores
+from sparkseries.llm.neardup import near_duplicates
 from sparkseries.llm.ranking import quality_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +63,11 @@ def op5_license_scan(spark, sf):
     return out.drop("text")
 
 
+@query(sql.NEAR_DUPLICATES)
+def op6_minhash_near_dedup(spark, sf):
+    return near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), shingle=3, least=(85, 100))
+
+
 @query(sql.LINES)
 def op7_quality_rules(spark, sf):
     out = cleaned(table(spark, sf, "documents").select("doc_id", "text"), with_text=False)

@@ -124,3 +124,26 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(inside.n, 0)::BIGINT AS n_h
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(inside.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN inside USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce({words('text', SPACED, True)}, []) AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS g
+    FROM d, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS u(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+    WHERE 100 * common >= 85 * (x.n + y.n - common)
+),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) AS component_id,
+       least(d.doc_id, coalesce(low.b, d.doc_id)) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON d.doc_id = low.a
+"""
