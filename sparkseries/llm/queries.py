@@ -15,6 +15,7 @@ from sparkseries.llm.licenses import license_scan
 from sparkseries.llm.lines import cleaned
 from sparkseries.llm.lm import lm_scores
 from sparkseries.llm.neardup import near_duplicates
+from sparkseries.llm.passages import repeated_passages
 from sparkseries.llm.ranking import quality_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +50,11 @@ def op2_language_id(spark, sf):
     return out.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op3_repeated_passages(spark, sf):
+    return repeated_passages(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query()
 def op4_lm_scores(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
