@@ -14,9 +14,11 @@ from sparkseries.llm.language import language_of
 from sparkseries.llm.licenses import license_scan
 from sparkseries.llm.lines import cleaned
 from sparkseries.llm.lm import lm_scores
+from sparkseries.llm.mixing import mixed
 from sparkseries.llm.neardup import near_duplicates
 from sparkseries.llm.passages import repeated_passages
 from sparkseries.llm.ranking import quality_scores
+from sparkseries.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,6 +45,24 @@ def fold(k: int, id_: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_).cast("string").cast("binary")), F.lit(k)), F.lit(-1))
 
 
+# Targets of the mixture: the first ten sources are the web, the others are books.
+MIX_WEIGHTS = {"domain": {"web": 0.6, "books": 0.4}, "lang": {"en": 0.45, "de": 0.35, "fr": 0.15, "es": 0.05}}
+MIX = {"share": 1.2, "max_epochs": 3, "seed": 17}
+
+
+def mix_levels() -> dict[str, Column]:
+    web = F.col("source").rlike("^src[0-9]$")
+    return {"domain": F.when(web, "web").otherwise("books"), "lang": F.col("lang"), "source": F.col("source")}
+
+
+MIX_SQL = {"domain": "CASE WHEN regexp_matches(source, '^src[0-9]$') THEN 'web' ELSE 'books' END", "lang": "lang", "source": "source"}
+
+
+@query(sql.mixing(MIX_SQL, MIX_WEIGHTS, **MIX))
+def op1_mixing(spark, sf):
+    return mixed(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), mix_levels(), MIX_WEIGHTS, **MIX)
+
+
 @query()
 def op2_language_id(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
@@ -80,6 +100,13 @@ def op7_quality_rules(spark, sf):
     return out.drop("text", "n_clean_words")
 
 
+@query(sql.WARC)
+def op8_warc_round_trip(spark, sf):
+    back = round_trip(table(spark, sf, "pages"))
+    number = lambda c: F.col(c).cast("long")
+    return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
 @query(sql.CONTAMINATION)
 def op9_decontamination(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

@@ -147,3 +147,57 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesc
        least(d.doc_id, coalesce(low.b, d.doc_id)) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON d.doc_id = low.a
 """
+
+WARC = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS low FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND low <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND low <> page_id THEN low END AS refers_to
+FROM f
+"""
+
+
+def _weights(level: str, weights) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {float(v)}" for k, v in weights.items())
+    return f"CASE {level} {cases} ELSE 1.0 END::DOUBLE" if cases else "1.0::DOUBLE"
+
+
+def mixing(levels: dict[str, str], weights, share: float, max_epochs: int, seed: int, source: str = "documents") -> str:
+    """SQL of `mixed` with its id in doc_id."""
+    names = list(levels)
+    parts = [f"""rows AS (
+    SELECT doc_id, {', '.join(f"coalesce({e}, '(none)') AS {k}" for k, e in levels.items())},
+           coalesce(len({words('text', SPACED, False)}), 0)::BIGINT AS n_tokens FROM {source}
+)""", f"leaves AS (SELECT {', '.join(names)}, sum(n_tokens)::BIGINT AS tokens FROM rows GROUP BY ALL)",
+             f"node0 AS (SELECT least(round(sum(tokens) * {share}::DOUBLE), sum(tokens) * {max_epochs})::DOUBLE AS given FROM leaves)"]
+    for d, level in enumerate(names):
+        key = names[:d]
+        family = f"PARTITION BY {', '.join(key)}" if key else ""
+        using = f"JOIN node{d} USING ({', '.join(key)})" if key else f"CROSS JOIN node{d}"
+        cols = ", ".join([*key, level])
+        parts += [
+            f"c{d} AS (SELECT {cols}, sum(tokens) * {max_epochs} AS cap, {_weights(level, weights.get(level, {}))} AS weight FROM leaves GROUP BY ALL)",
+            f"r{d} AS (SELECT c{d}.*, given, CASE WHEN weight > 0 THEN cap / weight ELSE 'inf'::DOUBLE END AS ratio FROM c{d} {using})",
+            f"""s{d} AS (SELECT *, coalesce(sum(cap) OVER ({family} ORDER BY ratio, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS caps,
+       sum(weight) OVER ({family} ORDER BY ratio, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM r{d})""",
+            f"t{d} AS (SELECT *, weight > 0 AND cap * ws <= weight * (given - caps) AS filled FROM s{d})",
+            f"""u{d} AS (SELECT *, sum(CASE WHEN filled THEN cap ELSE 0 END) OVER ({family}) AS taken,
+       sum(CASE WHEN filled THEN 0.0 ELSE weight END) OVER ({family}) AS free FROM t{d})""",
+            f"""node{d + 1} AS (SELECT {cols}, CASE WHEN filled THEN cap WHEN free > 0 THEN weight * (given - taken) / free ELSE 0 END::DOUBLE AS given FROM u{d})""",
+        ]
+    cols = ", ".join(names)
+    parts += [
+        f"budgets AS (SELECT leaves.*, round(given)::BIGINT AS budget FROM leaves JOIN node{len(names)} USING ({cols}))",
+        "split AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs FROM budgets)",
+        f"""ordered AS (
+    SELECT doc_id, {cols}, n_tokens, epochs, budget - epochs * tokens AS rest,
+           sum(n_tokens) OVER (PARTITION BY {cols} ORDER BY md5('{seed}:' || epochs || ':' || coalesce(doc_id::VARCHAR, '')), n_tokens
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reached
+    FROM rows JOIN split USING ({cols})
+)""",
+        "times AS (SELECT *, epochs + CASE WHEN rest > 0 AND reached <= rest THEN 1 ELSE 0 END AS n FROM ordered)",
+    ]
+    return f"WITH {', '.join(parts)} SELECT doc_id, {cols}, n_tokens, e::BIGINT AS epoch FROM times, unnest(generate_series(0, n - 1)) AS x(e) WHERE n > 0"
