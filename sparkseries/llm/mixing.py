@@ -71,38 +71,49 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str,
     nodes = caps.groupBy().agg(F.least(F.round(F.sum("tokens") * F.lit(share)), F.sum("cap").cast("double")).alias("given"))
     for d, level in enumerate(levels):
         parent = list(levels[:d])
-        children = caps.groupBy(*parent, level).agg(F.sum("cap").alias("cap")).withColumn("weight", weight_of(level, weights.get(level, {})))
+        children = caps.groupBy(*parent, level).agg(F.sum("cap").alias("cap")).withColumn("weight", weight_of(level, weights[level]))
         joined = children.join(nodes, parent) if parent else children.crossJoin(nodes)  # the root is one row
         nodes = shared_out(joined, parent, level).select(*parent, level, F.col("budget").alias("given"))
     return leaves.join(nodes.select(*levels, F.round("given").cast("long").alias("budget")), list(levels))
 
 
 def mixed(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Mapping[str, float]], share: float = 1.0,
-          max_epochs: int = 3, seed: int = 0, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document and epoch taken: id, the levels, n_tokens, epoch.
+          max_epochs: int = 3, seed: int = 0, id_: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """One row per document and epoch taken: id, the levels, n_tokens, epoch; with `carry` all
+    columns of `docs` and the epoch (a column of that name is replaced).
 
     `levels` names the tree's levels from the root down, each with the expression over `docs`
     that gives its value.
     """
-    names = list(levels)
-    rows = docs.select(F.col(id_).alias("_id"), *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(k) for k, c in levels.items()], n_words(text).alias("n_tokens"))
-    rows = written(rows, "tokens")
-    leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
-    budgets = leaf_budgets(leaves, names, weights, share, max_epochs)
+    names = [f"_level{i}" for i in range(len(levels))]
+    own = {f"_level{i}": weights.get(k, {}) for i, k in enumerate(levels)}
+    kept = [c for c in docs.columns if c != "epoch"] if carry else []
+    source = docs.select(
+        *kept, F.col(id_).alias("_id"), n_words(text).alias("_n"),
+        *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for n, c in zip(names, levels.values())])
+    rows = written(source.select("_id", "_n", *names), "tokens")
+    leaves = rows.groupBy(*names).agg(F.sum("_n").alias("tokens"))
+    budgets = leaf_budgets(leaves, names, own, share, max_epochs)
     whole = F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("long")
-    budgets = written(budgets.withColumn("_whole", whole).withColumn("_rest", F.col("budget") - F.col("_whole") * F.col("tokens")).select(*names, "_whole", "_rest"), "budgets")
+    budgets = budgets.withColumn("_whole", whole).withColumn("_rest", F.col("budget") - F.col("_whole") * F.col("tokens"))
+    budgets = written(budgets.select(*names, "_whole", "_rest"), "budgets")
 
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_whole").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
-    rows = rows.join(budgets, names).withColumn("_order", order).withColumn("_bin", F.substring("_order", 1, 3))
-    bins = rows.groupBy(*names, "_bin").agg(F.sum("n_tokens").alias("_sum"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(budgets, names).withColumn("_order", order).withColumn("_bin", F.substring("_order", 1, 3))
+
+    bins = placed(rows).groupBy(*names, "_bin").agg(F.sum("_n").alias("_sum"))
     along = Window.partitionBy(*names).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bins = written(bins.withColumn("_end", F.sum("_sum").over(along)).withColumn("_begin", F.col("_end") - F.col("_sum")).drop("_sum"), "bins")
-    rows = rows.join(bins, [*names, "_bin"])
+    rows = placed(source if carry else rows).join(bins, [*names, "_bin"])
 
     edge = (F.col("_begin") <= F.col("_rest")) & (F.col("_end") > F.col("_rest"))
-    inside = Window.partitionBy(*names).orderBy("_order", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at_edge = rows.where(edge).withColumn("_part", F.col("_begin") + F.sum("n_tokens").over(inside) <= F.col("_rest"))
+    inside = Window.partitionBy(*names).orderBy("_order", "_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at_edge = rows.where(edge).withColumn("_part", F.col("_begin") + F.sum("_n").over(inside) <= F.col("_rest"))
     others = rows.where(~edge).withColumn("_part", F.col("_end") <= F.col("_rest"))
     taken = others.unionByName(at_edge).withColumn("_times", F.col("_whole") + F.when(F.col("_part") & (F.col("_rest") > 0), 1).otherwise(0))
-    taken = taken.where("_times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
-    return taken.select(F.col("_id").alias(id_), *names, "n_tokens", "epoch")
+    taken = taken.where("_times > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
+    if carry:
+        return taken.select(*kept, F.col("_epoch").alias("epoch"))
+    return taken.select(F.col("_id").alias(id_), *[F.col(n).alias(k) for n, k in zip(names, levels)], F.col("_n").alias("n_tokens"), F.col("_epoch").alias("epoch"))
