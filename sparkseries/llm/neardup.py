@@ -11,8 +11,9 @@ minhashes each cost only 2 * half_keys * rows minhash functions.
    can share with anyone, and a pair is only looked at if the bound allows the similarity.
 4. In every table each candidate is compared with the member of its bucket that has the fewest
    unique shingles (the centre of a group of copies), by full sets. Links make components.
-5. Pairs of one bucket that are still in different components are compared too. So no pair that
-   shares a bucket is left out, and a group of copies costs about its size, not its square.
+5. Documents that share a bucket with another component are joined once more, exactly, by their
+   rarest shingles with positional bounds, and what that leaves is compared by full sets. So no
+   pair that shares a bucket is left out, and a group of copies costs about its size.
 
 A pair at exactly the threshold shares no table with probability at most `miss`; more similar
 pairs are missed more rarely. Every link is confirmed on full sets.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkseries.llm.components import components
@@ -139,6 +140,41 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> Data
     return both.where(reachable(shared, F.size("set_a"), F.size("set_b"), least)).select("a", "b")
 
 
+def pairs_apart(sets: DataFrame, rest: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of different components that can be similar enough: an exact prefix join.
+
+    Shingles are ordered rarest first. Sets of sizes n and m that are similar enough share at
+    least num * (n + m) / (num + den) elements, so their first common shingle stands early in
+    both. How early depends on both sizes: each document gives its early shingles once per size
+    class of the partner, and partners are joined by (shingle, both classes). Shingles of one
+    component only are left out, and of every shingle's rows those of its largest component are
+    on one side of the join only, so a group of copies is not compared with itself.
+    """
+    num, den = least
+    weight = rest.groupBy("root").agg(F.count(F.lit(1)).alias("weight"))
+    rows = sets.join(rest.join(weight, "root"), sets["id"] == rest["rep"]).select(
+        "id", "root", "weight", F.size("set").cast("long").alias("n"), F.explode("set").alias("shingle"))
+    often = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("often"), F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("root", "weight").alias("main"))
+    order = Window.partitionBy("id", "n").orderBy("often", "shingle")
+    place = (F.row_number().over(order) - 1).cast("long")
+    early = rows.join(often, "shingle").withColumn("place", place).where(
+        (F.col("low") != F.col("high")) & (den * (F.col("n") - F.col("place")) >= num * F.col("n")))
+    size_class = lambda n: F.floor(F.log(n) / math.log(1.04))
+    most = F.floor((F.col("n") - F.col("place")) * (num + den) / num) - F.col("n")  # largest partner
+    early = early.withColumns({
+        "own": size_class(F.col("n")), "from": size_class(F.greatest(F.floor(F.col("n") * num / den), F.lit(1))),
+        "to": size_class(F.least(most, F.ceil(F.col("n") * den / num)))})
+    early = early.where(F.col("from") <= F.col("to")).withColumn("partner", F.explode(F.sequence("from", "to")))
+    early = written(early.select("shingle", "id", "root", "main", "n", "place", "own", "partner"), "early")
+    a = early.select("shingle", F.col("own").alias("x"), F.col("partner").alias("y"), *[F.col(c).alias(f"{c}_a") for c in ("id", "root", "n", "place")])
+    b = early.where("root <> main").select(
+        "shingle", F.col("partner").alias("x"), F.col("own").alias("y"), *[F.col(c).alias(f"{c}_b") for c in ("id", "root", "n", "place")])
+    both = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    pairs = a.join(b, ["shingle", "x", "y"]).where((F.col("root_a") != F.col("root_b")) & reachable(both, F.col("n_a"), F.col("n_b"), least))
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", shingle: int = 5, least: tuple[int, int] = (8, 10),
                     rows: int = 3, miss: float = 5e-4) -> DataFrame:
     """One row per row of `docs`: id, n_shingles, component_id, kept.
@@ -178,16 +214,11 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", sh
     links = written(confirmed(tried, sets, least), "links")
     labels = components(links)
 
-    # Then the pairs of a bucket that are still apart.
+    # Then the documents that share a bucket with another component.
     at = places.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     apart = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rest = written(at.join(apart, "key"), "apart")
-    a = rest.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "u", "root")])
-    b = rest.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "u", "root")])
-    pairs = a.join(b, "key").where((F.col("root_a") < F.col("root_b")) & allowed("a", "b")).select(
-        F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    late = written(confirmed(pairs, sets, least), "late")
+    rest = at.join(apart, "key", "left_semi").select("rep", "root").distinct()
+    late = written(confirmed(written(pairs_apart(sets, written(rest, "apart"), least), "pairs"), sets, least), "late")
     if not late.isEmpty():
         labels = components(links.unionByName(late))
 
