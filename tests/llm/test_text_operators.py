@@ -50,7 +50,6 @@ def test_words_are_those_of_the_pattern(letters, pattern, lower):
             w = words(part, letters)
             for i in range(len(w.first) - 1):
                 raw = [part.data[a:b].tobytes().decode() for a, b in zip(w.start[w.first[i]:w.first[i + 1]], w.end[w.first[i]:w.first[i + 1]])]
-                got.append(raw)
                 got.append([x.translate(LOWER) if lower else x for x in raw])
                 for word, h in zip(raw, w.hash[w.first[i]:w.first[i + 1]]):
                     key = word.translate(LOWER) if lower else word
