@@ -1,54 +1,72 @@
-"""Small dense solves on sums of products. Everything here is d x d, never a series."""
+"""Small dense solves on centred sums of products. Everything here is d x d, never a series.
+
+Moments are kept as (row count, means, sums of products around the means) of the columns
+x1..xd, y. Nothing is subtracted from a raw sum of squares, so a series far from zero loses no
+digits; parts of a series are combined by the pairwise formula.
+"""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 
 
-def packed_size(d: int) -> int:
-    """Length of the packed sums of the d + 2 columns (1, x1..xd, y)."""
-    return (d + 2) * (d + 3) // 2
+class Moments(NamedTuple):
+    n: float
+    mean: np.ndarray
+    centred: np.ndarray
+
+
+def empty(d: int) -> Moments:
+    return Moments(0.0, np.zeros(d + 1), np.zeros((d + 1, d + 1)))
+
+
+def unpack(packed, d: int) -> Moments:
+    """From [n, means, row-wise upper triangle of the centred sums]."""
+    flat = np.asarray(packed, dtype=float)
+    full = np.zeros((d + 1, d + 1))
+    full[np.triu_indices(d + 1)] = flat[d + 2 :]
+    return Moments(flat[0], flat[1 : d + 2], full + np.triu(full, 1).T)
 
 
-def unpack(packed, d: int) -> np.ndarray:
-    """Symmetric (d+2) x (d+2) matrix from its row-wise upper triangle."""
-    full = np.zeros((d + 2, d + 2))
-    upper = np.triu_indices(d + 2)
-    full[upper] = np.asarray(packed, dtype=float)
-    return full + np.triu(full, 1).T
+def combine(a: Moments, b: Moments) -> Moments:
+    """Moments of the rows of both parts."""
+    if a.n <= 0 or b.n <= 0:
+        return b if a.n <= 0 else a
+    n = a.n + b.n
+    step = b.mean - a.mean
+    return Moments(n, a.mean + step * (b.n / n), a.centred + b.centred + np.outer(step, step) * (a.n * b.n / n))
 
 
-def ridge(moments: np.ndarray, l2: float, used: int | None = None):
+def ridge(m: Moments, l2: float, used: int | None = None):
     """(intercept, weights) of the penalised least squares on the first `used` features.
 
     The intercept is not penalised. Weights of unused features are 0. None when no row counted.
     """
-    d = moments.shape[0] - 2
+    d = len(m.mean) - 1
     used = d if used is None else used
-    n = moments[0, 0]
-    if n <= 0:
+    if m.n <= 0:
         return None
-    mean = moments[0] / n
-    centred = moments - n * np.outer(mean, mean)
-    xs = slice(1, 1 + used)
-    a = centred[xs, xs] + l2 * np.eye(used)
-    b = centred[xs, -1]
+    xs = slice(0, used)
+    a = m.centred[xs, xs] + l2 * np.eye(used)
+    b = m.centred[xs, -1]
     try:
         w = np.linalg.solve(a, b)
     except np.linalg.LinAlgError:
         w = np.linalg.lstsq(a, b, rcond=None)[0]
     weights = np.zeros(d)
     weights[:used] = w
-    return float(mean[-1] - weights @ mean[1:-1]), weights
+    return float(m.mean[-1] - weights @ m.mean[:-1]), weights
 
 
-def squared_error(moments: np.ndarray, intercept: float, weights: np.ndarray) -> float:
-    """Sum of squared errors of a linear model on the rows behind the sums."""
-    c = np.concatenate([[intercept], weights, [-1.0]])
-    return float(max(c @ moments @ c, 0.0))
+def squared_error(m: Moments, intercept: float, weights: np.ndarray) -> float:
+    """Sum of squared errors of a linear model on the rows behind the moments."""
+    c = np.concatenate([weights, [-1.0]])
+    off = m.mean[-1] - weights @ m.mean[:-1] - intercept
+    return float(max(c @ m.centred @ c, 0.0) + m.n * off * off)
 
 
-def total_squares(moments: np.ndarray) -> float:
+def total_squares(m: Moments) -> float:
     """Sum of squares of y around its mean."""
-    n = moments[0, 0]
-    return float(moments[-1, -1] - moments[0, -1] ** 2 / n) if n > 0 else 0.0
+    return float(m.centred[-1, -1]) if m.n > 0 else 0.0

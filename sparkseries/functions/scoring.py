@@ -30,9 +30,14 @@ def mae(y: Column, yhat: Column) -> Column:
     return F.avg(F.abs(y - yhat))
 
 
+def floored_percentage(y: Column, yhat: Column) -> Column:
+    """Row-wise |e| over |y|, with a floor for |y|."""
+    return F.abs(y - yhat) / F.greatest(F.abs(y), F.lit(MAPE_FLOOR))
+
+
 def mape(y: Column, yhat: Column) -> Column:
     """Mean absolute percentage error as a fraction."""
-    return F.avg(F.abs(y - yhat) / F.greatest(F.abs(y), F.lit(MAPE_FLOOR)))
+    return F.avg(floored_percentage(y, yhat))
 
 
 def smape(y: Column, yhat: Column, percent: bool = False) -> Column:

@@ -2,7 +2,7 @@
 
 The model form follows Taylor & Letham, "Forecasting at Scale" (2018). The fit needs only sums
 of products, and the model terms depend on the day alone. So Spark first reduces each day of a
-series to (count, sum, sum of squares); the days of one (series, time block) become one d x d
+series to (count, mean, squares around it), taken from the level of the series; the days of one (series, time block) become one d x d
 sum; the few sums of a series are added and solved. No step sees more than one block of days.
 """
 
@@ -56,8 +56,11 @@ def _penalty(l2_trend: float, l2_season: float) -> np.ndarray:
 _UPPER = np.triu_indices(N_TERMS + 1)
 
 
-def _day_sums(day, n, y, yy, first: float, last: float) -> np.ndarray:
-    """Sums of products of (terms, y) over days that stand for `n` observations each."""
+def _day_sums(day, n, mean, spread, first: float, last: float, level: float) -> np.ndarray:
+    """Sums of products of (terms, y - level) over days that stand for `n` observations each,
+    given by their mean and the sum of squares around it."""
+    above = mean - level
+    y, yy = n * above, spread + n * above * above
     x = design(day, np.full(len(day), first), np.full(len(day), last))
     g = np.empty((N_TERMS + 1, N_TERMS + 1))
     g[:-1, :-1] = x.T @ (x * n[:, None])
@@ -66,8 +69,8 @@ def _day_sums(day, n, y, yy, first: float, last: float) -> np.ndarray:
     return g
 
 
-def _solve(g: np.ndarray, penalty: np.ndarray) -> tuple:
-    """(n_obs, weights, sigma)"""
+def _solve(g: np.ndarray, penalty: np.ndarray, level: float) -> tuple:
+    """(n_obs, weights, sigma); `level` goes back into the constant term."""
     xx, xy, yy = g[:-1, :-1], g[:-1, -1], g[-1, -1]
     a = xx + np.diag(penalty)
     if penalty[2:].min() > 1e-6:
@@ -76,6 +79,7 @@ def _solve(g: np.ndarray, penalty: np.ndarray) -> tuple:
         w = np.linalg.lstsq(a, xy, rcond=None)[0]
     n = int(round(g[0, 0]))
     left = max(yy - 2 * w @ xy + w @ xx @ w, 0.0)
+    w[0] += level
     return n, w, float(np.sqrt(left / max(n - 1, 1)))
 
 
@@ -94,17 +98,18 @@ def fit_additive_ridge(
     days = (
         df.where(F.col(y).isNotNull() & F.col(ds).isNotNull())
         .groupBy(*keys, F.col(ds).cast("date").alias("ds"))
-        .agg(F.count(F.lit(1)).cast("double").alias("_n"), F.sum(v).alias("_y"), F.sum(v * v).alias("_yy"))
+        .agg(F.count(F.lit(1)).cast("double").alias("_n"), F.avg(v).alias("_y"), (F.count(F.lit(1)) * F.var_pop(v)).alias("_yy"))
     )
     bounds = days.groupBy(*keys).agg(
         day_index(F.min("ds")).cast("double").alias("_first"),
         day_index(F.max("ds")).cast("double").alias("_last"),
         F.count("ds").alias("_days"),
+        F.min_by("_y", "ds").alias("_level"),
     )
     rows = join_on(
         days.select(*keys, day_index(F.col("ds")).cast("double").alias("_day"), "_n", "_y", "_yy"), bounds, keys
     )
-    series = [*keys, "_first", "_last"]
+    series = [*keys, "_first", "_last", "_level"]
     key_types = [rows.schema[c] for c in series]
     sums_type = T.StructType([*key_types, T.StructField("_sums", T.ArrayType(T.DoubleType()))])
     model_type = T.StructType(
@@ -116,11 +121,11 @@ def fit_additive_ridge(
     fields = ["_day", "_n", "_y", "_yy"]
 
     def sums_of(pdf: pd.DataFrame) -> list[np.ndarray]:
-        columns = [pdf[c] for c in (*fields, "_first", "_last")]
+        columns = [pdf[c] for c in (*fields, "_first", "_last", "_level")]
         return [_day_sums(*values) for values in zip(*columns)]
 
     def with_models(keys_part: pd.DataFrame, sums: list[np.ndarray]) -> pd.DataFrame:
-        solved = [_solve(g, penalty) for g in sums]
+        solved = [_solve(g, penalty, level) for g, level in zip(sums, keys_part["_level"])]
         return keys_part.assign(**{c: [s[i] for s in solved] for i, c in enumerate(("n_obs", "weights", "sigma"))})
 
     def block_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -48,55 +48,64 @@ def fit_trend_season(
     both = F.col(ds).isNotNull() & F.col(y).isNotNull()
     t = F.when(both, day_index(F.col(ds)).cast("double"))
     v = F.when(both, F.col(y).cast("double"))
+    # Means, and sums of products around them, so that the level of a series loses no digits.
+    n = F.count(v).cast("double")
     sums = (
-        df.groupBy(*keys, SEASONS[season](F.col(ds)).alias("season"))
+        df.groupBy(*keys, SEASONS[season](F.col(ds)).alias("_season"))
         .agg(
-            F.count(v).alias("n"),
-            F.sum(t).alias("t"),
-            F.sum(v).alias("y"),
-            F.sum(t * t).alias("tt"),
-            F.sum(t * v).alias("ty"),
-            F.sum(v * v).alias("yy"),
-            F.min(F.when(both, F.col(ds))).alias("first_ds"),
-            F.max(F.when(both, F.col(ds))).alias("last_ds"),
+            F.count(v).alias("_n"),
+            F.avg(t).alias("_t"),
+            F.avg(v).alias("_y"),
+            (n * F.var_pop(t)).alias("_tt"),
+            (n * F.covar_pop(t, v)).alias("_ty"),
+            (n * F.var_pop(v)).alias("_yy"),
+            F.min(F.when(both, F.col(ds))).alias("_first"),
+            F.max(F.when(both, F.col(ds))).alias("_last"),
         )
-        .where("n > 0")
+        .where("_n > 0")
     )
-    per_season = F.struct("season", "n", "t", "y", "tt", "ty", "yy")
     total = sums.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in ("n", "t", "y", "tt", "ty")],
-        F.collect_list(per_season).alias("seasons"),  # at most one entry per season
-        F.min("first_ds").alias("first_ds"),
-        F.max("last_ds").alias("last_ds"),
+        F.sum("_n").alias("_n"),
+        # At most one entry per season.
+        F.collect_list(F.struct("_season", "_n", "_t", "_y", "_tt", "_ty", "_yy")).alias("_seasons"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
     )
-    n = F.col("n")
-    slope = F.coalesce(
-        F.try_divide(n * F.col("ty") - F.col("t") * F.col("y"), n * F.col("tt") - F.col("t") * F.col("t")),
-        F.lit(0.0),
-    )
-    total = total.withColumn("slope", slope)
-    total = total.withColumn("intercept", (F.col("y") - F.col("slope") * F.col("t")) / n)
+    n = F.col("_n")
 
-    def offset(s: Column) -> Column:
-        return (s.y - F.col("intercept") * s.n - F.col("slope") * s.t) / s.n
+    def over_seasons(value) -> Column:
+        return F.aggregate("_seasons", F.lit(0.0), lambda acc, s: acc + value(s))
+
+    base_t, base_y = F.col("_seasons")[0]["_t"], F.col("_seasons")[0]["_y"]
+    total = total.withColumns({
+        "_mt": base_t + over_seasons(lambda s: s["_n"] * (s["_t"] - base_t)) / n,
+        "_my": base_y + over_seasons(lambda s: s["_n"] * (s["_y"] - base_y)) / n,
+    })
+
+    def far_t(s: Column) -> Column:
+        return s["_t"] - F.col("_mt")
+
+    def far_y(s: Column) -> Column:
+        return s["_y"] - F.col("_my")
 
-    def spread(s: Column) -> Column:
-        """Sum of squares left in one season after trend and offset."""
-        tt, ty, yy = s.tt - s.t * s.t / s.n, s.ty - s.t * s.y / s.n, s.yy - s.y * s.y / s.n
-        b = F.col("slope")
-        return yy - 2 * b * ty + b * b * tt
+    tt = over_seasons(lambda s: s["_tt"] + s["_n"] * far_t(s) * far_t(s))
+    ty = over_seasons(lambda s: s["_ty"] + s["_n"] * far_t(s) * far_y(s))
+    total = total.withColumn("_slope", F.coalesce(F.try_divide(ty, tt), F.lit(0.0)))
+    b = F.col("_slope")
 
-    left = F.aggregate("seasons", F.lit(0.0), lambda acc, s: acc + spread(s))
+    def offset(s: Column) -> Column:
+        return far_y(s) - b * far_t(s)
+
+    # What one season has left after trend and offset.
+    left = over_seasons(lambda s: s["_yy"] - 2 * b * s["_ty"] + b * b * s["_tt"])
     return total.select(
         *keys,
-        F.col("n").alias("n_obs"),
-        "first_ds",
-        "last_ds",
-        "slope",
-        "intercept",
-        F.map_from_entries(
-            F.transform("seasons", lambda s: F.struct(s.season, offset(s)))
-        ).alias("season_offsets"),
+        n.alias("n_obs"),
+        F.col("_first").alias("first_ds"),
+        F.col("_last").alias("last_ds"),
+        b.alias("slope"),
+        (F.col("_my") - b * F.col("_mt")).alias("intercept"),
+        F.map_from_entries(F.transform("_seasons", lambda s: F.struct(s["_season"], offset(s)))).alias("season_offsets"),
         F.coalesce(F.sqrt(F.try_divide(F.greatest(left, F.lit(0.0)), n - 1)), F.lit(0.0)).alias("sigma"),
         F.lit(season).alias("season"),
     )
@@ -121,13 +130,21 @@ def future_days(
     return model.withColumn("ds", F.explode(F.when(end >= start, F.sequence(start, end))))
 
 
+def season_of(model: Column, ds: Column) -> Column:
+    """The season number of a day under the season that a model row names."""
+    number = None
+    for name, of in SEASONS.items():
+        number = F.when(model == name, of(ds)) if number is None else number.when(model == name, of(ds))
+    return number
+
+
 def predict_trend_season(
-    rows: DataFrame, keys: Sequence[str], width: float = INTERVAL_WIDTH, season: str = "day_of_week", keep=()
+    rows: DataFrame, keys: Sequence[str], width: float = INTERVAL_WIDTH, keep=()
 ) -> DataFrame:
     """(keys, ds, yhat, yhat_lower, yhat_upper) for rows that carry a model and a `ds`."""
     z = interval_z(width)
     offset = F.coalesce(
-        F.try_element_at("season_offsets", SEASONS[season](F.col("ds"))), F.lit(0.0)
+        F.try_element_at("season_offsets", season_of(F.col("season"), F.col("ds"))), F.lit(0.0)
     )
     yhat = F.col("intercept") + F.col("slope") * day_index(F.col("ds")) + offset
     return rows.select(
@@ -156,7 +173,7 @@ def additive_forecast(
     if model == "trend_season":
         fitted = fit_trend_season(df, keys, ds, y, **options)
         rows = future_days(fitted, keys, horizon, until, include_history)
-        return predict_trend_season(rows, keys, width, **options)
+        return predict_trend_season(rows, keys, width)
     if model == "ridge":
         from sparkseries.operators.additive import fit_additive_ridge, predict_additive_ridge
 

@@ -21,11 +21,21 @@ from sparkseries.operators.splits import holdout_fraction
 
 
 def moments(df: DataFrame, keys: Sequence[str], features: Sequence[str], y: str, out: str = "moments") -> DataFrame:
-    """Packed sums of products of (1, features, y) per key: one row per key, JVM-side."""
-    cols = [F.lit(1.0), *[F.col(f).cast("double") for f in features], F.col(y).cast("double")]
-    products = [F.sum(cols[i] * cols[j]) for i in range(len(cols)) for j in range(i, len(cols))]
+    """Packed row count, means and centred sums of products of (features, y) per key, JVM-side.
+
+    Variances and covariances are merged around their means by Spark, so the level of a series
+    does not matter.
+    """
+    cols = [*[F.col(f).cast("double") for f in features], F.col(y).cast("double")]
+    n = F.count(F.lit(1)).cast("double")
+    means = [F.avg(c) for c in cols]
+    centred = [
+        n * (F.var_pop(cols[i]) if i == j else F.covar_pop(cols[i], cols[j]))
+        for i in range(len(cols))
+        for j in range(i, len(cols))
+    ]
     complete = df.dropna("any", subset=[*features, y])
-    return complete.groupBy(*keys).agg(F.array(*products).alias(out))
+    return complete.groupBy(*keys).agg(F.array(n, *means, *centred).alias(out))
 
 
 MODEL_FIELDS = [
@@ -46,10 +56,10 @@ def fit_ridge(df: DataFrame, keys: Sequence[str], features: Sequence[str], y: st
             out = pdf[keys].copy()
             full = [linalg.unpack(p, d) for p in pdf["moments"]]
             models = [linalg.ridge(m, l2) for m in full]
-            out["n_train"] = [int(m[0, 0]) for m in full]
+            out["n_train"] = [int(m.n) for m in full]
             out["intercept"] = [b for b, _ in models]
             out["weights"] = [w for _, w in models]
-            out["means"] = [m[0, 1:-1] / m[0, 0] for m in full]
+            out["means"] = [m.mean[:-1] for m in full]
             yield out
 
     schema = T.StructType([*(sums.schema[k] for k in keys), *MODEL_FIELDS])

@@ -40,7 +40,7 @@ def forecast_and_actuals(
     smoothed = ema(hourly, keys, ts, value, alpha, out=f"hourly_ema_{value}")
     model = fit_trend_season(hourly, keys, ts, value, season=season)
     rows = join_on(smoothed, model, keys).withColumn("ds", F.col(ts))
-    out = predict_trend_season(rows, keys, season=season, keep=[value, f"hourly_ema_{value}"])
+    out = predict_trend_season(rows, keys, keep=[value, f"hourly_ema_{value}"])
     return out.select(
         *keys, F.col("ds").alias(ts), F.col(value).alias(f"hourly_{value}"), f"hourly_ema_{value}", "yhat"
     )

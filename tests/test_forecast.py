@@ -139,3 +139,18 @@ def test_shared_scan_in_the_walk_forward_plan(spark, sf):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_season_comes_from_the_model(spark):
+    rows = [(f"2020-{m:02d}-{d:02d}", float(100 * m)) for m in range(1, 13) for d in (1, 11, 21)]
+    df = spark.createDataFrame(rows, "ds string, y double").withColumn("ds", F.col("ds").cast("date"))
+    model = forecast.fit_trend_season(df, [], season="month")
+    out = forecast.predict_trend_season(model.crossJoin(df), [], keep=["y"]).collect()
+    assert max(abs(r.yhat - r.y) for r in out) < 60
+
+
+@pytest.mark.parametrize("name", ["season", "n", "y_", "t", "yy", "first_ds_"])
+def test_any_key_name(spark, name):
+    df = spark.createDataFrame([("a", f"2020-01-{d:02d}", float(d)) for d in range(1, 15)], f"{name} string, ds string, y double")
+    df = df.withColumn("ds", F.col("ds").cast("date"))
+    assert forecast.fit_trend_season(df, [name]).count() == 1

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkseries.functions import linalg
-from sparkseries.operators import ensemble, models, synth, tuning
+from sparkseries.operators import ensemble, features, forecast, models, synth, tuning
+from sparkseries.operators.additive import fit_additive_ridge
 
 
 @pytest.fixture(scope="module")
@@ -34,11 +35,48 @@ def direct(x, y, l2):
     return y.mean() - x.mean(0) @ w, w
 
 
-def test_packed_sums_round_trip():
-    a = np.arange(25.0).reshape(5, 5)
-    a = a + a.T
-    assert np.array_equal(linalg.unpack(a[np.triu_indices(5)], 3), a)
-    assert linalg.packed_size(3) == 15
+def test_moments_of_parts_combine():
+    x = np.random.default_rng(1).normal(5, 2, (40, 4))
+
+    def of(part):
+        c = part - part.mean(0)
+        packed = [len(part), *part.mean(0), *(c.T @ c)[np.triu_indices(4)]]
+        return linalg.unpack(packed, 3)
+
+    whole = of(x)
+    both = linalg.combine(linalg.combine(linalg.empty(3), of(x[:7])), of(x[7:]))
+    assert both.n == whole.n and np.allclose(both.mean, whole.mean) and np.allclose(both.centred, whole.centred)
+
+
+@pytest.mark.parametrize("level", [0.0, 1e6, 1e9])
+def test_fits_do_not_depend_on_the_level(spark, level):
+    """Weights, errors and intervals are those of the same series near zero."""
+    rng = np.random.default_rng(4)
+    rows = [("a", i, float(np.round(v * 64) / 64)) for i, v in enumerate(rng.normal(0, 1, 400))]
+    base = spark.createDataFrame(rows, "k string, t int, y double").withColumn("t", F.date_add(F.lit("2020-01-01").cast("date"), F.col("t")))
+    high = base.withColumn("y", F.col("y") + level)
+
+    def results(df):
+        table = features.lag_table(df, ["k"], "t", "y", (1, 2))
+        names = ["y_lag1", "y_lag2"]
+        ridge = models.fit_ridge(table, ["k"], names, "y", 1.0).first()
+        tuned = tuning.tuned_scores(table, ["k"], "t", names, "y", tuning.grid(l2=[1.0, 50.0]), 4, metrics=["rmse"]).first()
+        season = forecast.fit_trend_season(df, ["k"], "t", "y").first()
+        smooth = fit_additive_ridge(df, ["k"], "t", "y").first()
+        return np.array([*ridge.weights, tuned.cv_score, tuned.rmse, season.slope, season.sigma, *sorted(v - 0 for v in season.season_offsets.values()), smooth.sigma])
+
+    assert np.allclose(results(base), results(high), atol=2e-6)
+
+
+def test_series_too_short_for_folds_keep_their_row(spark):
+    rows = [("long", i, float(i % 7), float(i % 5)) for i in range(60)] + [("short", i, float(i % 3), 1.0 + i) for i in range(6)] + [("one", 0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, t int, x double, y double")
+    out = {r.k: r for r in tuning.tuned_scores(df, ["k"], "t", ["x"], "y", tuning.grid(l2=[1.0, 2.0]), 10).collect()}
+    assert set(out) == {"long", "short", "one"}
+    assert out["short"].candidate_id == 0 and out["short"].cv_score is None and out["short"].rmse is not None
+    assert out["one"].candidate_id is None and out["one"].rmse is None
+    searched = tuning.random_search(df, ["k"], "t", ["x"], "y", tuning.grid(l2=[1.0, 2.0]))
+    assert {r.k for r in searched.collect()} >= {"long", "short"}
 
 
 def test_ridge_equals_a_direct_solve(ar1):
@@ -128,7 +166,7 @@ def test_series_without_folds_has_no_row(ar1):
     tiny = ar1.where("t < 8")
     grid = tuning.grid(l2=[1.0])
     assert tuning.fold_scores(tiny, ["k"], "t", X, "y", grid, 10).count() == 0
-    assert tuning.tune_ridge(tiny, ["k"], "t", X, "y", grid, 10).count() == 0
+    assert {(r.candidate_id, r.cv_score) for r in tuning.tune_ridge(tiny, ["k"], "t", X, "y", grid, 10).collect()} == {(0, None)}
 
 
 def test_tuned_scores(ar1):
@@ -151,7 +189,7 @@ def test_run_trials_spreads_work(spark):
             yield pdf.assign(twice=pdf.candidate_id * 2)
 
     trials = spark.range(10).withColumnRenamed("id", "candidate_id").coalesce(1)
-    out = tuning.run_trials(trials, double, "candidate_id long, twice long", 4)
+    out = tuning.run_trials(trials, double, "candidate_id long, twice long", parallelism=4)
     assert sorted(r.twice for r in out.collect()) == list(range(0, 20, 2))
 
 
