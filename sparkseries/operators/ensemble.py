@@ -13,8 +13,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkseries.operators.rank import with_position
-from sparkseries.operators.splits import fold_segments
+from sparkseries.operators.splits import fold_segments, labelled
 from sparkseries.session import kept
 
 # The tuning grid of the single tree-ensemble model.
@@ -45,9 +44,7 @@ def fit_trees(df: DataFrame, features: Sequence[str], label: str, **params) -> P
 
 def time_fold_column(df: DataFrame, keys: Sequence[str], ts: str, k: int, out: str = "fold", block=None) -> DataFrame:
     """Label rows with `k` contiguous time blocks per series, for `CrossValidator.foldCol`."""
-    rows = with_position(df, keys, [ts], pos="_rn", total="_n", block=block)
-    fold = F.floor((F.col("_rn") - 1) * k / F.col("_n")).cast("int")
-    return rows.select(*df.columns, fold.alias(out))
+    return labelled(df, keys, ts, lambda at, total: F.floor((at - 1) * k / total).cast("int"), out, block)
 
 
 def cross_validated_trees(

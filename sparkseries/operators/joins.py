@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side of a join is broadcast only when it was counted and has at most this many rows.
-BROADCAST_ROWS = 500_000
-
 
 def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
     """Equality of two name lists under which a null key meets its own rows."""
@@ -42,15 +39,17 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, null_safe(keys, names), how).drop(*names)
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it is small; runs a job that counts it.
+def sized(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder, where the cluster names one; runs a job.
 
-    Without the hint Spark starts to shuffle the large side before it has measured the small
-    one. The counted rows stay in memory or on disk for the join that follows; a table too
-    long to broadcast is released and joined by shuffle.
+    Spark then knows its size in bytes before it plans the join that follows, and broadcasts it
+    under its own threshold or shuffles both sides. Each call has a table of its own, so no
+    later call reads old rows. Without a shared folder `df` is returned as it is.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= max_rows:
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/sized-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

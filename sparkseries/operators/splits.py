@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkseries.operators.joins import join_on
-from sparkseries.operators.rank import with_position
+from sparkseries.operators.rank import label_by_position, with_position
 
 # Rolling-origin folds in days (first history, step between cutoffs, test span).
 INITIAL_DAYS = 700
@@ -20,13 +20,19 @@ def _ranked(df, keys, ts, block):
     return with_position(df, keys, [ts], pos="_rn", total="_n", block=block)
 
 
+def labelled(df, keys, ts, label, out, block):
+    """`df` with `label(position, length)`: from one ranking, or from block counts."""
+    if block is not None:
+        return label_by_position(df, keys, [ts], label, out, block)
+    rows = _ranked(df, keys, ts, None)
+    return rows.select(*df.columns, label(F.col("_rn"), F.col("_n")).alias(out))
+
+
 def holdout_last(
     df: DataFrame, keys: Sequence[str], ts: str, n: int, part: str = "part", block: Column | None = None
 ) -> DataFrame:
     """Label the last `n` rows of each series 'test' and the others 'train'."""
-    rows = _ranked(df, keys, ts, block)
-    label = F.when(F.col("_rn") > F.col("_n") - n, "test").otherwise("train")
-    return rows.select(*df.columns, label.alias(part))
+    return labelled(df, keys, ts, lambda at, total: F.when(at > total - n, "test").otherwise("train"), part, block)
 
 
 def holdout_fraction(
@@ -38,10 +44,11 @@ def holdout_fraction(
     block: Column | None = None,
 ) -> DataFrame:
     """Label the last ceil(fraction * n) rows of each series 'test'."""
-    rows = _ranked(df, keys, ts, block)
-    test_rows = F.ceil(F.col("_n") * F.lit(fraction))
-    label = F.when(F.col("_rn") > F.col("_n") - test_rows, "test").otherwise("train")
-    return rows.select(*df.columns, label.alias(part))
+
+    def label(at: Column, total: Column) -> Column:
+        return F.when(at > total - F.ceil(total * F.lit(fraction)), "test").otherwise("train")
+
+    return labelled(df, keys, ts, label, part, block)
 
 
 def fold_segments(
@@ -53,13 +60,14 @@ def fold_segments(
     part of fold i-1, and fold i trains on the segments 0..i. Series with fewer than k+1 rows
     have no folds: their segment is null.
     """
-    rows = _ranked(df, keys, ts, block)
-    size = F.floor(F.col("_n") / (k + 1))
-    first = F.col("_n") - k * size
-    segment = F.when(F.col("_rn") <= first, F.lit(0)).otherwise(
-        F.ceil(F.try_divide(F.col("_rn") - first, size))
-    )
-    return rows.select(*df.columns, F.when(size > 0, segment).cast("int").alias(out))
+
+    def label(at: Column, total: Column) -> Column:
+        size = F.floor(total / (k + 1))
+        first = total - k * size
+        segment = F.when(at <= first, F.lit(0)).otherwise(F.ceil(F.try_divide(at - first, size)))
+        return F.when(size > 0, segment).cast("int")
+
+    return labelled(df, keys, ts, label, out, block)
 
 
 def time_series_folds(

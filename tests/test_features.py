@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkseries.operators import features
-from sparkseries.operators.rank import with_position
+from sparkseries.operators.rank import split_blocks, with_position
 
 
 def hours(spark, values, series="a", skip=()):
@@ -117,3 +117,29 @@ def test_moving_average_shortens_at_the_ends(spark):
 def test_feature_vector(spark):
     out = features.feature_vector(spark.createDataFrame([(1.0, 2.0)], "a double, b double"), ["a", "b"])
     assert list(out.first().features) == [1.0, 2.0]
+
+
+def test_blocked_windows_see_files_added_between_calls(spark, tmp_path):
+    """Counts of an earlier call on the same path are not used again."""
+    path = str(tmp_path / "readings")
+    make = lambda lo: spark.range(lo, lo + 100).select(F.lit("a").alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    for round_, want in ((0, 100), (1, 200)):
+        make(100 * round_).write.mode("append").parquet(path)
+        df = spark.read.parquet(path)
+        block = F.floor(F.col("t") / 10)
+        assert with_position(df, ["k"], ["t"], block=block).where("pos = t + 1").count() == want
+        assert features.lag_features(df, ["k"], "t", "v", [1], block=block, chunk_rows=30).where("v_lag1 = v - 1 OR t = 0").count() == want
+
+
+@pytest.mark.parametrize("chunk", [7, 50])
+def test_one_block_is_split(spark, chunk):
+    """All rows of a series in one block: positions, lags and labels are those of the plain form."""
+    df = spark.range(500).select(F.when(F.col("id") < 450, "a").otherwise("b").alias("k"), (F.col("id") * 37 % 500).alias("t")).withColumn("v", F.col("t") * 2)
+    same = F.lit(1)
+    assert rows(with_position(df, ["k"], ["t"], total="n"), "k", "t", "pos", "n") == rows(
+        with_position(df, ["k"], ["t"], total="n", block=same, chunk_rows=chunk), "k", "t", "pos", "n")
+    parts = split_blocks(df.withColumn("_block", same), ["k"], ["t"], chunk).groupBy("k", "_block").count()
+    assert parts.agg(F.max("count")).first()[0] < 4 * chunk and parts.count() > 5
+    plain = features.lag_features(df, ["k"], "t", "v", [1, 12])
+    blocked = features.lag_features(df, ["k"], "t", "v", [1, 12], block=same, chunk_rows=chunk)
+    assert rows(plain, "k", "t", "v_lag1", "v_lag12") == rows(blocked, "k", "t", "v_lag1", "v_lag12")

@@ -86,3 +86,19 @@ def test_chart_frame(spark):
     predicted = splits.holdout_last(df, ["k"], "ds", 48).where("part = 'test'").withColumn("yhat", F.col("y"))
     out = splits.chart_frame(df, ["k"], "ds", "y", predicted)
     assert {r.part: r["count"] for r in out.groupBy("part").count().collect()} == {"train": 150, "test": 48, "forecast": 48}
+
+
+def test_blocked_holdout_ranks_only_boundary_blocks(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.col("id").cast("string").alias("raw"))
+    block = F.floor(F.col("t") / 60)
+    for blocked, plain in (
+        (splits.holdout_last(df, ["k"], "t", 48, block=block), splits.holdout_last(df, ["k"], "t", 48)),
+        (splits.holdout_fraction(df, ["k"], "t", 0.2, block=block), splits.holdout_fraction(df, ["k"], "t", 0.2)),
+        (splits.fold_segments(df, ["k"], "t", 7, block=block), splits.fold_segments(df, ["k"], "t", 7)),
+    ):
+        assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, plain.collect()))
+    out = splits.holdout_last(df, ["k"], "t", 48, block=block)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 1  # the boundary blocks, for their ranking
