@@ -22,6 +22,8 @@ PLAIN = {
     "max_error": scoring.max_error,
 }
 ALL_METRICS = (*PLAIN, "mdape", "coverage")
+# Fixed value: the measures that a cross-validation by horizon reports.
+HORIZON_METRICS = ("mse", "rmse", "mae", "mdape", "smape", "coverage")
 
 # Relative rank error allowed to the sketch that brackets an exact median.
 _SKETCH_ACCURACY = 10_000
@@ -127,7 +129,7 @@ def score_by_horizon(
     by: Sequence[str] = (),
     window: int = 1,
     horizon: int | None = None,
-    metrics: Sequence[str] = ("mse", "rmse", "mae", "mdape", "smape", "coverage"),
+    metrics: Sequence[str] = HORIZON_METRICS,
     **options,
 ) -> DataFrame:
     """Measures by days ahead of the cutoff, rolling over the last `window` horizons.

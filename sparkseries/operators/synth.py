@@ -14,10 +14,8 @@ from dataclasses import dataclass
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 N_KNOTS = 201
 N_GRID = 1001
@@ -39,23 +37,15 @@ def _normal_grid(n: int) -> np.ndarray:
     return np.array([norm.inv_cdf((i + 0.5) / n) for i in range(n)])
 
 
-def _to_score(values, scores):
-    @F.pandas_udf(T.DoubleType())
-    def score(x: pd.Series) -> pd.Series:
-        return pd.Series(np.interp(x.to_numpy(float), values, scores)).where(x.notna().to_numpy())
-
-    return score
-
-
-def _to_value(z: Column, values, scores) -> Column:
-    """Value at a normal score: linear between points of an even grid, so the place in the
-    table is plain arithmetic and the draws never leave the JVM."""
-    low, high = scores[0], scores[-1]
+def _interpolated(x: Column, xs, ys) -> Column:
+    """Piecewise linear function through (xs, ys): linear between points of an even grid over xs,
+    so the place in the table is plain arithmetic and no row leaves the JVM."""
+    low, high = xs[0], xs[-1]
     if low == high:
-        return F.lit(float(values[0]))
-    grid = np.interp(np.linspace(low, high, N_GRID), scores, values)
+        return F.when(x.isNotNull(), F.lit(float(ys[0])))
+    grid = np.interp(np.linspace(low, high, N_GRID), xs, ys)
     table = F.expr("array(" + ", ".join(f"{v!r}D" for v in grid.tolist()) + ")")
-    place = (F.least(F.greatest(z, F.lit(low)), F.lit(high)) - low) / ((high - low) / (N_GRID - 1))
+    place = (F.least(F.greatest(x, F.lit(low)), F.lit(high)) - low) / ((high - low) / (N_GRID - 1))
     cell = F.least(F.greatest(F.floor(place), F.lit(0)), F.lit(N_GRID - 2)).cast("int")
     left, right = F.element_at(table, cell + 1), F.element_at(table, cell + 2)
     return left + (place - cell) * (right - left)
@@ -76,7 +66,7 @@ def fit_copula(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) ->
         # A value that spans several knots (ties) takes their mean score.
         values[c] = knots.tolist()
         scores[c] = (np.bincount(where, grid) / np.bincount(where)).tolist()
-    scored = rows.select(*[_to_score(values[c], scores[c])(F.col(c)).alias(c) for c in columns])
+    scored = rows.select(*[_interpolated(F.col(c), values[c], scores[c]).alias(c) for c in columns])
     # A constant column has one knot and no correlation with anything.
     varying = [c for c in columns if len(values[c]) > 1]
     pairs = list(itertools.combinations(varying, 2))
@@ -103,8 +93,10 @@ def synthesize(
     series: str = "series",
     keep: Sequence[str] = (),
     seed: int = 11,
+    own: int | None = None,
 ) -> DataFrame:
-    """One synthetic row per source row and copy number, labelled in `series`.
+    """One synthetic row per source row and copy number, labelled in `series`. The copy number
+    `own`, if given, holds the source's own values.
 
     The `keep` columns (the time grid) are taken over; the copula columns are draws. `ids` must
     identify a source row. Draws are independent between rows, like those of the source method.
@@ -120,7 +112,9 @@ def synthesize(
     for i, c in enumerate(copula.columns):
         z = sum((F.lit(float(root[i, j])) * F.col(f"_e{j}") for j in range(i + 1)), F.lit(0.0))
         rows = rows.withColumn(f"_z{i}", z)
-        drawn[c] = _to_value(F.col(f"_z{i}"), copula.values[c], copula.scores[c])
+        drawn[c] = _interpolated(F.col(f"_z{i}"), copula.scores[c], copula.values[c])
+    if own is not None:
+        drawn = {c: F.when(F.col(series) == own, F.col(c).cast("double")).otherwise(v) for c, v in drawn.items()}
     return rows.select(series, *keep, *[v.alias(c) for c, v in drawn.items()])
 
 
@@ -134,7 +128,4 @@ def synthetic_panel(
     seed: int = 11,
 ) -> DataFrame:
     """The source rows as series 1 and `n_series - 1` synthetic ones on the same time grid."""
-    copula = fit_copula(df, columns)
-    own = df.select(F.lit(1).alias(series), *keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    drawn = synthesize(df, copula, ids, range(2, n_series + 1), series, keep, seed)
-    return own.unionByName(drawn)
+    return synthesize(df, fit_copula(df, columns), ids, range(1, n_series + 1), series, keep, seed, own=1)

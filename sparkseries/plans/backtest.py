@@ -129,10 +129,10 @@ def walk_forward(
 
 
 def compare_runs(forecast: DataFrame, actuals: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Stored forecasts next to the actuals of the same run and day, in run and date order.
+    """Stored forecasts next to the actuals of the same run and day.
 
     Both sides are cast to a date before they meet, whatever type their `ds` has.
     """
     left = forecast.withColumn("date", F.col("ds").cast("date")).drop("ds")
     right = actuals.withColumnRenamed("ds", "date").withColumn("date", F.col("date").cast("date"))
-    return join_on(left, right, ["date", "runid", *keys]).orderBy("runid", *keys, "date")
+    return join_on(left, right, ["date", "runid", *keys])

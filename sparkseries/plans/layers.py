@@ -16,7 +16,7 @@ from sparkseries.operators.forecast import fit_trend_season, future_days, predic
 from sparkseries.operators.metrics import score
 from sparkseries.plans.backtest import RunWindow, assign_runs, evaluation_rows, run_end
 from sparkseries.sources.layers import read_layer, write_layer
-from sparkseries.sources.registry import append_runs, latest_model, long_runs, register_model, schema_signature
+from sparkseries.sources.registry import append_runs, checked_model, long_runs, register_model, schema_signature
 
 PARTS = ("train", "eval")
 
@@ -50,22 +50,25 @@ def run_layers(
 ) -> DataFrame:
     """Write all layers, the model, the gold forecast and the run log; returns the run scores."""
     spark: SparkSession = raw.sparkSession
+    ids = [r.runid for r in runs]
     for part in PARTS:
-        write_layer(bronze(raw, date, runs, part), f"{base}/bronze_{part}")
-        write_layer(silver(read_layer(spark, f"{base}/bronze_{part}"), date, value, keys), f"{base}/silver_{part}")
+        write_layer(bronze(raw, date, runs, part), f"{base}/bronze_{part}", runs=ids)
+        typed = silver(read_layer(spark, f"{base}/bronze_{part}", ids), date, value, keys)
+        write_layer(typed, f"{base}/silver_{part}", runs=ids)
     by = ["runid", *keys]
-    train = read_layer(spark, f"{base}/silver_train")
+    train = read_layer(spark, f"{base}/silver_train", ids)
     model = fit_trend_season(train, by)
     forecast = predict_trend_season(future_days(model, by, until=run_end(runs)), by)
     register_model(spark, f"{base}/models", model_name, model, schema_signature(train, forecast))
 
-    stored = latest_model(spark, f"{base}/models", model_name)
+    stored = checked_model(spark, f"{base}/models", model_name, train)
     forecast = predict_trend_season(future_days(stored, by, until=run_end(runs)), by)
-    write_layer(forecast, f"{base}/gold_forecast")
+    write_layer(forecast, f"{base}/gold_forecast", runs=ids)
 
     scores = evaluate_layers(spark, base, keys)
     counts = layer_counts(spark, base)
-    per_run = score_runs(spark, base).join(counts, "runid", "left")
+    lost = [(F.col(f"bronze_{p}_count") - F.coalesce(f"silver_{p}_count", F.lit(0))).alias(f"{p}_dropped_count") for p in PARTS]
+    per_run = score_runs(spark, base).join(counts.select("*", *lost), "runid", "left")
     windows = spark.createDataFrame(
         [(r.runid, r.start, r.train_end, r.eval_end) for r in runs],
         "runid int, start string, train_end string, eval_end string",

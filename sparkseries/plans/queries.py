@@ -639,7 +639,7 @@ def rolling_origin(spark, sf):
     return rounded(out, 2, "y")
 
 
-_CV = ("mse", "rmse", "mae", "mdape", "smape", "coverage")
+_CV = metrics.HORIZON_METRICS
 _CV_PLACES = {"mse": 0, "rmse": 2, "mae": 2, "mdape": 6, "smape": 6, "coverage": 6}
 
 
@@ -661,13 +661,15 @@ def scores_by_horizon(spark, sf):
 
 
 @query(
-    f"WITH {_CV_SQL}, k AS (SELECT horizon, {', '.join(f'{_ERR[n]} AS {n}' for n in _CV)} FROM z GROUP BY 1)"
+    f"WITH {_CV_SQL}, g AS (SELECT CAST(unnest(range(9, 91)) AS INTEGER) AS ahead),"
+    " o AS (SELECT ahead AS horizon, y, yhat, yhat_lower, yhat_upper FROM z JOIN g ON z.horizon BETWEEN ahead - 8 AND ahead),"
+    f" k AS (SELECT horizon, {', '.join(f'{_ERR[n]} AS {n}' for n in _CV)} FROM o GROUP BY 1)"
     f" SELECT {', '.join(f'round(avg({n}), {_CV_PLACES[n]}) + 0.0 AS {n}' for n in _CV)} FROM k"
 )
 def cross_validation_metrics(spark, sf):
-    """Mean of each measure over the 90 horizons."""
+    """Mean of each measure over the horizons, each rolling over nine of the 90 days."""
     rows = forecast.rolling_origin(daily(spark, sf), [])
-    per_day = metrics.score_by_horizon(rows, "y", "yhat", "ds", metrics=_CV, median="grouped")
+    per_day = metrics.score_by_horizon(rows, "y", "yhat", "ds", window=9, horizon=90, metrics=_CV, median="grouped")
     out = metrics.mean_over_horizons(per_day, [], _CV)
     return out.withColumns({n: F.round(n, _CV_PLACES[n]) + F.lit(0.0) for n in _CV})
 
@@ -769,19 +771,19 @@ def _run_actuals(spark, sf, runs=RUNS):
     f"WITH {_RUN_JOIN} SELECT runid, ds AS date, {_BAND_OUT}, round(y, 2) AS y FROM j"
 )
 def compare_runs(spark, sf):
-    """Forecasts next to actuals, per run and date."""
+    """Forecasts next to actuals, per run and date, in that order."""
     out = backtest.compare_runs(backtest.walk_forward_forecast(daily(spark, sf), RUNS), _run_actuals(spark, sf))
-    return rounded(rounded(out, 3, "yhat", "yhat_lower", "yhat_upper"), 2, "y")
+    return rounded(rounded(out, 3, "yhat", "yhat_lower", "yhat_upper"), 2, "y").orderBy("runid", "date")
 
 
 @query(
-    f"WITH {_RUN_JOIN} SELECT count(*) AS eval_forecast_count, round(sqrt(avg((y - yhat) * (y - yhat))), 2) AS eval_rmse FROM j WHERE runid = 1"
+    f"WITH {_RUN_JOIN} SELECT runid, count(*) AS eval_forecast_count, round(sqrt(avg((y - yhat) * (y - yhat))), 2) AS eval_rmse FROM j GROUP BY runid"
 )
 def evaluate_one_run(spark, sf):
-    """Join, completeness, count and RMSE of one stored forecast."""
-    forecasts = backtest.walk_forward_forecast(daily(spark, sf), RUNS[:1])
-    rows = backtest.evaluation_rows(_run_actuals(spark, sf, RUNS[:1]), forecasts, ["runid", "ds"])
-    out = metrics.score(rows, "y", "yhat", [], ["rmse"])
+    """Join, completeness, count and RMSE of each run's stored forecast."""
+    forecasts = backtest.walk_forward_forecast(daily(spark, sf), RUNS)
+    rows = backtest.evaluation_rows(_run_actuals(spark, sf), forecasts, ["runid", "ds"])
+    out = metrics.score(rows, "y", "yhat", ["runid"], ["rmse"])
     return rounded(out.withColumnsRenamed({"n_rows": "eval_forecast_count", "rmse": "eval_rmse"}), 2, "eval_rmse")
 
 

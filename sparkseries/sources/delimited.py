@@ -13,10 +13,11 @@ def read_text_columns(
 ) -> DataFrame:
     """Every column as text, typed later by tolerant casts.
 
-    With `columns` (all columns of the file, in order) no job runs to find the header. Without
-    it Spark reads the first line for the names.
+    With `columns` (all columns of the file, in order) no job runs to find the header; a file
+    whose header has other names, or another order, fails. Without it Spark reads the first line
+    for the names.
     """
-    reader = spark.read.option("header", True).option("sep", sep)
+    reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
@@ -24,8 +25,8 @@ def read_text_columns(
 
 def read_inferred(spark: SparkSession, path: str, schema: str | T.StructType | None = None, sep: str = ",") -> DataFrame:
     """Typed scan. A given schema saves the extra pass that inference takes; text that does not
-    fit it becomes null."""
-    reader = spark.read.option("header", True).option("sep", sep)
+    fit it becomes null, a header that does not fit it fails."""
+    reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).option("mode", "PERMISSIVE").csv(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 from collections.abc import Sequence
 
@@ -12,15 +13,16 @@ from pyspark.sql import types as T
 
 from sparkseries.sources.snapshots import history, last_version, read_snapshot, write_snapshot
 
-RUN_LOG = "experiment string, run_id string, kind string, key string, value string"
+RUN_LOG = "experiment string, run_id string, kind string, key string, value string, logged_at timestamp"
 
 
 def log_run(
     spark: SparkSession, path: str, experiment: str, run_id: str, params: dict | None = None, metrics: dict | None = None
 ) -> None:
     """Append the parameters and metrics of one run, known to the driver, in long form."""
+    now = datetime.datetime.now(datetime.timezone.utc)
     rows = [
-        (experiment, run_id, kind, key, str(value))
+        (experiment, run_id, kind, key, str(value), now)
         for kind, values in (("param", params), ("metric", metrics))
         for key, value in (values or {}).items()
     ]
@@ -38,7 +40,7 @@ def long_runs(
     ]
     return df.select(
         F.lit(experiment).alias("experiment"), F.col(run_id).cast("string").alias("run_id"),
-        F.inline(F.array(*entries)),
+        F.inline(F.array(*entries)), F.current_timestamp().alias("logged_at"),
     )
 
 
@@ -52,8 +54,9 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_table(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per run with a column per named key."""
-    return runs.groupBy("experiment", "run_id").pivot("key", list(keys)).agg(F.first("value"))
+    """One row per run with a column per named key: the value that was logged last."""
+    when = F.coalesce("logged_at", F.timestamp_seconds(F.lit(0)))  # logs of before it was kept
+    return runs.groupBy("experiment", "run_id").pivot("key", list(keys)).agg(F.max_by("value", when))
 
 
 def schema_signature(inputs: DataFrame, outputs: DataFrame) -> dict[str, str]:
@@ -93,6 +96,14 @@ def model_signature(spark: SparkSession, base: str, name: str) -> dict[str, str]
     return json.loads(newest["operationParameters"]["signature"])
 
 
+def checked_model(spark: SparkSession, base: str, name: str, inputs: DataFrame):
+    """Newest version of a model, after `inputs` was checked against its stored signature."""
+    signature = model_signature(spark, base, name)
+    if "inputs" in signature:
+        check_signature(inputs, signature["inputs"])
+    return latest_model(spark, base, name)
+
+
 def latest_model(spark: SparkSession, base: str, name: str):
     """Newest version of a model: a DataFrame or a fitted pipeline."""
     root = f"{base}/{name}"

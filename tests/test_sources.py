@@ -138,3 +138,53 @@ def test_quality_rules_count_null_as_failing(spark):
 def test_checkpoint_folder_comes_from_the_session(spark):
     cut = cut_lineage(spark.range(5).withColumn("x", F.col("id") + 1))
     assert cut.count() == 5 and "Range" not in cut._jdf.queryExecution().logical().toString()
+
+
+def test_rerun_without_rows_empties_its_run(spark, tmp_path):
+    base = str(tmp_path / "layer")
+    rows = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "id int, runid int")
+    sources.write_layer(rows, base, runs=[1, 2])
+    assert sources.write_layer(rows.where("runid = 1"), base, runs=[1, 2]) == 2
+    assert {r.runid for r in sources.read_layer(spark, base).collect()} == {1}
+    assert sources.write_layer(spark.range(0), base, 1) == 0
+    assert not (tmp_path / "layer" / "runid=1").exists() and not (tmp_path / "layer" / "runid=2").exists()
+
+
+def test_layer_has_few_files_per_run(spark, tmp_path):
+    base = str(tmp_path / "layer")
+    sources.write_layer(spark.range(0, 1000, 1, 8).withColumn("runid", F.col("id") % 3), base)
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in (tmp_path / "layer").glob("runid=*"))
+
+
+def test_run_table_shows_the_last_value(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    for value in (2.5, 1.5, 3.5):
+        sources.log_run(spark, path, "train", "1", metrics={"rmse": value})
+    assert sources.run_table(sources.read_runs(spark, path), ["rmse"]).first().rmse == "3.5"
+
+
+def test_scoring_checks_the_signature(spark, tmp_path):
+    base = str(tmp_path / "models")
+    table = spark.createDataFrame([("a", 1.0)], "k string, slope double")
+    sources.register_model(spark, base, "lines", table, registry.schema_signature(table, table))
+    assert registry.checked_model(spark, base, "lines", table).count() == 1
+    with pytest.raises(ValueError):
+        registry.checked_model(spark, base, "lines", table.drop("slope"))
+
+
+def test_other_header_fails(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("Time;Date;v\n10:00:00;1/1/2020;5\n")
+    with pytest.raises(Exception, match="header|HEADER|schema"):
+        sources.read_text_columns(spark, str(tmp_path / "t.csv"), ["Date", "Time", "v"]).collect()
+
+
+def test_rerun_of_the_layered_job_logs_the_new_score(spark, tmp_path):
+    base = str(tmp_path / "job")
+    days = spark.sql("SELECT explode(sequence(date'1995-01-01', date'1998-12-31')) AS ds")
+    raw = days.select(F.col("ds").cast("string").alias("date"), (F.dayofyear("ds") * 1.0 + F.dayofweek("ds")).cast("string").alias("price"))
+    runs = yearly_runs(1995, n_runs=2, train_years=2)
+    first = {r.runid: r.rmse for r in layers.run_layers(raw, "date", "price", runs, base, "nightly").collect()}
+    layers.run_layers(raw.withColumn("price", (F.col("price").cast("double") * 2).cast("string")), "date", "price", runs, base, "nightly")
+    log = {r.run_id: r for r in sources.run_table(sources.read_runs(spark, f"{base}/runs"), ["rmse", "train_dropped_count"]).collect()}
+    assert all(float(log[str(k)].rmse) == pytest.approx(2 * v) for k, v in first.items())
+    assert log["1"].train_dropped_count == "0"

@@ -32,3 +32,11 @@ def test_stream_expectations_equal_batch(spark, tmp_path):
     rules = {"big": "v > 10"}
     got = run(stream_expectations(stream, "d", rules), "checks", "complete").collect()
     assert got == quality.expect(batch, "d", rules).collect()
+
+
+def test_stream_weeks_start_on_monday(spark, tmp_path):
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 10, 5), 1.0), ("a", dt.datetime(2024, 3, 1), 1.0)], "k string, ts timestamp_ntz, v double")
+    df.coalesce(1).write.parquet(str(tmp_path / "weeks"))
+    stream = stream_resample(spark.readStream.schema(df.schema).parquet(str(tmp_path / "weeks")), ["k"], "ts", "v", "week")
+    got = {r.ts for r in run(stream, "weeks", "append").collect()}
+    assert dt.datetime(2024, 1, 8) in {r.ts for r in resample(df, ["k"], "ts", "v", "week").collect()} and got <= {dt.datetime(2024, 1, 8), dt.datetime(2024, 2, 26)} and got
