@@ -7,9 +7,11 @@ so a window sees at most one row per series and bucket.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkseries.functions.text import parse_timestamp, to_number
@@ -617,6 +619,23 @@ def additive_ridge_forecast(spark, sf):
     return rounded(out, 2, "yhat", "yhat_lower", "yhat_upper")
 
 
+@query(
+    "WITH " + PRIORITY_SQL + " SELECT series, CAST(30 AS BIGINT) AS n_rows, true AS close, true AS inside FROM d GROUP BY series"
+)
+def additive_ridge_known_series(spark, sf):
+    """A line with a weekly and a yearly wave on the days of each series, forecast 30 days ahead:
+    the forecast must be near the known values and the known values inside its interval."""
+    day = F.datediff(F.col("ds"), F.lit("2000-01-01").cast("date"))
+    known = 100 + 0.01 * day + 5 * F.sin(day * (2 * math.pi / 7)) + 8 * F.cos(day * (2 * math.pi / 365.25))
+    series = daily_by_priority(spark, sf).select("series", "ds", known.alias("y"))
+    out = forecast.additive_forecast(series, ["series"], horizon=30, model="ridge").withColumn("known", known)
+    return out.groupBy("series").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.max(F.abs(F.col("yhat") - F.col("known"))) < 0.5).alias("close"),
+        F.bool_and(F.abs(F.col("known") - F.col("yhat")) <= F.col("yhat_upper") - F.col("yhat") + 0.5).alias("inside"),
+    )
+
+
 _CV_SQL = (
     DAILY_SQL + ", " + CUTOFF_SQL
     + ", tr AS (SELECT d.series, cutoff, ds, y FROM d JOIN c ON d.series = c.series AND ds <= cutoff), "
@@ -866,7 +885,52 @@ def series_model_scores(spark, sf):
     return rounded(out, 6, "rmse", "mape")
 
 
-@query()
+_LAG8_SQL = (
+    HOURLY_SQL + ", l0 AS (SELECT event_type, ts, value AS y, "
+    + ", ".join(f"lag(value, {k}) OVER w AS x{i}" for i, k in enumerate(features.HOURLY_LAGS))
+    + " FROM h WINDOW w AS (PARTITION BY event_type ORDER BY ts)),"
+    " l AS (SELECT * FROM l0 WHERE " + " AND ".join(f"x{i} IS NOT NULL" for i in range(len(features.HOURLY_LAGS))) + "),"
+    " r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn, count(*) OVER (PARTITION BY event_type) AS n FROM l),"
+    " pt AS (SELECT *, CASE WHEN rn > n - ceil(n * 0.2) THEN 'test' ELSE 'train' END AS part FROM r)"
+)
+
+
+def _centred_wide_sql(source: str, by: str, d: int) -> str:
+    """Means m0.. and my, and centred sums a_i_j and a_i_d (with y), of d features per group."""
+    cols = [f"x{i}" for i in range(d)] + ["y"]
+    sums = [f"covar_pop({cols[i]}, {cols[j]}) * count(*) AS c_{i}_{j}" for i in range(d) for j in range(i, d + 1)]
+    means = [f"avg(x{i}) AS m{i}" for i in range(d)] + ["avg(y) AS my"]
+    return f"SELECT {by}, {', '.join(means + sums)} FROM {source} GROUP BY {by}"
+
+
+def _eliminated_sql(source: str, d: int, l2: str = "1.0", used: str | None = None) -> str:
+    """Weights w0.. and intercept b of the ridge on the first `used` features, by elimination on
+    the centred sums of `source`."""
+    used = used or str(d)
+    start = [
+        f"CASE WHEN {max(i, j if j < d else 0)} < {used} THEN c_{i}_{j}{f' + {l2}' if i == j else ''} ELSE {1.0 if i == j else 0.0} END AS a_{i}_{j}"
+        for i in range(d) for j in range(i, d + 1)
+    ]
+    out = f"SELECT *, {', '.join(start)} FROM {source}"
+    for k in range(d - 1):
+        steps = [f"a_{i}_{j} - a_{k}_{i} * a_{k}_{j} / a_{k}_{k} AS a_{i}_{j}" for i in range(k + 1, d) for j in range(i, d + 1)]
+        out = f"SELECT * REPLACE ({', '.join(steps)}) FROM ({out})"
+    for i in reversed(range(d)):
+        known = "".join(f" - a_{i}_{j} * w{j}" for j in range(i + 1, d))
+        out = f"SELECT *, (a_{i}_{d}{known}) / a_{i}_{i} AS w{i} FROM ({out})"
+    return f"SELECT *, my{''.join(f' - w{i} * m{i}' for i in range(d))} AS b FROM ({out})"
+
+
+_D8 = len(features.HOURLY_LAGS)
+_YHAT8 = "b" + "".join(f" + w{i} * x{i}" for i in range(_D8))
+
+
+@query(
+    f"WITH {_LAG8_SQL}, c AS ({_centred_wide_sql(chr(40) + 'SELECT * FROM pt WHERE part = ' + chr(39) + 'train' + chr(39) + chr(41), 'event_type', _D8)}),"
+    f" m AS ({_eliminated_sql('c', _D8)}),"
+    f" e AS (SELECT event_type, y, {_YHAT8} AS yhat FROM pt JOIN m USING (event_type) WHERE part = 'test')"
+    f" SELECT event_type, count(*) AS n_rows, {_err_sql(['rmse', 'mape'])} FROM e GROUP BY 1"
+)
 def series_model_scores_eight_lags(spark, sf):
     """The same with the eight lags of the hourly panel."""
     out = models.per_series_scores(lagged(spark, sf), SERIES, "ts", EIGHT, "value", l2=1.0)
@@ -1005,11 +1069,33 @@ def tuned_single_series(spark, sf):
     return rounded(out.select("candidate_id", "cv_score", "n_rows", "rmse", "mape"), 6, "cv_score", "rmse", "mape")
 
 
-@query()
+_TUNED27_SQL = (
+    _LAG8_SQL + ", tr AS (SELECT * EXCLUDE (rn, n, part), row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,"
+    " count(*) OVER (PARTITION BY event_type) AS n FROM pt WHERE part = 'train'),"
+    f" sg AS (SELECT *, CASE WHEN rn <= n - {FOLDS} * (n // {FOLDS + 1}) THEN 0 ELSE ceil((rn - (n - {FOLDS} * (n // {FOLDS + 1}))) / (n // {FOLDS + 1})) END AS seg FROM tr),"
+    f" fo AS (SELECT sg.*, fold FROM sg, (SELECT unnest(range({FOLDS + 1})) AS fold) WHERE seg <= fold),"
+    " cand(candidate_id, l2, n_lags) AS (VALUES " + ", ".join(f"({c['candidate_id']}, {c['l2']!r}::DOUBLE, {c['n_lags']})" for c in GRID_27) + "),"
+    f" ce AS ({_centred_wide_sql('fo', 'event_type, fold', _D8)}), cc AS (SELECT * FROM ce, cand),"
+    f" fit AS ({_eliminated_sql('cc', _D8, 'l2', 'n_lags')}),"
+    f" ch AS (SELECT event_type, fit.fold, candidate_id, y, {_YHAT8} AS yhat FROM sg JOIN fit USING (event_type) WHERE seg = fit.fold + 1),"
+    " fs AS (SELECT event_type, fold, candidate_id, 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) AS r2 FROM ch GROUP BY 1, 2, 3),"
+    " av AS (SELECT event_type, candidate_id, avg(r2) AS cv_score FROM fs GROUP BY 1, 2),"
+    " bst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY cv_score DESC, candidate_id) AS pos FROM av) WHERE pos = 1),"
+    f" e AS (SELECT event_type, candidate_id, cv_score, l2, n_lags, y, {_YHAT8} AS yhat FROM pt JOIN bst USING (event_type)"
+    f" JOIN fit USING (event_type, candidate_id) WHERE part = 'test' AND fold = {FOLDS})"
+)
+
+
+@query(
+    f"WITH {_TUNED27_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id,"
+    " '{\"l2\":' || CAST(any_value(l2) AS VARCHAR) || ',\"n_lags\":' || CAST(CAST(any_value(n_lags) AS DOUBLE) AS VARCHAR) || '}' AS best_params,"
+    f" round(any_value(cv_score), 6) + 0.0 AS cv_score, count(*) AS n_rows, {_err_sql(['rmse', 'mape'])} FROM e GROUP BY 1, 2"
+)
 def tuned_series_models_grid_of_27(spark, sf):
     """27 candidates x 10 folds on eight lags, per series; best parameters as text and map."""
     out = tuning.tuned_scores(lagged(spark, sf), SERIES, "ts", EIGHT, "value", GRID_27, FOLDS)
-    return out.withColumn("best_params", F.to_json("best_params"))
+    picked = F.create_map(*[x for n in ("l2", "n_lags") for x in (F.lit(n), F.col("best_params")[n])])
+    return rounded(out.withColumn("best_params", F.to_json(picked)), 6, "cv_score", "rmse", "mape")
 
 
 @query(
@@ -1132,6 +1218,27 @@ def synthetic_series(spark, sf):
     return panel.groupBy("cust_id").agg(F.count(F.lit(1)).alias("n"), *stats)
 
 
+@query(
+    "SELECT CAST(c AS INTEGER) AS cust_id, n, true AS own_values, true AS means_near, true AS deviations_near"
+    " FROM (SELECT unnest(range(1, 6)) AS c), (SELECT count(*) AS n FROM lineitem)"
+)
+def synthetic_series_fidelity(spark, sf):
+    """Every synthetic series has the rows of the source, the first one its values, the others its
+    means (within 3 %) and deviations (within 6 %)."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    source = table(spark, sf, "lineitem")
+    panel = synth.synthetic_panel(source, cols, ["l_orderkey", "l_linenumber"], 5, "cust_id", ["l_shipdate"])
+    stats = [f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in cols for n, f in (("mean", F.avg), ("sd", F.stddev))]
+    base = source.agg(*[s.alias(f"base_{n}") for s, n in zip(stats, (f"{n}_{c}" for c in cols for n in ("mean", "sd")))])
+    rows = panel.groupBy("cust_id").agg(F.count(F.lit(1)).alias("n"), *stats).crossJoin(F.broadcast(base))  # one row
+
+    def near(kind: str, share: float):
+        return functools.reduce(Column.__and__, [F.abs(F.col(f"{kind}_{c}") / F.col(f"base_{kind}_{c}") - 1) <= share for c in cols])
+
+    own = (F.col("cust_id") != 1) | (near("mean", 1e-9) & near("sd", 1e-9))
+    return rows.select("cust_id", "n", own.alias("own_values"), near("mean", 0.03).alias("means_near"), near("sd", 0.06).alias("deviations_near"))
+
+
 # --------------------------------------------------------------------------- quality and reports
 
 _RULES = {
