@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkseries.llm.shared import written
 from sparkseries.llm.words import slices
 
 WINDOW = 192
@@ -174,7 +175,8 @@ def training_windows(docs: DataFrame, text: str, label: str, id_: str, sample_ro
             yield pa.RecordBatch.from_arrays(
                 [pa.array(labels, pa.string()), pa.array(kept, pa.binary()), pa.array(draws, pa.float64())], ["label", "window", "draw"])
 
-    cuts = picked.mapInArrow(cut, "label string, window binary, draw double")
+    # About twice the sample, written once: the picks of all languages read it.
+    cuts = written(picked.mapInArrow(cut, "label string, window binary, draw double"), "windows")
     parts = [cuts.where(F.col("label") == k).orderBy("draw", "window").limit(sample_rows * windows_per_row) for k in langs]
     taken = parts[0]
     for p in parts[1:]:
