@@ -91,9 +91,10 @@ def predict(net: ByteNet, windows: np.ndarray, batch: int = 64) -> np.ndarray:
     return out
 
 
-def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int = 4, batch: int = 64,
-          rate: float = 0.004, seed: int = 7) -> ByteNet:
-    """Adam on the cross entropy; classes are weighted to count alike."""
+def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int = 4, least_steps: int = 500,
+          batch: int = 64, rate: float = 0.004, seed: int = 7) -> ByteNet:
+    """Adam on the cross entropy; classes are weighted to count alike. Few windows are passed
+    more often, for `least_steps` batches."""
     rng = np.random.default_rng(seed)
     shapes = [(256, EMBED)] + [(w * EMBED, FILTERS) for w in WIDTHS]
     params = [rng.normal(0, 0.5 if i == 0 else 0.2, s).astype(np.float32) for i, s in enumerate(shapes)]
@@ -105,7 +106,7 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], epochs: int
     share = np.bincount(labels, minlength=len(langs)).astype(np.float64)
     weight = (share.sum() / np.maximum(share, 1) / max((share > 0).sum(), 1)).astype(np.float32)
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, least_steps * batch // max(len(windows), 1))):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]

@@ -9,8 +9,8 @@ The measures of all texts are made in one pass and written once; the labelled sa
 brought to the driver is bounded: `sample_rows` rows of each class, picked by hash of the id.
 
 Defined results: null and empty texts have zero measures and a score like any other; rows with a
-null label or no label teach nothing; with one class only, every score is its share; repeated
-rows are scored one by one; an empty table gives no rows.
+null label or no label teach nothing; with one class only every text gets that class, with no
+label at all the class 0; repeated rows are scored one by one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -103,13 +103,13 @@ class Ranker:
 
 def fit(good: np.ndarray, bad: np.ndarray, cut: float = 0.7, pairs: int = 40_000, steps: int = 300, seed: int = 11) -> Ranker:
     """Weights that put the good one of each pair first; logistic loss on differences, Adam."""
-    both = np.concatenate([good, bad])
-    centre, scale = both.mean(axis=0), both.std(axis=0) + 1e-9
     level = float(np.log(cut / (1 - cut)))
     if not len(good) or not len(bad):
-        width = both.shape[1]
+        width = good.shape[1]
         sure = 4.0 if len(good) else -4.0
         return Ranker(np.zeros(width), np.ones(width), np.zeros(width), -sure, 1.0, 0.0)
+    both = np.concatenate([good, bad])
+    centre, scale = both.mean(axis=0), both.std(axis=0) + 1e-9
     rng = np.random.default_rng(seed)
     a = np.clip((good - centre) / scale, -6, 6)[rng.integers(0, len(good), pairs)]
     b = np.clip((bad - centre) / scale, -6, 6)[rng.integers(0, len(bad), pairs)]
@@ -122,8 +122,7 @@ def fit(good: np.ndarray, bad: np.ndarray, cut: float = 0.7, pairs: int = 40_000
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         w = w - 0.05 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
-    model = Ranker(centre, scale, w, 0.0, 1.0, level)
-    return model
+    return Ranker(centre, scale, w, 0.0, 1.0, level)
 
 
 def placed(model: Ranker, scores_good: np.ndarray, scores_bad: np.ndarray, bad_share: float) -> Ranker:
