@@ -45,6 +45,8 @@ def records(pages: DataFrame, id_: str = "page_id", url: str = "url", html: str
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha2(F.col("payload").cast("binary"), 256)})
     firsts = rows.where((F.col("size") >= MIN_REVISIT) & F.col("id").isNotNull()).groupBy("digest", "size").agg(
         F.min("id").alias("low"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
+    # Written, so that Spark knows its size and need not move the payloads while it is small.
+    firsts = written(firsts, "firsts")
     rows = rows.join(firsts, ["digest", "size"], "left")
     revisit = F.coalesce(F.col("low") != F.col("id"), F.lit(False))
     clean = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")
