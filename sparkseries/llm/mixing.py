@@ -72,7 +72,7 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str,
     for d, level in enumerate(levels):
         parent = list(levels[:d])
         children = caps.groupBy(*parent, level).agg(F.sum("cap").alias("cap")).withColumn("weight", weight_of(level, weights[level]))
-        joined = children.join(nodes, parent) if parent else children.crossJoin(nodes)  # the root is one row
+        joined = children.join(nodes, parent) if parent else children.withColumn("given", nodes.scalar())
         nodes = shared_out(joined, parent, level).select(*parent, level, F.col("budget").alias("given"))
     return leaves.join(nodes.select(*levels, F.round("given").cast("long").alias("budget")), list(levels))
 

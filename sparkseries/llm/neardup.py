@@ -158,7 +158,7 @@ def pairs_apart(sets: DataFrame, rest: DataFrame, least: tuple[int, int]) -> Dat
         F.count(F.lit(1)).alias("often"), F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("root", "weight").alias("main"))
     order = Window.partitionBy("id", "n").orderBy("often", "shingle")
     place = (F.row_number().over(order) - 1).cast("long")
-    early = rows.join(often, "shingle").withColumn("place", place).where(
+    early = rows.join(written(often, "often"), "shingle").withColumn("place", place).where(
         (F.col("low") != F.col("high")) & (den * (F.col("n") - F.col("place")) >= num * F.col("n")))
     size_class = lambda n: F.floor(F.log(n) / math.log(1.04))
     most = F.floor((F.col("n") - F.col("place")) * (num + den) / num) - F.col("n")  # largest partner
@@ -190,7 +190,8 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", sh
     keys = classes.select("rep", "two", F.posexplode("one").alias("i", "x")).select("rep", "i", "x", F.posexplode("two").alias("j", "y")) \
         .select("rep", F.xxhash64("i", "x", "j", "y").alias("key"))
     shared = keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high").select("key")
-    members = written(keys.join(shared, "key", "left_semi").distinct(), "members")
+    # Aggregates are written before they are joined: Spark can then split a bucket with many rows.
+    members = written(keys.join(written(shared, "shared"), "key", "left_semi").distinct(), "members")
 
     sets = written(full_sets(docs, id_, text, members.select(F.col("rep").alias("id")).distinct(), shingle), "sets")
     owners = sets.select("id", F.explode("set").alias("shingle")).groupBy("shingle").agg(
@@ -210,14 +211,14 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", sh
     centre = places.groupBy("key").agg(F.min(F.struct((F.col("u") / F.col("n")).alias("share"), "rep", "n", "u")).alias("c")).select(
         "key", F.col("c.rep").alias("b"), F.col("c.n").alias("n_b"), F.col("c.u").alias("u_b"))
     side = places.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("u").alias("u_a"))
-    tried = written(side.join(centre, "key").where((F.col("a") != F.col("b")) & allowed("a", "b")).select("a", "b").distinct(), "tried")
+    tried = written(side.join(written(centre, "centres"), "key").where((F.col("a") != F.col("b")) & allowed("a", "b")).select("a", "b").distinct(), "tried")
     links = written(confirmed(tried, sets, least), "links")
     labels = components(links)
 
     # Then the documents that share a bucket with another component.
     at = places.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     apart = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rest = at.join(apart, "key", "left_semi").select("rep", "root").distinct()
+    rest = at.join(written(apart, "mixed"), "key", "left_semi").select("rep", "root").distinct()
     late = written(confirmed(written(pairs_apart(sets, written(rest, "apart"), least), "pairs"), sets, least), "late")
     if not late.isEmpty():
         labels = components(links.unionByName(late))
