@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sparkseries.functions.text import parse_timestamp, to_number
 from sparkseries.functions.timegrid import bucket
 from sparkseries.operators import clean, ensemble, features, forecast, metrics, models, quality, splits, synth, tuning
+from sparkseries.operators.joins import join_on
 from sparkseries.operators.resample import resample
 from sparkseries.plans import backtest, layers, reports
 from sparkseries.sources import layers as layer_io
@@ -1080,7 +1081,9 @@ _TUNED27_SQL = (
     f" ch AS (SELECT event_type, fit.fold, candidate_id, y, {_YHAT8} AS yhat FROM sg JOIN fit USING (event_type) WHERE seg = fit.fold + 1),"
     " fs AS (SELECT event_type, fold, candidate_id, 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) AS r2 FROM ch GROUP BY 1, 2, 3),"
     " av AS (SELECT event_type, candidate_id, avg(r2) AS cv_score FROM fs GROUP BY 1, 2),"
-    " bst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY cv_score DESC, candidate_id) AS pos FROM av) WHERE pos = 1),"
+    # A series too short for folds takes the first candidate and has no fold score.
+    " bst AS (SELECT event_type, coalesce(candidate_id, 0) AS candidate_id, cv_score FROM (SELECT DISTINCT event_type FROM fit) LEFT JOIN"
+    " (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY cv_score DESC, candidate_id) AS pos FROM av) WHERE pos = 1) USING (event_type)),"
     f" e AS (SELECT event_type, candidate_id, cv_score, l2, n_lags, y, {_YHAT8} AS yhat FROM pt JOIN bst USING (event_type)"
     f" JOIN fit USING (event_type, candidate_id) WHERE part = 'test' AND fold = {FOLDS})"
 )
@@ -1183,7 +1186,7 @@ def feature_waterfall(spark, sf):
 def boosted_trees(spark, sf):
     """One gradient-boosted model over all series, scored on the last 48 hours of each."""
     parts = splits.holdout_last(lagged(spark, sf), SERIES, "ts", 48)
-    model = ensemble.fit_trees(parts.where("part = 'train'"), EIGHT, "value", max_depth=4, n_trees=5)
+    model = ensemble.fit_trees(parts.where("part = 'train'"), EIGHT, "value")
     scored = model.transform(parts.where("part = 'test'"))
     return metrics.score(scored, "value", "prediction", SERIES, ["rmse", "mae", "mape"])
 
@@ -1230,7 +1233,7 @@ def synthetic_series_fidelity(spark, sf):
     panel = synth.synthetic_panel(source, cols, ["l_orderkey", "l_linenumber"], 5, "cust_id", ["l_shipdate"])
     stats = [f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in cols for n, f in (("mean", F.avg), ("sd", F.stddev))]
     base = source.agg(*[s.alias(f"base_{n}") for s, n in zip(stats, (f"{n}_{c}" for c in cols for n in ("mean", "sd")))])
-    rows = panel.groupBy("cust_id").agg(F.count(F.lit(1)).alias("n"), *stats).crossJoin(F.broadcast(base))  # one row
+    rows = join_on(panel.groupBy("cust_id").agg(F.count(F.lit(1)).alias("n"), *stats), base, [])
 
     def near(kind: str, share: float):
         return functools.reduce(Column.__and__, [F.abs(F.col(f"{kind}_{c}") / F.col(f"base_{kind}_{c}") - 1) <= share for c in cols])
