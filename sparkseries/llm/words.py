@@ -2,8 +2,8 @@
 
 Every function here works inside one task on a bounded slice of rows. A word's hash is a
 polynomial of random byte values modulo 2**64, mixed at the end; equal words have equal hashes
-in every task. Memory is about 60 bytes per byte of a slice; a slice holds `SLICE_BYTES` bytes
-or one text, whichever is more.
+in every task. A slice holds `SLICE_BYTES` bytes or one text, whichever is more; memory is about
+60 bytes per byte of a slice, and 20 per byte of a text that is longer than that.
 """
 
 from __future__ import annotations
@@ -143,9 +143,17 @@ def words(texts: Texts, letters: Alphabet) -> Words:
     first[-1] = len(start)
     if not len(start):
         return Words(np.zeros(0, np.uint64), start, end, text, first)
-    up, down = powers(len(texts.data))
-    sums = np.add.reduceat(letters.values[texts.data] * up, start)
-    return Words(mix(sums * down[start]), start, end, text, first)
+    sums = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):  # once, but for texts longer than a slice
+        base = start[i]
+        j = max(i + 1, int(np.searchsorted(start, base + SLICE_BYTES)))
+        stop = start[j] if j < len(start) else len(texts.data)
+        up, down = powers(stop - base)
+        own = start[i:j] - base
+        sums[i:j] = np.add.reduceat(letters.values[texts.data[base:stop]] * up, own) * down[own]
+        i = j
+    return Words(mix(sums), start, end, text, first)
 
 
 def grams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -58,6 +58,17 @@ def test_words_are_those_of_the_pattern(letters, pattern, lower):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_long_texts_have_the_hashes_of_short_ones():
+    few = [f"word{i} x" for i in range(50)]
+    long = " ".join(few * 9000) + " " + "y" * 2_500_000 + " end"
+    part = next(slices(pa.array([long])))
+    w = words(part, SPACED)
+    short = words(next(slices(pa.array([" ".join(few), "y" * 2_500_000 + " end"]))), SPACED)
+    assert len(part.data) > 3 << 20 and (w.hash[:100] == short.hash[:100]).all() and (w.hash[900_000 - 100 : 900_000] == w.hash[:100]).all()
+    alone = words(next(slices(pa.array(["y" * 2_500_000 + " end"]))), SPACED)
+    assert (w.hash[-2:] == alone.hash).all() and len(w.hash) == 900_002
+
+
 def test_grams_do_not_cross_texts():
     part = next(slices(pa.array(["a b c", "a b", "", "c a b c"])))
     h, ok = grams(words(part, SPACED), 3)
