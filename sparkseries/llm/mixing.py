@@ -103,9 +103,15 @@ def mixed(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, M
     def placed(rows: DataFrame) -> DataFrame:
         return rows.join(budgets, names).withColumn("_order", order).withColumn("_bin", F.substring("_order", 1, 3))
 
-    bins = placed(rows).groupBy(*names, "_bin").agg(F.sum("_n").alias("_sum"))
-    along = Window.partitionBy(*names).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = written(bins.withColumn("_end", F.sum("_sum").over(along)).withColumn("_begin", F.col("_end") - F.col("_sum")).drop("_sum"), "bins")
+    # Running sums in two levels, 256 and 16 bins, so that no window holds all bins of a leaf.
+    bins = placed(rows).groupBy(*names, "_bin").agg(F.sum("_n").alias("_sum")).withColumn("_group", F.substring("_bin", 1, 2))
+    bins = written(bins, "bins")
+    groups = bins.groupBy(*names, "_group").agg(F.sum("_sum").alias("_all"))
+    before = Window.partitionBy(*names).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(*names, "_group", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_before"))
+    along = Window.partitionBy(*names, "_group").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bins = bins.join(groups, [*names, "_group"]).withColumn("_end", F.col("_before") + F.sum("_sum").over(along))
+    bins = written(bins.select(*names, "_bin", (F.col("_end") - F.col("_sum")).alias("_begin"), "_end"), "ends")
     rows = placed(source if carry else rows).join(bins, [*names, "_bin"])
 
     edge = (F.col("_begin") <= F.col("_rest")) & (F.col("_end") > F.col("_rest"))
