@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkseries.llm.components import components
 from sparkseries.llm.mixing import mixed
 from sparkseries.llm.neardup import half_keys_for, near_duplicates
-from sparkseries.llm.passages import chains, cut_words, repeated_passages, without_passages
+from sparkseries.llm.passages import chains, columns, cut_words, repeated_passages, stretches, without_passages
 from sparkseries.llm.warc import MAGIC, RECORD_END, read_archives, round_trip, write_archives
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -145,6 +145,45 @@ def test_chains_have_the_best_score():
         assert all((np.diff(x[p]) > 0).all() and (np.diff(y[p]) > 0).all() for p in found)
 
 
+def test_two_passages_with_a_gap_are_both_found(spark):
+    """Passages of one pair, at any gap between them, in both texts or in one."""
+    rng = random.Random(11)
+    text = lambda n: [str(rng.random()) for _ in range(n)]
+    rows, want = [], {}
+    for length in (60, 100):
+        for gap, other in ((10, 10), (40, 40), (60, 60), (75, 75), (110, 110), (40, 0), (0, 55), (30, 70)):
+            one, two, i = text(length), text(length), len(rows)
+            rows += [(i, text(20) + one + text(gap) + two + text(30)), (i + 1, text(7) + one + text(other) + two + text(9))]
+            want[i + 1] = set(range(7, 7 + length)) | set(range(7 + length + other, 7 + 2 * length + other))
+    found = {}
+    for r in repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in rows])).collect():
+        assert r.source_doc_id == r.doc_id - 1 and r.end_word - r.start_word >= 50
+        assert r.n_agree >= 0.8 * max(r.end_word - r.start_word, r.source_end - r.source_start)
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert all(want[i] <= found.get(i, set()) for i in want)
+
+
+def test_stretches_cover_what_brute_force_finds():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        n = int(rng.integers(20, 160))
+        a, b = rng.integers(0, 9, n), rng.integers(0, 9, n)
+        copied = np.repeat(rng.random(n // 20 + 1) < 0.7, 20)[:n] & (rng.random(n) < 0.85)
+        b[copied] = a[copied]
+        at_a, at_b = columns(a, b, [(0, 5, 0)])
+        same = a[at_a] == b[at_b]
+        got = set()
+        for lo, hi in stretches(at_a, at_b, same, 25, 0.8):
+            assert hi - lo >= 25 and same[lo:hi].sum() >= 0.8 * (hi - lo) - 1e-6
+            got |= set(range(lo, hi))
+        runs = np.flatnonzero(same[:-2] & same[1:-1] & same[2:])
+        for i in range(n):
+            for j in range(i + 25, n + 1):
+                if same[i] and same[j - 1] and same[i:j].sum() >= 0.8 * (j - i):
+                    inside = runs[(runs >= i) & (runs + 3 <= j)]
+                    assert set(range(inside[0], inside[-1] + 3)) <= got
+
+
 def test_cut_words():
     assert cut_words("one two  three\nfour", [(1, 3)]).split() == ["one", "four"]
     assert cut_words("é ü", [(0, 9), (1, 2)]).strip() == ""
