@@ -163,6 +163,34 @@ def test_two_passages_with_a_gap_are_both_found(spark):
     assert all(want[i] <= found.get(i, set()) for i in want)
 
 
+def exact_repeats(rows, size=50):
+    """Words of each text that are in `size` words which stand in a text of a smaller id."""
+    first, out = {}, {}
+    for i, w in sorted(rows):
+        for j in range(len(w) - size + 1):
+            if first.setdefault(tuple(w[j:j + size]), i) != i:
+                out.setdefault(i, set()).update(range(j, j + size))
+    return out
+
+
+def test_passages_whose_parts_stand_elsewhere(spark):
+    """A passage of lines that each stand in an earlier document, also overlapping ones."""
+    rng = random.Random(12)
+    text = lambda n: [str(rng.random()) for _ in range(n)]
+    rows = []
+    for step in (20, 10, 5):
+        for _ in range(4):
+            shared = text(100)
+            rows += [(len(rows) + j, text(40) + shared[at:at + 20] + text(40)) for j, at in enumerate(range(0, 100, step))]
+            rows += [(len(rows) + j, text(rng.randrange(60)) + shared + text(30)) for j in range(2)]
+    want = exact_repeats(rows)
+    assert len(want) == 12
+    found = {}
+    for r in repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in rows])).collect():
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert found == want
+
+
 def test_stretches_cover_what_brute_force_finds():
     rng = np.random.default_rng(4)
     for _ in range(60):
