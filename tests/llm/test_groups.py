@@ -191,6 +191,24 @@ def test_passages_whose_parts_stand_elsewhere(spark):
     assert found == want
 
 
+def test_passages_that_repeat_inside_a_text(spark):
+    """All copies of a passage are cut but the first, alike ones too, and phrases before it do no harm."""
+    rng = random.Random(13)
+    text = lambda n: [str(rng.random()) for _ in range(n)]
+    shared, own, worn = text(80), text(60), text(120)
+    other = list(worn)
+    for i in (17, 40, 61, 90, 104):
+        other[i] = str(rng.random())
+    phrases = [w for at in (60, 40, 20, 0) for w in shared[at:at + 20] + text(3)]
+    rows = [(1, text(9) + phrases + shared + text(40)), (2, shared + text(30) + shared + text(5) + shared), (3, text(7) + own + text(60) + own + text(9)),
+            (4, worn + text(5)), (5, text(8) + worn + text(40) + other + text(6)), (6, ["same"] * 300)]
+    found = {}
+    for r in repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in rows])).collect():
+        assert (r.source_doc_id, r.source_start) < (r.doc_id, r.start_word)
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    assert found == {2: {*range(80), *range(110, 190), *range(195, 275)}, 3: set(range(127, 187)), 5: {*range(8, 128), *range(168, 288)}, 6: set(range(50, 300))}
+
+
 def test_stretches_cover_what_brute_force_finds():
     rng = np.random.default_rng(4)
     for _ in range(60):
