@@ -203,12 +203,31 @@ def test_passages_that_repeat_inside_a_text(spark):
     rows = [(1, text(9) + phrases + shared + text(40)), (2, shared + text(30) + shared + text(5) + shared), (3, text(7) + own + text(60) + own + text(9)),
             (4, worn + text(5)), (5, text(8) + worn + text(40) + other + text(6)), (6, ["same"] * 300)]
     found = {}
-    for r in repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in rows])).collect():
+    out = repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in rows])).collect()
+    assert sum(r.doc_id == 6 for r in out) <= 10
+    for r in out:
         assert (r.source_doc_id, r.source_start) < (r.doc_id, r.start_word)
         found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
     assert found == {2: {*range(80), *range(110, 190), *range(195, 275)}, 3: set(range(127, 187)), 5: {*range(8, 128), *range(168, 288)}, 6: set(range(50, 300))}
 
 
+def test_worn_passages_are_found(spark):
+    """Recall of passages of 60 words against brute force along the true diagonal, at 80 to 90 % alike."""
+    rng = random.Random(14)
+    text = lambda n: [str(rng.random()) for _ in range(n)]
+    rows, want = [], {}
+    for kind in (0.1, 0.15, 0.2, 10, 8, 5):
+        for _ in range(12):
+            shared, i = text(60), len(rows)
+            changed = [j % kind == kind - 1 if kind >= 1 else rng.random() < kind for j in range(60)]
+            rows += [(i, text(20) + shared + text(20)), (i + 1, text(33) + [str(rng.random()) if c else w for w, c in zip(shared, changed)] + text(20))]
+            good = np.r_[0, np.cumsum(~np.array(changed))]
+            if any(good[b] - good[a] >= 0.8 * (b - a) and not changed[a] and not changed[b - 1] for a in range(60) for b in range(a + 50, 61)):
+                want[i + 1] = i
+    got = {r.doc_id: r.source_doc_id for r in repeated_passages(docs_of(spark, [(i, " ".join(w)) for i, w in rows])).collect()}
+    assert len(want) > 55 and got == want
+
+
 def test_stretches_cover_what_brute_force_finds():
     rng = np.random.default_rng(4)
     for _ in range(60):
