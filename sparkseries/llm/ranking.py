@@ -125,19 +125,41 @@ def fit(good: np.ndarray, bad: np.ndarray, cut: float = 0.7, pairs: int = 40_000
     return Ranker(centre, scale, w, 0.0, 1.0, level)
 
 
-def placed(model: Ranker, scores_good: np.ndarray, scores_bad: np.ndarray, bad_share: float) -> Ranker:
-    """Set the threshold to the quantile of the score mixture at the share of bad rows."""
-    values = np.concatenate([scores_good, scores_bad])
-    weight = np.concatenate([np.full(len(scores_good), (1 - bad_share) / max(len(scores_good), 1)),
-                             np.full(len(scores_bad), bad_share / max(len(scores_bad), 1))])
-    order = np.argsort(values)
-    reached = np.cumsum(weight[order])
-    k = min(int(np.searchsorted(reached, bad_share)), len(order) - 1)
-    model.threshold = float((values[order][k] + values[order][min(k + 1, len(order) - 1)]) / 2)
-    model.spread = float(values.std() / 2 + 1e-9)
+def ranked_value(values: DataFrame, name: str, rank: int, bins: int = 1024) -> float:
+    """The value with `rank` smaller ones before it, exactly: the range is narrowed to the bin that
+    holds it until one value is left; the driver gets one row per bin."""
+    value = F.col(name)
+    lo, hi = values.agg(F.min(value), F.max(value)).first()
+    while lo < hi:
+        at = F.least(F.floor((value - lo) / (hi - lo) * bins), F.lit(bins - 1)).alias("bin")
+        found = values.where(value.between(lo, hi)).groupBy(at).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).collect()
+        for r in sorted(found, key=lambda r: r["bin"]):
+            if rank < r["n"]:
+                lo, hi = r["lo"], r["hi"]
+                break
+            rank -= r["n"]
+    return lo
+
+
+def placed(model: Ranker, known: DataFrame, n_bad: int) -> Ranker:
+    """Set the threshold between as many of the lowest scores of all labelled rows as there are bad
+    rows and the rest, and the spread to that of all scores."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(model.raw(rows_of(batch.column(0))))], ["raw"])
+
+    scores = written(known.select("_measures").mapInArrow(run, "raw double"), "scores")
+    model.threshold = (ranked_value(scores, "raw", n_bad - 1) + ranked_value(scores, "raw", n_bad)) / 2
+    model.spread = scores.agg(F.stddev_pop("raw")).first()[0] / 2 + 1e-9
     return model
 
 
+def rows_of(column: pa.Array) -> np.ndarray:
+    """One row of measures per value of an array column."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(MEASURES)).astype(np.float64)
+
+
 def with_measures(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """The kept columns and `measures` (array of float) of every row."""
     rows = docs.select(*keep, F.col(text).alias("_text"))
@@ -176,12 +198,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_on: Column, id_: st
     bad = sample(known.where(F.col("_label") <= 0), sample_rows, n.get(False, 0))
     model = fit(good, bad, cut)
     if len(good) and len(bad):
-        model = placed(model, model.raw(good), model.raw(bad), n[False] / (n[True] + n[False]))
+        model = placed(model, known, n[False])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(MEASURES))
-            z = (model.raw(x.astype(np.float64)) - model.threshold) / model.spread + model.level
+            z = (model.raw(rows_of(batch.column(1))) - model.threshold) / model.spread + model.level
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], [id_, "score"])
 
     schema = rows.select(F.col("_id").alias(id_), F.lit(0.0).alias("score")).schema

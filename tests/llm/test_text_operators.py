@@ -15,7 +15,7 @@ from sparkseries.llm.language import language_of
 from sparkseries.llm.licenses import NOTICES, PHRASES, license_scan, need
 from sparkseries.llm.lines import BOILERPLATE, BOILERPLATE_LINE_WORDS, SEPARATORS, SYMBOLS, TERMINAL, cleaned
 from sparkseries.llm.lm import VOCABULARY, Weights, contexts, lm_scores, tables
-from sparkseries.llm.ranking import quality_scores
+from sparkseries.llm.ranking import quality_scores, ranked_value
 from sparkseries.llm.words import ALNUM_LOWER, SPACED, SPACED_LOWER, grams, slices, words
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -264,3 +264,21 @@ def test_quality_odd_cases(spark):
         labels = spark.createDataFrame(marks, "doc_id long, quality int")
         rows = quality_scores(docs, labels, F.lit(True)).collect()
         assert len(rows) == 2 * len(ODD) and all(0 < r.score < 1 for r in rows)
+
+
+def test_threshold_covers_all_labels(spark):
+    """The cut leaves as many labelled rows below it as are bad, however small the sample of the fit."""
+    rng = random.Random(21)
+    rows = [(i, " ".join(rng.choice(["the", "of", "a1", "$$", "word", "Long"]) for _ in range(rng.randrange(5, 60)))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(len(t) > 90)) for i, t in rows], "doc_id long, quality int")
+    out = quality_scores(docs, labels, F.lit(True), sample_rows=20).collect()
+    assert abs(sum(r.predicted for r in out) - sum(len(t) > 90 for _, t in rows)) <= 1
+
+
+def test_ranked_value(spark):
+    rng = random.Random(22)
+    for values in ([1.5], [2.0] * 9 + [3.0], [rng.gauss(0, 1) ** 9 for _ in range(500)], [-1e300, 0.0, 5e-324, 1e-300, 1.0]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        for rank in {0, len(values) // 2, len(values) - 1}:
+            assert ranked_value(df, "v", rank, bins=8) == sorted(values)[rank]
