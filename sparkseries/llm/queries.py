@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from sparkseries.llm import sql
 from sparkseries.llm.decontaminate import contaminated
+from sparkseries.llm.divergence import divergences
+from sparkseries.llm.infill import infilled, restored
 from sparkseries.llm.language import language_of
 from sparkseries.llm.licenses import license_scan
 from sparkseries.llm.lines import cleaned
@@ -119,3 +121,16 @@ def op10_quality_ranking(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     out = quality_scores(docs, table(spark, sf, "labels"), ~fold(4).isin(2, -1))
     return out.withColumn("held_out", fold(4) == 2).select("doc_id", "held_out", "score", "predicted")
+
+
+@query(sql.DIVERGENCE)
+def op11_source_divergence(spark, sf):
+    return divergences(table(spark, sf, "documents"))
+
+
+@query(sql.INFILL)
+def op13_fill_in_middle(spark, sf):
+    out = infilled(table(spark, sf, "documents").select("doc_id", "text"))
+    back = restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(back, 256).alias("restored_sha256"))

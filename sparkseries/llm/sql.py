@@ -201,3 +201,72 @@ def mixing(levels: dict[str, str], weights, share: float, max_epochs: int, seed:
         "times AS (SELECT *, epochs + CASE WHEN rest > 0 AND reached <= rest THEN 1 ELSE 0 END AS n FROM ordered)",
     ]
     return f"WITH {', '.join(parts)} SELECT doc_id, {cols}, n_tokens, e::BIGINT AS epoch FROM times, unnest(generate_series(0, n - 1)) AS x(e) WHERE n > 0"
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+DIVERGENCE = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           {words("coalesce(text, '')", _TERM, True)} AS w
+    FROM documents
+),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(n, 0)::HUGEINT AS n,
+           sum(coalesce(n, 0)) OVER (PARTITION BY g.lang, g.source) AS total, count(*) OVER (PARTITION BY g.lang, g.source) AS v
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+shares AS (SELECT lang, source, term, n, (1 + (1000000000 * (n + 2)) // (total + 2 * v))::HUGEINT AS p FROM dense),
+totals AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM counts GROUP BY ALL),
+sums AS (SELECT lang, sum(n) AS total, count(*) AS v FROM totals GROUP BY ALL),
+whole AS (SELECT lang, term, (1 + (1000000000 * (n + 2)) // (total + 2 * v))::HUGEINT AS q FROM totals JOIN sums USING (lang)),
+pairs AS (
+    SELECT g.lang, g.source, 'pair' AS part, o.source AS item,
+           coalesce(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)), 0)::BIGINT AS value
+    FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+    LEFT JOIN shares a ON a.lang = g.lang AND a.source = g.source
+    LEFT JOIN shares b ON b.lang = o.lang AND b.source = o.source AND b.term = a.term
+    WHERE a.term IS NULL OR b.term IS NOT NULL
+    GROUP BY ALL
+),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+    FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+_UNITS = "regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]')"
+
+INFILL = f"""
+WITH d AS (
+    SELECT doc_id, text, {_UNITS} AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+),
+c AS (
+    SELECT *, len(u) AS n, {', '.join(f"('0x' || substr(h, {8 * k + 1}, 8))::BIGINT AS h{k + 1}" for k in range(4))} FROM d
+),
+f AS (
+    SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                   WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+           least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b
+    FROM c
+),
+p AS (
+    SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM f
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                   ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
