@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkseries.llm import sql
+from sparkseries.llm.articles import articles
 from sparkseries.llm.decontaminate import contaminated
 from sparkseries.llm.divergence import divergences
 from sparkseries.llm.infill import infilled, restored
@@ -128,6 +129,11 @@ def op11_source_divergence(spark, sf):
     return divergences(table(spark, sf, "documents"))
 
 
+@query()
+def op12_html_extraction(spark, sf):
+    return articles(table(spark, sf, "pages").select("page_id", "url", "html")).drop("n_blocks")
+
+
 @query(sql.INFILL)
 def op13_fill_in_middle(spark, sf):
     out = infilled(table(spark, sf, "documents").select("doc_id", "text"))
