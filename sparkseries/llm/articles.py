@@ -48,15 +48,27 @@ MAIN_NAMES = frozenset("article main".split())
 CONTAINERS = (
     ("article", ""), ("main", ""), ("div", 'class="content"'), ("div", 'id="content"'), ("div", 'class="post"'), ("section", 'class="story"'),
     ("div", 'class="entry-content"'), ("div", 'class="article-body"'), ("div", 'id="main"'), ("div", ""), ("td", ""), ("section", ""))
-OTHERS = (  # (element, attributes, element of a block, kind of its texts)
-    ("nav", "", "li", "links"), ("ul", 'class="menu"', "li", "links"), ("div", 'id="navigation"', "a", "links"), ("div", 'class="breadcrumbs"', "span", "links"),
-    ("header", "", "div", "short"), ("div", 'id="header"', "h2", "short"), ("header", 'class="site-header"', "p", "short"),
-    ("aside", "", "p", "text"), ("div", 'class="sidebar"', "div", "text"), ("aside", 'id="sidebar"', "li", "links"), ("div", 'class="related"', "li", "links"),
-    ("div", 'class="notice"', "p", "text"), ("div", 'class="cookie-banner"', "p", "text"), ("div", 'id="notice"', "div", "short"),
-    ("div", 'class="ad"', "", "text"), ("div", 'class="advert"', "p", "text"), ("div", 'class="sponsored"', "div", "short"), ("div", 'class="promo"', "p", "text"),
-    ("form", "", "label", "short"), ("form", 'class="search"', "button", "short"), ("div", 'class="newsletter"', "p", "short"), ("div", 'class="login-form"', "div", "short"),
-    ("section", 'class="comments"', "p", "text"), ("div", 'id="comments"', "p", "text"), ("ol", 'class="commentlist"', "li", "text"), ("div", 'class="comment"', "p", "text"),
-    ("footer", "", "p", "short"), ("footer", "", "", "text"), ("div", 'id="footer"', "p", "text"), ("div", 'class="footer"', "li", "links"))
+OTHERS = {  # where it stands: (element, attributes, element of a block, kind of its texts)
+    "top": (
+        ("nav", "", "li", "links"), ("ul", 'class="menu"', "li", "links"), ("div", 'id="navigation"', "a", "links"), ("div", 'class="breadcrumbs"', "span", "links"),
+        ("div", 'class="main-menu"', "li", "links"), ("div", "", "a", "links"), ("header", "", "div", "short"), ("div", 'id="header"', "h2", "short"),
+        ("header", 'class="site-header"', "p", "short"), ("div", 'class="site-branding"', "p", "short"), ("div", 'class="logo"', "", "short")),
+    "beside": (
+        ("aside", "", "p", "text"), ("div", 'class="sidebar"', "div", "text"), ("aside", 'id="sidebar"', "li", "links"), ("div", 'class="related"', "li", "links"),
+        ("div", 'class="widget-area"', "h3", "short"), ("div", 'class="widget"', "li", "links"), ("div", "", "li", "links"),
+        ("div", 'class="notice"', "p", "text"), ("div", 'class="cookie-banner"', "p", "text"), ("div", 'id="notice"', "div", "short"),
+        ("div", 'class="alert"', "", "text"), ("div", 'class="consent"', "p", "text")),
+    "advert": (
+        ("div", 'class="ad"', "", "text"), ("div", 'class="advert"', "p", "text"), ("div", 'class="sponsored"', "div", "short"), ("div", 'class="promo"', "p", "text"),
+        ("div", 'class="adsbygoogle"', "", "text"), ("div", 'id="ad-slot"', "", "short"), ("aside", 'class="sponsor"', "p", "text"),
+        ("form", "", "label", "short"), ("form", 'class="search"', "button", "short"), ("div", 'class="newsletter"', "p", "short"), ("div", 'class="login-form"', "div", "short"),
+        ("div", 'class="share"', "a", "links")),
+    "comments": (
+        ("section", 'class="comments"', "p", "text"), ("div", 'id="comments"', "p", "text"), ("ol", 'class="commentlist"', "li", "text"), ("div", 'class="comment"', "p", "text"),
+        ("div", 'id="respond"', "h3", "short"), ("div", 'class="replies"', "div", "text"), ("div", 'id="disqus"', "p", "text")),
+    "bottom": (
+        ("footer", "", "p", "short"), ("footer", "", "", "text"), ("div", 'id="footer"', "p", "text"), ("div", 'class="footer"', "li", "links"),
+        ("div", 'class="copyright"', "", "short"), ("div", 'class="colophon"', "", "short"), ("div", 'class="site-info"', "p", "short"), ("center", "", "", "short"))}
 
 
 def marked_region(name: str, rest: str, outer: str | None) -> str | None:
@@ -85,8 +97,8 @@ def laid_out(paragraphs: list[str], scraps: list[str], rng: random.Random) -> st
         at = rng.randrange(max(1, len(taken) - n + 1))
         return escaped(" ".join(taken[at : at + n]))
 
-    def other(kind) -> str:
-        name, attributes, inner, texts = kind
+    def other(*kinds: tuple[str, str, str, str]) -> str:
+        name, attributes, inner, texts = rng.choice(kinds)
         many = rng.randint(2, 8) if texts == "links" else rng.randint(1, 4) if inner else 1
         items = []
         for _ in range(many):
@@ -112,14 +124,15 @@ def laid_out(paragraphs: list[str], scraps: list[str], rng: random.Random) -> st
             p = " ".join(cut[:half]) + f' <a href="/y">{" ".join(cut[half : half + 3])}</a> ' + " ".join(cut[half + 3 :])
         body.append(f"<p><b>{p}<br>" if style < 0.15 and inside == "p" else f"<{inside}>{p}</{inside}>")
         if rng.random() < 0.06:
-            body.append(other(rng.choice(OTHERS[11:22])))
+            body.append(other(*OTHERS["advert"], *OTHERS["beside"]))
     if rng.random() < 0.15:
-        body.append(other(rng.choice(OTHERS[22:26])))
+        body.append(other(*OTHERS["comments"]))
     article = f'<{name} {attributes} data-region="main">{"".join(body)}</{name}>'
     if name == "td":
         article = f"<table><tr>{article}</tr></table>"
-    before = [other(rng.choice(OTHERS[:22])) for _ in range(rng.randint(0, 4))]
-    after = [other(rng.choice(OTHERS[7:])) for _ in range(rng.randint(0, 4))]
+    before = [other(*OTHERS["top"], *OTHERS["beside"], *OTHERS["advert"]) for _ in range(rng.randint(0, 4))]
+    after = [other(*OTHERS["beside"], *OTHERS["advert"], *OTHERS["comments"]) for _ in range(rng.randint(0, 3))]
+    after += [other(*OTHERS["bottom"]) for _ in range(rng.randint(0, 2))]
     page = "".join(before + [article] + after)
     for _ in range(rng.randint(0, 3)):
         page = f'<div {rng.choice(["", "class=\"wrapper\"", "id=\"page\"", "class=\"container row\"", "class=\"x1\""])}>{page}</div>'
