@@ -6,7 +6,7 @@ runs over all blocks of the page, so a block is judged with what stands before a
 a logistic output tells main text from the rest. All of it is numpy, trained here.
 
 Training pages are a bounded sample of the table (`sample_pages` of at most `sample_chars`
-characters, by hash). Their labels come from their own markup: elements that say what they are
+bytes, by hash). Their labels come from their own markup: elements that say what they are
 (article, main; nav, aside, footer, form, and class names such as sidebar or comments). From the
 texts of the sample, `layouts` further pages per sampled page are laid out with other containers
 and class names, or none, with notices, adverts, forms, sidebars and reader comments in and around
@@ -355,9 +355,12 @@ def main_share(net: Labeller, pages: list[list[Block]]) -> list[np.ndarray]:
 
 def training_pages(pages: DataFrame, html: str, key: str, sample_pages: int, sample_chars: int, layouts: int, seed: int = 5) -> list[list[Block]]:
     """The marked blocks of the sampled pages and of the pages laid out from their texts."""
-    draw = F.xxhash64(F.col(key).cast("string"), html)
-    short = pages.where(F.char_length(html).between(1, sample_chars)).select(F.col(html).alias("html"), draw.alias("draw"))
-    sample = [blocks(r["html"], marked_region) for r in short.orderBy("draw", "html").limit(sample_pages).collect()]
+    draw = F.pmod(F.xxhash64(F.col(key).cast("string"), html), F.lit(1 << 40))
+    short = pages.where(F.octet_length(html).between(1, sample_chars)).select(F.col(html).alias("html"), draw.alias("draw"))
+    # About three times the sample by hash, then the exact number: tasks send no more than that together.
+    most = int((1 << 40) * min(1.0, 3 * sample_pages / max(short.count(), 1))) + 1
+    rows = short.where(F.col("draw") < most).orderBy("draw", "html").limit(sample_pages).collect()
+    sample = [blocks(r["html"], marked_region) for r in rows]
     rng = random.Random(seed)
     out = [page for page in sample if any(b.region == "main" for b in page)]
     scraps = [b.text for page in sample for b in page]
