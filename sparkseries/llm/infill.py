@@ -24,6 +24,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkseries.llm.shared import free_name
+
 UNIT = "[A-Za-z]+|[^A-Za-z]"
 MARKERS = ("<P>", "<S>", "<M>")
 ADDED = ("n", "form", "prefix_chars", "middle_chars", "output")
@@ -55,7 +57,7 @@ def infilled(docs: DataFrame, id_: str = "doc_id", text: str = "text", plain: in
     points of prefix and middle (null if plain). `plain` and `spm` are per cent of the texts, and of
     those that are cut. `unit` must match every code point."""
     rest = [c for c in docs.columns if c not in ADDED]
-    body, own, hold = _free(rest, "body"), _free(rest, "draws"), _free(rest, "cut")
+    body, own, hold = (free_name([*rest, *ADDED], name) for name in ("body", "draws", "cut"))
     h = draws(F.col(id_), seed)
     rows = docs.select(*rest, F.coalesce(F.col(text), F.lit("")).alias(body)).withColumns(
         {"n": F.regexp_count(F.col(body), F.lit(unit)).cast("long"), own: F.array(*h)})
@@ -90,8 +92,3 @@ def _possessive(unit: str) -> str:
     """Runs of a unit are matched without ways back: a cut never falls inside one."""
     return re.sub(r"(?<=\])\+(?!\+)", "++", unit)
 
-
-def _free(names: list[str], wanted: str) -> str:
-    while wanted in names or wanted in ADDED:
-        wanted = "_" + wanted
-    return wanted

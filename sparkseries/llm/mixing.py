@@ -11,8 +11,9 @@ weight, so the whole tree takes one window per level and no loop over nodes.
 A leaf passes through its documents in epochs; in each epoch they are ordered by a hash of seed,
 epoch and id. Whole epochs are taken as long as the budget lasts; of the next one the documents
 whose running token sum stays within the rest. The running sum is taken over 4096 bins of the
-hash first, and by document only inside the bin where the budget ends, so a leaf with a third of
-all rows is never sorted in one task.
+hash first, then over 4096 bins inside the one where the budget ends, and by document only inside
+the last of these, so a leaf with a third of all rows is never sorted in one task. The documents
+meet one row per leaf, which says where its budget ends; texts are not shuffled while these are few.
 
 Defined results: a null level value is the level `(none)`; a null or empty text has no tokens
 and is taken with every whole epoch; weights not named count 1, weight 0 takes nothing; repeated
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 from sparkseries.llm.shared import written
 
+BIN_DIGITS = 3  # hexadecimal digits of the hash that make a bin
+ROUNDS = 2
 WORD = r"[^\x20\x09-\x0D]+"
 NONE = "(none)"
 
@@ -77,6 +80,22 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str,
     return leaves.join(nodes.select(*levels, F.round("given").cast("long").alias("budget")), list(levels))
 
 
+def bin_of_end(rows: DataFrame, names: Sequence[str], digits: int) -> DataFrame:
+    """Per leaf the bin in which its budget ends, of the bins by the next `BIN_DIGITS` of `_order` after
+    the first `digits`, as all its digits (`_edge`), and the tokens before it (`_begin`)."""
+    bins = rows.groupBy(*names, "_rest", "_begin", F.substring("_order", 1, digits + BIN_DIGITS).alias("_bin")).agg(F.sum("_n").alias("_sum"))
+    # Running sums in two levels, so that no window holds all bins of a leaf.
+    bins = written(bins.withColumn("_group", F.substring("_bin", 1, digits + BIN_DIGITS - 1)), "bins")
+    groups = bins.groupBy(*names, "_group").agg(F.sum("_sum").alias("_all"))
+    before = Window.partitionBy(*names).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(*names, "_group", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_before"))
+    along = Window.partitionBy(*names, "_group").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.col("_begin") + F.col("_before") + F.sum("_sum").over(along)
+    bins = bins.join(groups, [*names, "_group"]).withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_sum"))
+    bins = bins.where((F.col("_start") <= F.col("_rest")) & (F.col("_end") > F.col("_rest")))
+    return bins.select(*names, F.col("_bin").alias("_edge"), F.col("_start").alias("_begin"))
+
+
 def mixed(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Mapping[str, float]], share: float = 1.0,
           max_epochs: int = 3, seed: int = 0, id_: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """One row per document and epoch taken: id, the levels, n_tokens, epoch; with `carry` all
@@ -87,9 +106,9 @@ def mixed(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, M
     """
     names = [f"_level{i}" for i in range(len(levels))]
     own = {f"_level{i}": weights.get(k, {}) for i, k in enumerate(levels)}
-    kept = [c for c in docs.columns if c != "epoch"] if carry else []
+    kept = {f"_c{i}": c for i, c in enumerate(docs.columns) if c != "epoch"} if carry else {}
     source = docs.select(
-        *kept, F.col(id_).alias("_id"), n_words(text).alias("_n"),
+        *[F.col(f"`{c}`").alias(k) for k, c in kept.items()], F.col(id_).alias("_id"), n_words(text).alias("_n"),
         *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for n, c in zip(names, levels.values())])
     rows = written(source.select("_id", "_n", *names), "tokens")
     leaves = rows.groupBy(*names).agg(F.sum("_n").alias("tokens"))
@@ -99,27 +118,23 @@ def mixed(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, M
     budgets = written(budgets.select(*names, "_whole", "_rest"), "budgets")
 
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_whole").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit(""))).cast("binary"))
-
-    def placed(rows: DataFrame) -> DataFrame:
-        return rows.join(budgets, names).withColumn("_order", order).withColumn("_bin", F.substring("_order", 1, 3))
-
-    # Running sums in two levels, 256 and 16 bins, so that no window holds all bins of a leaf.
-    bins = placed(rows).groupBy(*names, "_bin").agg(F.sum("_n").alias("_sum")).withColumn("_group", F.substring("_bin", 1, 2))
-    bins = written(bins, "bins")
-    groups = bins.groupBy(*names, "_group").agg(F.sum("_sum").alias("_all"))
-    before = Window.partitionBy(*names).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(*names, "_group", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_before"))
-    along = Window.partitionBy(*names, "_group").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = bins.join(groups, [*names, "_group"]).withColumn("_end", F.col("_before") + F.sum("_sum").over(along))
-    bins = written(bins.select(*names, "_bin", (F.col("_end") - F.col("_sum")).alias("_begin"), "_end"), "ends")
-    rows = placed(source if carry else rows).join(bins, [*names, "_bin"])
-
-    edge = (F.col("_begin") <= F.col("_rest")) & (F.col("_end") > F.col("_rest"))
+    ends = budgets.withColumns({"_edge": F.lit(""), "_begin": F.lit(0).cast("long")})
+    for digits in range(0, BIN_DIGITS * ROUNDS, BIN_DIGITS):
+        inside = rows.join(ends, names).withColumn("_order", order)
+        if digits:
+            inside = inside.where(F.substring("_order", 1, digits) == F.col("_edge"))
+        edges = written(bin_of_end(inside, names, digits), "ends")
+        ends = budgets.join(edges, names, "left")
+
+    taken = (source if carry else rows).join(ends, names).withColumn("_order", order)
+    bin_ = F.substring("_order", 1, BIN_DIGITS * ROUNDS)
+    at_edge = taken.where(bin_ == F.col("_edge"))
     inside = Window.partitionBy(*names).orderBy("_order", "_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at_edge = rows.where(edge).withColumn("_part", F.col("_begin") + F.sum("_n").over(inside) <= F.col("_rest"))
-    others = rows.where(~edge).withColumn("_part", F.col("_end") <= F.col("_rest"))
+    at_edge = at_edge.withColumn("_part", F.col("_begin") + F.sum("_n").over(inside) <= F.col("_rest"))
+    # A leaf without an end of its own has no rest.
+    others = taken.where(F.col("_edge").isNull() | (bin_ != F.col("_edge"))).withColumn("_part", F.coalesce(bin_ < F.col("_edge"), F.lit(False)))
     taken = others.unionByName(at_edge).withColumn("_times", F.col("_whole") + F.when(F.col("_part") & (F.col("_rest") > 0), 1).otherwise(0))
     taken = taken.where("_times > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
     if carry:
-        return taken.select(*kept, F.col("_epoch").alias("epoch"))
+        return taken.select(*[F.col(k).alias(c) for k, c in kept.items()], F.col("_epoch").alias("epoch"))
     return taken.select(F.col("_id").alias(id_), *[F.col(n).alias(k) for n, k in zip(names, levels)], F.col("_n").alias("n_tokens"), F.col("_epoch").alias("epoch"))

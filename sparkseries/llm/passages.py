@@ -42,7 +42,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkseries.llm.shared import written
+from sparkseries.llm.shared import free_name, written
 from sparkseries.llm.words import SPACED_LOWER, Words, grams, slices, words
 
 K = 4
@@ -72,6 +72,15 @@ def code_slices(column: pa.Array) -> Iterator[tuple[int, Words]]:
         row = to
 
 
+def code_arrays(column: pa.Array) -> Iterator[np.ndarray]:
+    """The codes of each row."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return (data[a:b].view(np.uint16) for a, b in zip(offsets, offsets[1:]))
+
+
 def rolling(least, x: np.ndarray, size: int) -> np.ndarray:
     """`least` (np.minimum or np.maximum) of each `size` neighbours, in steps that double."""
     step = 1
@@ -358,19 +367,32 @@ def runs_of(x: np.ndarray, y: np.ndarray, k: int) -> list[tuple[int, int, int]]:
 
 
 def thinned(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Matches without those that only repeat words of others: of each unbroken run on a diagonal
-    every k-th and the last one are kept."""
+    """Matches without those that only repeat words of others: of the matches on a diagonal that
+    leave no word between them, one in k words and the last one are kept."""
     order = np.lexsort((x, x - y))
     x, y = x[order], y[order]
     new = np.r_[True, (np.diff(x) != 0) | (np.diff(y) != 0)][: len(x)]
     x, y = x[new], y[new]
     edge = np.ones(len(x) + 1, bool)
-    edge[1:-1] = (np.diff(x) != 1) | (np.diff(y) != 1)
+    edge[1:-1] = (np.diff(x) > k) | (np.diff(x - y) != 0)
     start = np.maximum.accumulate(np.where(edge[:-1], np.arange(len(x)), 0))
-    keep = ((np.arange(len(x)) - start) % k == 0) | edge[1:]
+    step = (x - x[start]) // k
+    keep = edge[:-1] | edge[1:]
+    keep[1:] |= step[1:] != step[:-1]
     return x[keep], y[keep]
 
 
+def straight(x: np.ndarray) -> list[np.ndarray]:
+    """`chains` of matches on one diagonal, ascending: the best predecessor is always the last one."""
+    out, begin, value = [], 0, -1.0
+    for i, level in enumerate((2 * GAP * (x - x[0])).tolist()):
+        if value <= level and i:
+            out.append((begin, i))
+            begin = i
+        value = WEIGHT + max(value, level)
+    return [np.arange(a, b) for a, b in [*out, (begin, len(x))] if b - a > 1]
+
+
 def joined(x: np.ndarray, y: np.ndarray, size: int) -> list[tuple[int, int, int]]:
     """Runs (start, end, shift) of matches of `size` words each, that meet on one diagonal."""
     shift = x - y
@@ -403,7 +425,8 @@ def chained_runs(x: np.ndarray, y: np.ndarray, kind: np.ndarray, k: int, part: i
         ys.append(xs[-1] - shift)
     xs, ys = thinned(np.concatenate(xs), np.concatenate(ys), k)
     if len(xs) > 1:
-        out = [runs_of(xs[path], ys[path], k) for path in chains(xs, ys, WEIGHT)]
+        found = straight(xs) if (xs - ys == xs[0] - ys[0]).all() else chains(xs, ys, WEIGHT)
+        out = [runs_of(xs[path], ys[path], k) for path in found]
     held: dict[int, list[tuple[int, int]]] = {}
     for runs in out:
         for start, end, d in runs:
@@ -534,16 +557,25 @@ def repeated_passages(docs: DataFrame, id_: str = "doc_id", text: str = "text",
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, out = [], []
-            runs, a_from, b_from, a_all, b_all = (batch.column(i) for i in range(2, 7))
-            for i in range(batch.num_rows):
-                a, b = np.frombuffer(a_all[i].as_py(), np.uint16), np.frombuffer(b_all[i].as_py(), np.uint16)
-                lo_a, lo_b = a_from[i].as_py(), b_from[i].as_py()
-                flat = np.array(runs[i].as_py()).reshape(-1, 3)
-                local = [(int(s) - lo_a, int(e) - lo_a, int(d) - lo_a + lo_b) for s, e, d in flat]
+            runs, ends = batch.column(2).flatten().to_numpy(), batch.column(2).offsets.to_numpy() - batch.column(2).offsets[0].as_py()
+            a_from, b_from = (batch.column(i).to_numpy() for i in (3, 4))
+            for i, (a, b) in enumerate(zip(code_arrays(batch.column(5)), code_arrays(batch.column(6)))):
+                lo_a, lo_b = int(a_from[i]), int(b_from[i])
+                flat = runs[ends[i] : ends[i + 1]].reshape(-1, 3).tolist()
+                local = [(s - lo_a, e - lo_a, d - lo_a + lo_b) for s, e, d in flat]
                 if local[-1][1] > len(a) or local[-1][1] - local[-1][2] > len(b):
                     continue  # another row of a repeated id
-                at_a, at_b = columns(a, b, local)
-                same = a[at_a] == b[at_b]
+                if len(local) == 1:  # one diagonal
+                    shift = local[0][2]
+                    lo, hi = max(0, shift), min(len(a), len(b) + shift)
+                    same = a[lo:hi] == b[lo - shift : hi - shift]
+                    if np.count_nonzero(same) < likeness * min_words:
+                        continue
+                    at_a = np.arange(lo, hi)
+                    at_b = at_a - shift
+                else:
+                    at_a, at_b = columns(a, b, local)
+                    same = a[at_a] == b[at_b]
                 for lo, hi in stretches(at_a, at_b, same, min_words, likeness):
                     row.append(i)
                     out.append((at_a[lo] + lo_a, at_a[hi - 1] + 1 + lo_a, at_b[lo] + lo_b, at_b[hi - 1] + 1 + lo_b, same[lo:hi].sum()))
@@ -579,8 +611,9 @@ def without_passages(docs: DataFrame, passages: DataFrame, id_: str = "doc_id",
     """`docs` with the words of the passages cut out of their texts; a text of which no word is
     left goes. Columns stay as they are. Texts without a passage are not changed."""
     names = docs.columns
-    ranges = passages.groupBy(F.col(id_).alias("_id")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("_cut"))
-    rows = docs.join(ranges, docs[id_] == ranges["_id"], "left").drop("_id")
+    own, cut = free_name(names, "own_id"), free_name(names, "cut")
+    ranges = passages.groupBy(F.col(id_).alias(own)).agg(F.collect_list(F.struct("start_word", "end_word")).alias(cut))
+    rows = docs.join(ranges, docs[id_] == ranges[own], "left").drop(own)
     at, cut_at = names.index(text), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -53,9 +53,9 @@ MIX_WEIGHTS = {"domain": {"web": 0.6, "books": 0.4}, "lang": {"en": 0.45, "de":
 MIX = {"share": 1.2, "max_epochs": 3, "seed": 17}
 
 
-def mix_levels() -> dict[str, Column]:
-    web = F.col("source").rlike("^src[0-9]$")
-    return {"domain": F.when(web, "web").otherwise("books"), "lang": F.col("lang"), "source": F.col("source")}
+def mix_levels(lang: str = "lang", source: str = "source") -> dict[str, Column]:
+    web = F.col(source).rlike("^src[0-9]$")
+    return {"domain": F.when(web, "web").otherwise("books"), "lang": F.col(lang), "source": F.col(source)}
 
 
 MIX_SQL = {"domain": "CASE WHEN regexp_matches(source, '^src[0-9]$') THEN 'web' ELSE 'books' END", "lang": "lang", "source": "source"}

@@ -5,9 +5,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sparkseries.llm import passages
 from sparkseries.llm.components import components
 from sparkseries.llm.mixing import mixed
 from sparkseries.llm.neardup import half_keys_for, near_duplicates
@@ -145,6 +147,15 @@ def test_chains_have_the_best_score():
         assert all((np.diff(x[p]) > 0).all() and (np.diff(y[p]) > 0).all() for p in found)
 
 
+def test_straight_chains_hold_those_of_the_tree():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        x = np.unique(rng.integers(0, 400, int(rng.integers(2, 40))))
+        whole = [set(p.tolist()) for p in passages.straight(x)]
+        for path in chains(x, x - 7, passages.WEIGHT):
+            assert any(set(path.tolist()) <= w for w in whole)
+
+
 def test_two_passages_with_a_gap_are_both_found(spark):
     """Passages of one pair, at any gap between them, in both texts or in one."""
     rng = random.Random(11)
@@ -228,6 +239,67 @@ def test_worn_passages_are_found(spark):
     assert len(want) > 55 and got == want
 
 
+def mixed_rows():
+    """Texts of frequent words with exact, worn and repeated passages and stock phrases."""
+    rng = random.Random(21)
+    pool = [f"w{i}" for i in range(2000)]
+    weights = [1 / (i + 2) for i in range(2000)]
+    text = lambda n: rng.choices(pool, weights, k=n)
+    shared = [text(rng.randrange(50, 120)) for _ in range(6)]
+    stock = [text(rng.randrange(4, 30)) for _ in range(5)]
+    rows = []
+    for i in range(60):
+        w = text(rng.randrange(20, 150))
+        for _ in range(rng.randrange(4)):
+            part = list(rng.choice(shared + stock + stock))
+            if rng.random() < 0.4:
+                part = [rng.choice(pool) if rng.random() < 0.1 else x for x in part]
+            at = rng.randrange(len(w))
+            w = w[:at] + part + w[at:]
+        rows.append((i, w))
+    return rows
+
+
+def test_hot_seeds_and_small_buckets_give_the_same_passages(spark, monkeypatch):
+    rows = mixed_rows()
+    docs = docs_of(spark, [(i, " ".join(w)) for i, w in rows]).repartition(3)
+    whole = sorted(map(tuple, repeated_passages(docs).collect()))
+    found = {}
+    for i, a, b, *_ in whole:
+        found.setdefault(i, set()).update(range(a, b))
+    assert all(words <= found.get(i, set()) for i, words in exact_repeats(rows).items())
+    monkeypatch.setattr(passages, "BUCKET_SEEDS", 150)
+    monkeypatch.setattr(passages, "SLICE_WORDS", 400)
+    assert sorted(map(tuple, repeated_passages(docs).collect())) == whole
+    monkeypatch.setattr(passages, "HOT", 6)
+    monkeypatch.setattr(passages, "SAMPLE", 1)
+    assert sorted(map(tuple, repeated_passages(docs).collect())) == whole
+
+
+def test_chosen_runs_are_the_least_of_their_neighbours():
+    rng = np.random.default_rng(6)
+    codes = [rng.integers(0, 9, n).astype(np.uint16) for n in (0, 49, 50, 51, 200, 60)]
+    column = pa.array([c.tobytes() for c in codes], pa.binary())
+    (_, w), = passages.code_slices(column)
+    at, h = passages.chosen_runs(w, 25, 50)
+    every, ok = passages.grams(w, 25)
+    want = set()
+    for a, b in zip(w.first, w.first[1:]):
+        for s in range(a, b - 49):
+            near = every[s : s + 26]
+            want |= {s + int(j) for j in np.flatnonzero(near == near.min())}
+    assert set(at.tolist()) == want and (h == every[at]).all() and ok[at].all()
+
+
+def test_passages_of_ids_of_text_and_of_very_long_texts(spark):
+    rng = random.Random(22)
+    text = lambda n: [str(rng.random()) for _ in range(n)]
+    long, shared = text(70_000), text(80)
+    rows = [("b", " ".join(long)), ("a", " ".join(long[40_000:40_300] + text(10))), ("c", " ".join(text(5) + shared)), ("d", " ".join(shared))]
+    out = {(r.doc_id, r.source_doc_id, r.start_word, r.end_word, r.source_start) for r in repeated_passages(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert out == {("b", "a", 40_000, 40_300, 0), ("d", "c", 0, 80, 5)}
+
+
 def test_stretches_cover_what_brute_force_finds():
     rng = np.random.default_rng(4)
     for _ in range(60):

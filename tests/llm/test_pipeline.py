@@ -96,6 +96,73 @@ def test_mixture_takes_what_the_operator_says(stages):
     assert all(r.text == before[r.doc_id].text for r in got)
 
 
+CLASHES = ("score", "lang_pred", "n_words", "hits", "items", "n_hit", "n_items", "contaminated", "_id", "_n", "_cut", "cut", "own_id", "_known", "_base",
+           "_row", "_level0", "_order", "_bin", "_edge", "epoch", "kept", "component_id", "place", "count", "c0", "Score_2", "id", "source_doc_id", "key")
+
+
+def test_columns_of_any_name_keep_their_values(spark, tmp_path):
+    """Every stage with columns named like those that operators add or use inside."""
+    plain = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    docs = plain.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in CLASHES})
+    without = plain
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        expected = stage(spark, without, SF)
+        last = name == "mixing"
+        assert out.columns == docs.columns + (["_epoch"] if last else [])
+        out.write.parquet(str(tmp_path / f"a{k}"))
+        expected.write.parquet(str(tmp_path / f"b{k}"))
+        docs, without = spark.read.parquet(str(tmp_path / f"a{k}")), spark.read.parquet(str(tmp_path / f"b{k}"))
+        rows = docs.collect()
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHES)
+        assert Counter((r.doc_id, r.text, r._epoch if last else 0) for r in rows) == Counter((r.doc_id, r.text, r.epoch if last else 0) for r in without.collect())
+
+
+def test_rows_of_one_id_leave_the_one_with_the_least_text(spark):
+    base = "one two three four five six seven eight nine ten " * 3
+    rows = [(1, base + "z", "en", "s", 1), (1, "b other text of this id", "en", "s", 2), (1, "a third text of this id", "en", "s", 3), (2, "x y z", "en", "s", 4), (2, None, "en", "s", 5)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+        assert sorted((r.doc_id, r.n_chars) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == [(1, 3), (2, 5)]
+
+
+def test_texts_longer_than_a_slice_pass_all_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    long = " ".join(r.text for r in docs.where("lang = 'en' and doc_id < 20").collect() if r.text)
+    long = (long + "\n") * (2_500_000 // len(long) + 1)
+    docs = docs.unionByName(spark.createDataFrame([(777, long, "en", "src1", len(long))], docs.schema))
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        found = docs.where("doc_id = 777").select("text").collect()
+        if name in ("language_id", "near_dedup"):
+            assert [r.text for r in found] == [long]
+        if name == "substring_dedup":
+            assert not found or len(found[0].text) < len(long) / 10
+
+
+def test_a_stage_leaves_no_tables_behind_and_an_unset_folder_fails_on_a_cluster(spark):
+    import os
+
+    from sparkseries.llm.shared import shared_dir, swept, written
+
+    base = os.path.join(shared_dir(spark), "llm")
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    with swept(spark):
+        kept = written(corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(20), SF), "kept", keep=True)
+    assert len(set(os.listdir(base)) - before) == 1 and kept.count() > 0
+
+    class Cluster:
+        master = "spark://elsewhere:7077"
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: default)})
+        sparkContext = Cluster
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
