@@ -101,7 +101,7 @@ def synthesize(
     The `keep` columns (the time grid) are taken over; the copula columns are draws. `ids` must
     identify a source row. Draws are independent between rows, like those of the source method.
     """
-    rows = df.withColumn(series, F.explode(F.array(*[F.lit(int(c)) for c in copies])))
+    rows = df.withColumn(series, F.explode(F.array(*[F.lit(int(c)) for c in copies if c != own]).cast("array<int>")))
     d = len(copula.columns)
     root = np.linalg.cholesky(np.asarray(copula.correlation) + 1e-9 * np.eye(d))
     for i in range(d):
@@ -113,9 +113,11 @@ def synthesize(
         z = sum((F.lit(float(root[i, j])) * F.col(f"_e{j}") for j in range(i + 1)), F.lit(0.0))
         rows = rows.withColumn(f"_z{i}", z)
         drawn[c] = _interpolated(F.col(f"_z{i}"), copula.scores[c], copula.values[c])
-    if own is not None:
-        drawn = {c: F.when(F.col(series) == own, F.col(c).cast("double")).otherwise(v) for c, v in drawn.items()}
-    return rows.select(series, *keep, *[v.alias(c) for c, v in drawn.items()])
+    drawn = rows.select(series, *keep, *[v.alias(c) for c, v in drawn.items()])
+    if own is None:
+        return drawn
+    # One more narrow scan: inside a condition each draw's shared parts would be computed many times.
+    return df.select(F.lit(int(own)).alias(series), *keep, *[F.col(c).cast("double").alias(c) for c in copula.columns]).unionByName(drawn)
 
 
 def synthetic_panel(

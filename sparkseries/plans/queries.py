@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from sparkseries.functions.text import parse_timestamp, to_number
 from sparkseries.functions.timegrid import bucket
-from sparkseries.operators import clean, ensemble, features, forecast, metrics, models, quality, splits, synth, tuning
+from sparkseries.operators import attribution, clean, ensemble, features, forecast, metrics, models, quality, search, splits, synth, tuning
 from sparkseries.operators.joins import join_on
 from sparkseries.operators.resample import resample
 from sparkseries.plans import backtest, layers, reports
+from sparkseries.session import kept
 from sparkseries.sources import layers as layer_io
 from sparkseries.sources import registry
 
@@ -987,70 +988,55 @@ def trial_rows(spark, sf):
     return out.groupBy("event_type", "candidate_id", "fold", "role").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-_SUMS = ("count(*) AS k, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy, sum(x1 * x1) AS s11, sum(x1 * x2) AS s12,"
-         " sum(x2 * x2) AS s22, sum(x1 * y) AS s1y, sum(x2 * y) AS s2y, sum(y * y) AS syy")
-_SUM_NAMES = ["k", "s1", "s2", "sy", "s11", "s12", "s22", "s1y", "s2y", "syy"]
-_CENTRE = (
-    "k, s1 / k AS m1, s2 / k AS m2, sy / k AS my, s11 - s1 * s1 / k AS c11, s22 - s2 * s2 / k AS c22,"
-    " s12 - s1 * s2 / k AS c12, s1y - s1 * sy / k AS c1y, s2y - s2 * sy / k AS c2y"
-)
-_FOLD_SQL = (
-    _TWO_SQL + ", tr AS (SELECT event_type, x1, x2, y, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,"
+_TUNED27_SQL = (
+    _LAG8_SQL + ", tr AS (SELECT * EXCLUDE (rn, n, part), row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,"
     " count(*) OVER (PARTITION BY event_type) AS n FROM pt WHERE part = 'train'),"
-    " sg AS (SELECT *, CASE WHEN rn <= n - 10 * (n // 11) THEN 0 ELSE ceil((rn - (n - 10 * (n // 11))) / (n // 11)) END AS seg FROM tr),"
-    f" bs AS (SELECT event_type, CAST(seg AS INTEGER) AS seg, {_SUMS} FROM sg GROUP BY 1, 2),"
-    " pf AS (SELECT event_type, seg, " + ", ".join(
-        f"sum({n}) OVER (PARTITION BY event_type ORDER BY seg) AS {n}" for n in _SUM_NAMES) + " FROM bs), " + _GRID_SQL +
-    f", ct AS (SELECT event_type, seg AS fold, candidate_id, l2, n_lags, {_CENTRE} FROM pf, cand WHERE seg < 10),"
-    f" ft AS ({_solve_sql('ct', '', 'l2', 'n_lags')}),"
-    " fs AS (SELECT ft.event_type, candidate_id, fold, syy - sy * sy / bs.k AS sst,"
-    " syy - 2 * w0 * sy - 2 * w1 * s1y - 2 * w2 * s2y + bs.k * w0 * w0 + 2 * w0 * w1 * s1 + 2 * w0 * w2 * s2"
-    " + w1 * w1 * s11 + 2 * w1 * w2 * s12 + w2 * w2 * s22 AS sse, bs.k FROM ft JOIN bs ON bs.event_type = ft.event_type AND bs.seg = fold + 1)"
+    f" sg AS (SELECT *, CASE WHEN rn <= n - {FOLDS} * (n // {FOLDS + 1}) THEN 0 ELSE ceil((rn - (n - {FOLDS} * (n // {FOLDS + 1}))) / (n // {FOLDS + 1})) END AS seg FROM tr),"
+    f" fo AS (SELECT sg.*, fold FROM sg, (SELECT unnest(range({FOLDS + 1})) AS fold) WHERE seg <= fold),"
+    " cand(candidate_id, l2, n_lags) AS (VALUES " + ", ".join(f"({c['candidate_id']}, {c['l2']!r}::DOUBLE, {c['n_lags']})" for c in GRID_27) + "),"
+    f" ce AS ({_centred_wide_sql('fo', 'event_type, fold', _D8)}), cc AS (SELECT * FROM ce, cand),"
+    f" fit AS ({_eliminated_sql('cc', _D8, 'l2', 'n_lags')}),"
+    f" ch AS (SELECT event_type, fit.fold, candidate_id, y, {_YHAT8} AS yhat FROM sg JOIN fit USING (event_type) WHERE seg = fit.fold + 1),"
+    " fs AS (SELECT event_type, fold, candidate_id, 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) AS r2 FROM ch GROUP BY 1, 2, 3),"
+    " av AS (SELECT event_type, candidate_id, avg(r2) AS cv_score FROM fs GROUP BY 1, 2),"
+    # A series too short for folds takes the first candidate and has no fold score.
+    " bst AS (SELECT event_type, coalesce(candidate_id, 0) AS candidate_id, cv_score FROM (SELECT DISTINCT event_type FROM fit) LEFT JOIN"
+    " (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY cv_score DESC, candidate_id) AS pos FROM av) WHERE pos = 1) USING (event_type)),"
+    f" e AS (SELECT event_type, candidate_id, cv_score, l2, n_lags, y, {_YHAT8} AS yhat FROM pt JOIN bst USING (event_type)"
+    f" JOIN fit USING (event_type, candidate_id) WHERE part = 'test' AND fold = {FOLDS})"
 )
 
 
 @query(
-    f"WITH {_FOLD_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, fold, round(sse / k, 5) + 0.0 AS mse,"
-    " round(1 - sse / sst, 6) + 0.0 AS r2 FROM fs"
+    f"WITH {_TUNED27_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, CAST(fold AS INTEGER) AS fold,"
+    " round(avg((y - yhat) * (y - yhat)), 5) + 0.0 AS mse, round(1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)), 6) + 0.0 AS r2"
+    " FROM ch GROUP BY 1, 2, 3"
 )
 def tuning_fold_scores(spark, sf):
-    """Every candidate on every past-only fold of every series."""
-    train = splits.holdout_fraction(two_lags(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
-    out = tuning.fold_scores(train, SERIES, "ts", TWO, "value", GRID, FOLDS)
+    """27 candidates on eight lags, on every one of ten past-only folds of every series."""
+    train = splits.holdout_fraction(lagged(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
+    out = tuning.fold_scores(train, SERIES, "ts", EIGHT, "value", GRID_27, FOLDS)
     return rounded(rounded(out, 5, "mse"), 6, "r2")
 
 
-_BEST_SQL = (
-    _FOLD_SQL + ", av AS (SELECT event_type, candidate_id, avg(1 - sse / sst) AS cv_score FROM fs GROUP BY 1, 2),"
-    " bst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY cv_score DESC, candidate_id) AS pos FROM av) WHERE pos = 1)"
-)
-
-
 @query(
-    f"WITH {_BEST_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, round(cv_score, 6) + 0.0 AS r2 FROM bst"
+    f"WITH {_TUNED27_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, round(cv_score, 6) + 0.0 AS r2 FROM bst WHERE cv_score IS NOT NULL"
 )
 def best_candidates(spark, sf):
-    """Best candidate per series by mean fold score."""
-    train = splits.holdout_fraction(two_lags(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
-    scores = tuning.fold_scores(train, SERIES, "ts", TWO, "value", GRID, FOLDS)
+    """Best of 27 candidates per series by mean fold score."""
+    train = splits.holdout_fraction(lagged(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
+    scores = tuning.fold_scores(train, SERIES, "ts", EIGHT, "value", GRID_27, FOLDS)
     mean = metrics.mean_over_horizons(scores, [*SERIES, "candidate_id"], ["r2"])
     return rounded(metrics.best_candidate(mean, SERIES, "candidate_id", "r2", smaller_is_better=False), 6, "r2")
 
 
-_TUNED_SQL = (
-    _BEST_SQL + f", al AS (SELECT event_type, candidate_id, cv_score, l2, n_lags, {_CENTRE} FROM pf JOIN bst USING (event_type) JOIN cand USING (candidate_id) WHERE seg = 10),"
-    f" fm AS ({_solve_sql('al', '', 'l2', 'n_lags')}),"
-    " e AS (SELECT event_type, candidate_id, cv_score, l2, n_lags, y, w0 + w1 * x1 + w2 * x2 AS yhat FROM pt JOIN fm USING (event_type) WHERE part = 'test')"
-)
-
-
 @query(
-    f"WITH {_TUNED_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, CAST(any_value(l2) AS DOUBLE) AS l2, CAST(any_value(n_lags) AS DOUBLE) AS n_lags,"
+    f"WITH {_TUNED27_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, CAST(any_value(l2) AS DOUBLE) AS l2, CAST(any_value(n_lags) AS DOUBLE) AS n_lags,"
     f" round(any_value(cv_score), 6) + 0.0 AS cv_score, count(*) AS n_rows, {_err_sql(['rmse', 'mape'])} FROM e GROUP BY 1, 2"
 )
 def tuned_series_models(spark, sf):
-    """Grid search per series on ten folds, refit, score on the last fifth."""
-    out = tuning.tuned_scores(two_lags(spark, sf), SERIES, "ts", TWO, "value", GRID, FOLDS)
+    """Grid search of 27 candidates per series on ten folds, refit, score on the last fifth."""
+    out = tuning.tuned_scores(lagged(spark, sf), SERIES, "ts", EIGHT, "value", GRID_27, FOLDS)
     out = out.select(
         "event_type", "candidate_id",
         F.col("best_params")["l2"].cast("double").alias("l2"), F.col("best_params")["n_lags"].cast("double").alias("n_lags"),
@@ -1060,35 +1046,16 @@ def tuned_series_models(spark, sf):
 
 
 @query(
-    f"WITH {_TUNED_SQL} SELECT CAST(candidate_id AS BIGINT) AS candidate_id, round(any_value(cv_score), 6) + 0.0 AS cv_score,"
+    f"WITH {_TUNED27_SQL} SELECT CAST(candidate_id AS BIGINT) AS candidate_id, round(any_value(cv_score), 6) + 0.0 AS cv_score,"
     f" count(*) AS n_rows, {_err_sql(['rmse', 'mape'])} FROM e WHERE event_type = 'click' GROUP BY 1"
 )
 def tuned_single_series(spark, sf):
     """The same search on one series; the filter on the series reaches the scan."""
-    one = two_lags(spark, sf).where("event_type = 'click'")
-    out = tuning.tuned_scores(one, SERIES, "ts", TWO, "value", GRID, FOLDS)
+    one = lagged(spark, sf).where("event_type = 'click'")
+    out = tuning.tuned_scores(one, SERIES, "ts", EIGHT, "value", GRID_27, FOLDS)
     return rounded(out.select("candidate_id", "cv_score", "n_rows", "rmse", "mape"), 6, "cv_score", "rmse", "mape")
 
 
-_TUNED27_SQL = (
-    _LAG8_SQL + ", tr AS (SELECT * EXCLUDE (rn, n, part), row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,"
-    " count(*) OVER (PARTITION BY event_type) AS n FROM pt WHERE part = 'train'),"
-    f" sg AS (SELECT *, CASE WHEN rn <= n - {FOLDS} * (n // {FOLDS + 1}) THEN 0 ELSE ceil((rn - (n - {FOLDS} * (n // {FOLDS + 1}))) / (n // {FOLDS + 1})) END AS seg FROM tr),"
-    f" fo AS (SELECT sg.*, fold FROM sg, (SELECT unnest(range({FOLDS + 1})) AS fold) WHERE seg <= fold),"
-    " cand(candidate_id, l2, n_lags) AS (VALUES " + ", ".join(f"({c['candidate_id']}, {c['l2']!r}::DOUBLE, {c['n_lags']})" for c in GRID_27) + "),"
-    f" ce AS ({_centred_wide_sql('fo', 'event_type, fold', _D8)}), cc AS (SELECT * FROM ce, cand),"
-    f" fit AS ({_eliminated_sql('cc', _D8, 'l2', 'n_lags')}),"
-    f" ch AS (SELECT event_type, fit.fold, candidate_id, y, {_YHAT8} AS yhat FROM sg JOIN fit USING (event_type) WHERE seg = fit.fold + 1),"
-    " fs AS (SELECT event_type, fold, candidate_id, 1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) AS r2 FROM ch GROUP BY 1, 2, 3),"
-    " av AS (SELECT event_type, candidate_id, avg(r2) AS cv_score FROM fs GROUP BY 1, 2),"
-    # A series too short for folds takes the first candidate and has no fold score.
-    " bst AS (SELECT event_type, coalesce(candidate_id, 0) AS candidate_id, cv_score FROM (SELECT DISTINCT event_type FROM fit) LEFT JOIN"
-    " (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY cv_score DESC, candidate_id) AS pos FROM av) WHERE pos = 1) USING (event_type)),"
-    f" e AS (SELECT event_type, candidate_id, cv_score, l2, n_lags, y, {_YHAT8} AS yhat FROM pt JOIN bst USING (event_type)"
-    f" JOIN fit USING (event_type, candidate_id) WHERE part = 'test' AND fold = {FOLDS})"
-)
-
-
 @query(
     f"WITH {_TUNED27_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id,"
     " '{\"l2\":' || CAST(any_value(l2) AS VARCHAR) || ',\"n_lags\":' || CAST(CAST(any_value(n_lags) AS DOUBLE) AS VARCHAR) || '}' AS best_params,"
@@ -1102,42 +1069,73 @@ def tuned_series_models_grid_of_27(spark, sf):
 
 
 @query(
-    f"WITH {_TUNED_SQL} SELECT DISTINCT event_type, '{{\"l2\":' || CAST(CAST(l2 AS DOUBLE) AS VARCHAR) || ',\"n_lags\":' || CAST(CAST(n_lags AS DOUBLE) AS VARCHAR) || '}}' AS params FROM e"
+    f"WITH {_TUNED27_SQL} SELECT event_type, '{{\"l2\":' || CAST(CAST(l2 AS DOUBLE) AS VARCHAR) || ',\"n_lags\":' || CAST(CAST(n_lags AS DOUBLE) AS VARCHAR) || '}}' AS params"
+    " FROM bst JOIN cand USING (candidate_id)"
 )
 def params_text(spark, sf):
     """Best parameters of each series as text."""
-    train = splits.holdout_fraction(two_lags(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
-    best = tuning.tune_ridge(train, SERIES, "ts", TWO, "value", GRID, FOLDS)
+    train = splits.holdout_fraction(lagged(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
+    best = tuning.tune_ridge(train, SERIES, "ts", EIGHT, "value", GRID_27, FOLDS)
     picked = F.create_map(*[x for n in ("l2", "n_lags") for x in (F.lit(n), F.col("best_params")[n])])
     return best.select("event_type", F.to_json(picked).alias("params"))
 
 
-_RANDOM = tuning.random_candidates(30, 20244, l2=("log", 0.001, 1000.0), n_lags=("int", 1, 2))
-_RANDOM_SQL = "cand(candidate_id, l2, n_lags) AS (VALUES " + ", ".join(
-    f"({c['candidate_id']}, {c['l2']!r}, {c['n_lags']})" for c in _RANDOM
-) + ")"
-
-
-@query(
-    f"WITH {_TWO_SQL}, tr AS (SELECT event_type, x1, x2, y, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,"
+_AXES = {"l2": ("log", 0.001, 1000.0), "n_lags": ("int", 1, 8)}
+_RANDOM = tuning.random_candidates(30, 20244, **_AXES)
+_RANDOM_SQL = (
+    _LAG8_SQL + ", tr AS (SELECT * EXCLUDE (rn, n, part), row_number() OVER (PARTITION BY event_type ORDER BY ts) AS rn,"
     " count(*) OVER (PARTITION BY event_type) AS n FROM pt WHERE part = 'train'),"
-    " iv AS (SELECT *, rn > n - ceil(n * 0.2) AS held FROM tr), " + _RANDOM_SQL +
-    f", c1 AS ({_centred_sql('(SELECT * FROM iv WHERE NOT held)', 'event_type')}), c1c AS (SELECT * FROM c1, cand),"
-    f" m1 AS ({_solve_sql('c1c', '', 'l2', 'n_lags')}),"
-    f" v AS (SELECT event_type, candidate_id, {_ERR['mape'].replace('yhat', '(w0 + w1 * x1 + w2 * x2)')} AS validation_mape"
+    " iv AS (SELECT *, rn > n - ceil(n * 0.2) AS held FROM tr),"
+    " cand(candidate_id, l2, n_lags) AS (VALUES " + ", ".join(f"({c['candidate_id']}, {c['l2']!r}::DOUBLE, {c['n_lags']})" for c in _RANDOM) + "),"
+    f" c1 AS ({_centred_wide_sql('(SELECT * FROM iv WHERE NOT held)', 'event_type', _D8)}), c1c AS (SELECT * FROM c1, cand),"
+    f" m1 AS ({_eliminated_sql('c1c', _D8, 'l2', 'n_lags')}),"
+    f" v AS (SELECT event_type, candidate_id, {_ERR['mape'].replace('yhat', '(' + _YHAT8 + ')')} AS validation_mape"
     " FROM iv JOIN m1 USING (event_type) WHERE held GROUP BY 1, 2),"
     " bst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY validation_mape, candidate_id) AS pos FROM v) WHERE pos = 1),"
-    f" c2 AS ({_centred_sql('tr', 'event_type')}), c2c AS (SELECT * FROM c2 JOIN bst USING (event_type) JOIN cand USING (candidate_id)),"
-    f" m2 AS ({_solve_sql('c2c', '', 'l2', 'n_lags')}),"
-    " e AS (SELECT event_type, candidate_id, validation_mape, y, w0 + w1 * x1 + w2 * x2 AS yhat FROM pt JOIN m2 USING (event_type) WHERE part = 'test')"
-    f" SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, round(validation_mape, 6) AS validation_mape, count(*) AS n_rows, {_err_sql(['rmse', 'mape'])} FROM e GROUP BY 1, 2, 3"
+    f" c2 AS ({_centred_wide_sql('tr', 'event_type', _D8)}), c2c AS (SELECT * FROM c2 JOIN bst USING (event_type) JOIN cand USING (candidate_id)),"
+    f" m2 AS ({_eliminated_sql('c2c', _D8, 'l2', 'n_lags')}),"
+    f" e AS (SELECT event_type, candidate_id, validation_mape, y, {_YHAT8} AS yhat FROM pt JOIN m2 USING (event_type) WHERE part = 'test')"
+)
+
+
+@query(
+    f"WITH {_RANDOM_SQL} SELECT event_type, CAST(candidate_id AS BIGINT) AS candidate_id, round(validation_mape, 6) AS validation_mape,"
+    f" count(*) AS n_rows, {_err_sql(['rmse', 'mape'])} FROM e GROUP BY 1, 2, 3"
 )
 def random_search(spark, sf):
-    """30 random trials per series, spread over the executors; choose by MAPE, refit, score."""
-    out = tuning.random_search(two_lags(spark, sf), SERIES, "ts", TWO, "value", _RANDOM)
+    """30 random trials per series on eight lags, spread over the executors; choose by MAPE, refit, score."""
+    out = tuning.random_search(lagged(spark, sf), SERIES, "ts", EIGHT, "value", _RANDOM)
     return rounded(out, 6, "validation_mape", "rmse", "mape")
 
 
+@query()
+def adaptive_search(spark, sf):
+    """30 adaptive trials per series on eight lags and ten folds, refit, score on the last fifth."""
+    return search.adaptive_search(lagged(spark, sf), SERIES, "ts", EIGHT, "value", _AXES, FOLDS, rounds=3, per_round=10, seed=20244)
+
+
+@query()
+def adaptive_trials(spark, sf):
+    """Every trial of every series' search, with the folds it saw before it was stopped."""
+    train = splits.holdout_fraction(lagged(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
+    return search.adaptive_trials(train, SERIES, "ts", EIGHT, "value", _AXES, FOLDS, rounds=3, per_round=10, seed=20244)
+
+
+@query(
+    f"WITH {_TUNED27_SQL} SELECT event_type, 30::BIGINT AS n_trials, 6::BIGINT AS n_full, true AS within_grid FROM bst"
+)
+def adaptive_search_quality(spark, sf):
+    """Trials and unstopped trials of every series, and whether the best fold score of an adaptive
+    search comes within 0.01 of the best of the full grid (or there are no folds)."""
+    train = splits.holdout_fraction(lagged(spark, sf), SERIES, "ts", 0.2).where("part = 'train'")
+    trials = search.adaptive_trials(train, SERIES, "ts", EIGHT, "value", _AXES, FOLDS, rounds=3, per_round=10, seed=20244)
+    best = trials.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_trials"), F.count_if(~F.col("stopped")).alias("n_full"), F.max(F.when(~F.col("stopped"), F.col("score"))).alias("found"))
+    grid = tuning.tune_ridge(train, SERIES, "ts", EIGHT, "value", GRID_27, FOLDS).select("event_type", "cv_score")
+    near = F.coalesce(F.col("found") >= F.col("cv_score") - 0.01, F.lit(True))
+    return join_on(best, grid, SERIES).select("event_type", "n_trials", "n_full", near.alias("within_grid"))
+
+
 # --------------------------------------------------------------------------- attribution
 
 _ATTR_SQL = (
@@ -1191,6 +1189,36 @@ def boosted_trees(spark, sf):
     return metrics.score(scored, "value", "prediction", SERIES, ["rmse", "mae", "mape"])
 
 
+def _tree_contributions(spark, sf):
+    parts = splits.holdout_last(lagged(spark, sf), SERIES, "ts", 48)
+    with kept(parts) as rows:
+        model = ensemble.fit_trees(rows.where("part = 'train'"), EIGHT, "value")
+    scored = model.transform(parts.where("part = 'test'")).select("event_type", "ts", "prediction", *EIGHT)
+    return attribution.tree_contributions(scored, model, EIGHT).drop(*EIGHT)
+
+
+@query()
+def tree_contributions(spark, sf):
+    """Shapley values of the single tree model for the last 48 hours of each series."""
+    return _tree_contributions(spark, sf)
+
+
+@query()
+def tree_feature_summary(spark, sf):
+    """Mean absolute Shapley value per series and lag."""
+    return models.mean_attribution(_tree_contributions(spark, sf), SERIES, EIGHT)
+
+
+@query(
+    f"WITH {_LAG8_SQL} SELECT event_type, least(count(*), 48)::BIGINT AS n_rows, true AS adds_up FROM l GROUP BY 1"
+)
+def tree_contributions_add_up(spark, sf):
+    """Base plus contributions is the model's prediction for every explained row."""
+    total = F.col("base") + functools.reduce(Column.__add__, [F.col(f"{f}_contribution") for f in EIGHT])
+    near = F.max(F.abs(total - F.col("prediction"))) < 1e-6
+    return _tree_contributions(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"), near.alias("adds_up"))
+
+
 @query()
 def boosted_trees_grid(spark, sf):
     """Assembler and grid search over contiguous time blocks, mean RMSE per grid point."""
