@@ -13,9 +13,14 @@ are followed to the first offset beyond it (the exit); exits lead from block to
 pointer jumping from the start of the file finds the entry of each block; the records on the
 chain from the entry are kept. Payloads that hold magic are joined again from their pieces.
 
+The reader takes archives of others, too: versions 1.0 and 1.1, header names in any case, any record
+ids (that of a page is its number, others stay whole), compressed files of one member per record
+(which Spark reads by one task a file). A record's payload is its block.
+
 Defined results: a null html is an empty payload; a null id is written as `-` and read back as
 null; repeated ids are records of their own (a revisit refers to the smallest id); an empty
-table gives no rows. An archive that is damaged is read up to the damage.
+table gives no rows; columns other than id, url and html are not read; a very long payload is one
+value in its task. An archive that is damaged is read up to the damage.
 """
 
 from __future__ import annotations
@@ -26,22 +31,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkseries.llm.shared import shared_dir, written
 
-# The format's record magic, line end and record end
+# The format's record magic (written, and the part that all versions share), line end,
+# record end, and the profile of a revisit whose payload is that of another record
 MAGIC = "WARC/1.0\r\n"
+SPLIT = "WARC/1."
+VERSIONS = (b"0\r\n", b"1\r\n")
+IDENTICAL = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 CRLF = "\r\n"
 RECORD_END = "\r\n\r\n"
 MIN_REVISIT = 100
 
 
-def records(pages: DataFrame, id_: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(value): each page's record without its end."""
+def records(pages: DataFrame, id_: str = "page_id", url: str = "url", html: str = "html", date: Column | None = None) -> DataFrame:
+    """(value): each page's record without its end. `date` is a timestamp in UTC, now if not given."""
+    date = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()) if date is None else date
     payload = F.coalesce(F.col(html), F.lit(""))
-    rows = pages.select(F.col(id_).alias("id"), F.col(url).alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col(id_).alias("id"), F.col(url).alias("url"), payload.alias("payload"), F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"))
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha2(F.col("payload").cast("binary"), 256)})
     firsts = rows.where((F.col("size") >= MIN_REVISIT) & F.col("id").isNotNull()).groupBy("digest", "size").agg(
         F.min("id").alias("low"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
@@ -53,8 +63,10 @@ def records(pages: DataFrame, id_: str = "page_id", url: str = "url", html: str
     header = F.concat(
         F.lit(MAGIC), F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response"), F.lit(CRLF),
         F.lit("WARC-Record-ID: <urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("-")), F.lit(">" + CRLF),
+        F.lit("WARC-Date: "), F.coalesce("date", F.lit("1970-01-01T00:00:00Z")), F.lit(CRLF),
         F.lit("WARC-Target-URI: "), clean, F.lit(CRLF),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("low").cast("string"), F.lit(">" + CRLF))).otherwise(""),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("low").cast("string"), F.lit(f">{CRLF}WARC-Profile: {IDENTICAL}{CRLF}")))
+        .otherwise(F.lit("Content-Type: text/html; charset=utf-8" + CRLF)),
         F.lit("WARC-Payload-Digest: sha256:"), F.col("digest"), F.lit(CRLF),
         F.lit("WARC-Payload-Length: "), F.col("size").cast("string"), F.lit(CRLF),
         F.lit("Content-Length: "), F.when(revisit, "0").otherwise(F.col("size").cast("string")), F.lit(CRLF + CRLF))
@@ -68,7 +80,7 @@ def write_archives(pages: DataFrame, path: str, **names) -> None:
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, value): what stands between record magics, in file order within a block."""
-    return spark.read.option("lineSep", MAGIC).text(path).select(
+    return spark.read.option("lineSep", SPLIT).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
 
 
@@ -78,14 +90,16 @@ HEAD = ("type", "id", "refers", "digest", "length")
 def header_of(value: bytes) -> tuple[int, int, tuple] | None:
     """(header bytes, content bytes, fields of HEAD) of a piece, None if it has no readable header."""
     end = value.find(b"\r\n\r\n")
-    if end < 0:
+    if end < 0 or not value.startswith(VERSIONS):
         return None
-    fields = dict(line.split(b": ", 1) for line in value[:end].split(b"\r\n") if b": " in line)
-    content = fields.get(b"Content-Length", b"")
+    lines = (line.split(b":", 1) for line in value[3:end].split(b"\r\n") if b":" in line)
+    fields = {name.strip().lower(): rest.strip() for name, rest in lines}
+    content = fields.get(b"content-length", b"")
     if not content.isdigit() or len(content) > 18:
         return None
     text = lambda name: fields[name].decode("utf-8", "replace") if name in fields else None
-    return end + 4, int(content), (text(b"WARC-Type"), text(b"WARC-Record-ID"), text(b"WARC-Refers-To"), text(b"WARC-Payload-Digest"), text(b"WARC-Payload-Length"))
+    names = (b"warc-type", b"warc-record-id", b"warc-refers-to", b"warc-payload-digest", b"warc-payload-length")
+    return end + 4, int(content), tuple(text(name) for name in names)
 
 
 def candidates(found: DataFrame) -> DataFrame:
@@ -113,15 +127,15 @@ def candidates(found: DataFrame) -> DataFrame:
                 value = values[i].as_py()
                 # A piece stands behind its magic, except a file's first piece.
                 head = header_of(value) if (blocks[i] or nth) else None
-                begin = at - len(MAGIC)
+                begin = at - len(SPLIT)
                 if head:
                     skip, size, fields = head
                     payload = value[skip : skip + size]
-                    rows.append((*now, nth, begin, len(value), begin + len(MAGIC) + skip + size + len(RECORD_END), skip, size,
+                    rows.append((*now, nth, begin, len(value), begin + len(SPLIT) + skip + size + len(RECORD_END), skip, size,
                                  hashlib.sha256(payload).hexdigest(), len(payload) == size, *fields))
                 else:
                     rows.append((*now, nth, begin, len(value), None, None, None, None, None, *[None] * len(HEAD)))
-                at += len(value) + len(MAGIC)
+                at += len(value) + len(SPLIT)
                 nth += 1
             yield rows_of(rows)
         if now:
@@ -140,7 +154,7 @@ def with_offsets(rows: DataFrame) -> DataFrame:
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0))).select("file", "block", "base", "total")
     out = rows.where("nth >= 0").join(bases, ["file", "block"])
-    return out.withColumns({"at": F.col("at") + F.col("base"), "next": F.col("next") + F.col("base"), "until": F.col("base") + F.col("total") - len(MAGIC)})
+    return out.withColumns({"at": F.col("at") + F.col("base"), "next": F.col("next") + F.col("base"), "until": F.col("base") + F.col("total") - len(SPLIT)})
 
 
 def exits(rows: DataFrame) -> DataFrame:
@@ -209,7 +223,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     whole = good.where("whole").select(*HEAD, F.col("size").alias("got"), "sha")
     if not split.isEmpty():
         whole = whole.unionByName(joined_pieces(found, rows, split))
-    name = lambda c: F.regexp_extract(c, r"^<urn:page:(.*)>$", 1)
+    name = lambda c: F.regexp_replace(F.regexp_replace(c, r"^<(.*)>$", "$1"), "^urn:page:", "")
     known = lambda c: F.when(~name(c).isin("", "-"), name(c))
     revisit = F.col("type") == "revisit"
     return whole.select(
@@ -243,9 +257,10 @@ def joined_pieces(found: DataFrame, rows: DataFrame, split: DataFrame) -> DataFr
     parts = texts.join(inside, ["file", "block", "nth"])
     # One record's pieces meet in one task, as its payload must to be hashed.
     ordered = F.array_sort(F.collect_list(F.struct("at", "value")))
-    body = F.aggregate(ordered, F.lit(b""), lambda acc, x: F.concat(acc, F.lit(MAGIC.encode()), x["value"]))
+    magic = SPLIT.encode().hex().upper()
+    body = F.unhex(F.concat(F.lit(magic), F.array_join(F.transform(ordered, lambda x: F.hex(x["value"])), magic)))
     whole = parts.groupBy("file", "start", "skip", "size", *HEAD).agg(body.alias("body"))
-    payload = F.substring(F.col("body"), F.col("skip").cast("int") + len(MAGIC) + 1, F.col("size").cast("int"))
+    payload = F.substring(F.col("body"), F.col("skip").cast("int") + len(SPLIT) + 1, F.col("size").cast("int"))
     return whole.withColumn("payload", payload).select(*HEAD, F.octet_length("payload").cast("long").alias("got"), F.sha2("payload", 256).alias("sha"))
 
 

@@ -361,6 +361,37 @@ def test_warc_round_trip(spark, block):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_written_records_have_the_mandatory_fields(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a", "x" * 200), (2, "http://b", "x" * 200), (3, None, None)], "page_id long, url string, html string")
+    write_archives(pages.coalesce(1), str(tmp_path / "w"), date=F.lit("2024-05-06 07:08:09").cast("timestamp_ntz"))
+    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("part*")))
+    heads = [dict(line.split(": ", 1) for line in part.split("\r\n\r\n")[0].split("\r\n") if ": " in line) for part in raw.decode().split(MAGIC)[1:]]
+    assert [h["WARC-Type"] for h in heads] == ["response", "revisit", "response"]
+    assert all(h["WARC-Date"] == "2024-05-06T07:08:09Z" and h["WARC-Record-ID"] and h["Content-Length"].isdigit() for h in heads)
+    assert heads[1]["WARC-Profile"].endswith("identical-payload-digest") and heads[1]["WARC-Refers-To"] == "<urn:page:1>"
+    assert heads[0]["Content-Type"].startswith("text/html") and "Content-Type" not in heads[1]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_archives_of_others_are_read(spark, tmp_path, packed):
+    import gzip
+
+    body = "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc" + RECORD_END
+    records = [
+        ("WARC/1.1\r\nwarc-type: warcinfo\r\nwarc-record-id: <urn:uuid:1>\r\nCONTENT-LENGTH:4\r\n\r\ninfo"),
+        (f"WARC/1.1\r\nWARC-Type:  response\r\nWARC-Record-Id: <urn:uuid:2>\r\ncontent-length: {len(body)}\r\n\r\n{body}"),
+        ("WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:uuid:3>\r\nWARC-Refers-To: <urn:uuid:2>\r\nWARC-Payload-Digest: sha1:ABC\r\nContent-Length: 0\r\n\r\n"),
+        ("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:7>\r\nContent-Length: 5\r\n\r\nhello")]
+    raw = [(r + RECORD_END).encode() for r in records]
+    folder = tmp_path / "foreign"
+    folder.mkdir()
+    (folder / ("a.warc.gz" if packed else "a.warc")).write_bytes(b"".join(map(gzip.compress, raw)) if packed else b"".join(raw))
+    got = {r.record_id: (r.record_type, r.refers_to, r.payload_bytes, r.payload_digest) for r in read_archives(spark, str(folder)).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == {"urn:uuid:1": ("warcinfo", None, 4, sha("info")), "urn:uuid:2": ("response", None, len(body), sha(body)),
+                   "urn:uuid:3": ("revisit", "urn:uuid:2", None, "sha1:ABC"), "7": ("resource", None, 5, sha("hello"))}
+
+
 def test_archives_of_no_pages(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     write_archives(empty, str(tmp_path / "none"))
