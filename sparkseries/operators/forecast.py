@@ -13,12 +13,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkseries.functions.timegrid import day_index
 from sparkseries.operators.joins import join_on
-from sparkseries.operators.splits import HORIZON_DAYS, INITIAL_DAYS, PERIOD_DAYS, cutoff_folds
+from sparkseries.operators.splits import HORIZON_DAYS, INITIAL_DAYS, PERIOD_DAYS, cutoff_folds, series_bounds
 
 # Fixed value: interval width of the additive model.
 INTERVAL_WIDTH = 0.8
@@ -43,6 +43,11 @@ def fit_trend_season(
     the mean residuals per season; sigma is the sample deviation of what remains. A series
     without spread in time gets slope 0.
     """
+    return _from_seasons(_season_sums(df, list(keys), ds, y, season), keys, season)
+
+
+def _season_sums(df: DataFrame, by: Sequence, ds: str, y: str, season: str) -> DataFrame:
+    """(by, _season, _n, _t, _y, _tt, _ty, _yy, _first, _last): means and sums around them."""
     # Rows that lack a side count for nothing. This is said in the sums and not as a filter, so
     # that the input's plan stays the same as where it is read for other purposes.
     both = F.col(ds).isNotNull() & F.col(y).isNotNull()
@@ -50,8 +55,8 @@ def fit_trend_season(
     v = F.when(both, F.col(y).cast("double"))
     # Means, and sums of products around them, so that the level of a series loses no digits.
     n = F.count(v).cast("double")
-    sums = (
-        df.groupBy(*keys, SEASONS[season](F.col(ds)).alias("_season"))
+    return (
+        df.groupBy(*by, SEASONS[season](F.col(ds)).alias("_season"))
         .agg(
             F.count(v).alias("_n"),
             F.avg(t).alias("_t"),
@@ -64,6 +69,10 @@ def fit_trend_season(
         )
         .where("_n > 0")
     )
+
+
+def _from_seasons(sums: DataFrame, keys: Sequence[str], season: str) -> DataFrame:
+    """`fit_trend_season` from the sums of its seasons."""
     total = sums.groupBy(*keys).agg(
         F.sum("_n").alias("_n"),
         # At most one entry per season.
@@ -111,6 +120,51 @@ def fit_trend_season(
     )
 
 
+def fit_trend_season_at_cutoffs(
+    df: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y", initial: int = INITIAL_DAYS, period: int = PERIOD_DAYS,
+    horizon: int = HORIZON_DAYS, season: str = "day_of_week",
+) -> DataFrame:
+    """`fit_trend_season` of each series at each of its cutoffs, on the rows up to the cutoff.
+
+    The cutoffs cut a series into segments. One aggregate gives the sums of each (segment, season); the
+    sums up to a cutoff are running sums over the segments, taken around one point per series so that its
+    level loses no digits. No row is copied, and the shuffle has one row per segment and season.
+    """
+    keys = list(keys)
+    bounds = series_bounds(df, keys, ds, y)
+    most = F.floor((F.datediff("last_ds", "first_ds") - horizon - initial) / period).cast("int")
+    bounds = bounds.select(*keys, F.col("last_ds").alias("_end"), most.alias("_most")).where("_most >= 0")
+    rows = join_on(df, bounds, keys)
+    # Cutoff j lies horizon + j * period days before the end; a row belongs to the oldest cutoff after it.
+    segment = F.least(F.floor((F.datediff("_end", F.col(ds)) - horizon) / period).cast("int"), F.col("_most"))
+    rows = rows.withColumn("_segment", segment).where(F.col("_segment") >= 0)
+    sums = _season_sums(rows, [*keys, "_segment"], ds, y, season)
+    centre = sums.groupBy(*keys).agg((F.sum(F.col("_n") * F.col("_t")) / F.sum("_n")).alias("_bt"), (F.sum(F.col("_n") * F.col("_y")) / F.sum("_n")).alias("_by"))
+    sums = join_on(sums, centre, keys)
+    n, dt, dy = F.col("_n"), F.col("_t") - F.col("_bt"), F.col("_y") - F.col("_by")
+    around = {
+        "_n": n, "_st": n * dt, "_sy": n * dy, "_stt": F.col("_tt") + n * dt * dt, "_sty": F.col("_ty") + n * dt * dy,
+        "_syy": F.col("_yy") + n * dy * dy,
+    }
+    sums = sums.select(*keys, "_season", "_segment", *[c.alias(k) for k, c in around.items()], "_first", "_last", "_bt", "_by")
+    # Every season at every cutoff, also where a segment has none of its days.
+    seasons = join_on(sums.select(*keys, "_season", "_bt", "_by").distinct(), bounds, keys)
+    grid = seasons.withColumn("_segment", F.explode(F.sequence(F.lit(0), F.col("_most"))))
+    full = join_on(grid, sums.drop("_bt", "_by"), [*keys, "_season", "_segment"], "left")
+    older = Window.partitionBy(*keys, "_season").orderBy(F.desc("_segment")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    full = full.select(
+        *keys, F.date_sub("_end", horizon + F.col("_segment") * period).alias("cutoff"), "_season", "_bt", "_by",
+        *[F.sum(k).over(older).alias(k) for k in around], F.min("_first").over(older).alias("_first"), F.max("_last").over(older).alias("_last"),
+    ).where("_n > 0")
+    st, sy = F.col("_st"), F.col("_sy")
+    back = full.select(
+        *keys, "cutoff", "_season", n.alias("_n"), (F.col("_bt") + st / n).alias("_t"), (F.col("_by") + sy / n).alias("_y"),
+        (F.col("_stt") - st * st / n).alias("_tt"), (F.col("_sty") - st * sy / n).alias("_ty"), (F.col("_syy") - sy * sy / n).alias("_yy"),
+        "_first", "_last",
+    )
+    return _from_seasons(back, [*keys, "cutoff"], season)
+
+
 def future_days(
     model: DataFrame,
     keys: Sequence[str],
@@ -201,11 +255,11 @@ def rolling_origin(
     span = dict(initial=initial, period=period, horizon=horizon, value="y")
     by = [*keys, "cutoff"]
     data = df.select(*keys, F.col(ds).alias("ds"), F.col(y).alias("y"))
-    train = cutoff_folds(data, keys, "ds", **span, roles=["train"])
     test = cutoff_folds(data, keys, "ds", **span, roles=["test"]).drop("role")
     if model == "trend_season":
-        fitted = fit_trend_season(train, by)
+        fitted = fit_trend_season_at_cutoffs(data, keys, "ds", "y", initial, period, horizon)
         return predict_trend_season(join_on(test, fitted, by), by, width, keep=["y"])
+    train = cutoff_folds(data, keys, "ds", **span, roles=["train"])
     if model == "ridge":
         from sparkseries.operators.additive import fit_additive_ridge, predict_additive_ridge
 

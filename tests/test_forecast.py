@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sparkseries.operators import forecast
+from sparkseries.operators import forecast, splits
 from sparkseries.operators.additive import design, fit_additive_ridge
 from sparkseries.plans.backtest import RunWindow, assign_runs, walk_forward, walk_forward_forecast, yearly_runs
 
@@ -104,6 +104,32 @@ def test_rolling_origin_equals_one_fit_per_cutoff(spark):
         assert len(both) == 10 and np.allclose(both.yhat, both.yhat_one) and np.allclose(both.yhat_lower, both.yhat_lower_one)
 
 
+def test_fits_at_cutoffs_equal_fits_of_copied_rows(spark):
+    """Gaps, nulls, missing weekdays, short series and a level of 1e9."""
+    rng = np.random.default_rng(14)
+    base = dt.date(2020, 1, 1)
+    rows = []
+    for k, level in (("a", 0.0), ("b", 1e9), (None, 5.0)):
+        for i in range(200):
+            if rng.random() < 0.7 and (i % 7 != 3 or i > 150):
+                rows.append((k, base + dt.timedelta(i), None if rng.random() < 0.1 else float(level + i * 0.3 + rng.normal())))
+    rows += [("short", base, 1.0), ("short", base + dt.timedelta(20), 2.0)]
+    df = spark.createDataFrame(rows, "k string, ds date, y double")
+    span = dict(initial=60, period=17, horizon=20)
+    got = {(r.k, r.cutoff): r for r in forecast.fit_trend_season_at_cutoffs(df, ["k"], **span).collect()}
+    train = splits.cutoff_folds(df, ["k"], "ds", **span, roles=["train"], value="y")
+    want = {(r.k, r.cutoff): r for r in forecast.fit_trend_season(train, ["k", "cutoff"]).collect()}
+    assert set(got) == set(want) and len(got) >= 15
+    for key, a in got.items():
+        b = want[key]
+        assert (a.n_obs, a.first_ds, a.last_ds) == (b.n_obs, b.first_ds, b.last_ds)
+        for name in ("slope", "sigma"):
+            assert a[name] == pytest.approx(b[name], rel=1e-5, abs=1e-7)
+        assert a.intercept == pytest.approx(b.intercept, rel=1e-9, abs=1e-4)
+        assert a.season_offsets.keys() == b.season_offsets.keys()
+        assert all(a.season_offsets[s] == pytest.approx(b.season_offsets[s], abs=1e-5) for s in b.season_offsets)
+
+
 def test_rolling_origin_ridge(spark):
     df = line(spark, 130)
     out = forecast.rolling_origin(df, ["k"], initial=100, period=10, horizon=10, model="ridge")

@@ -82,6 +82,32 @@ def test_rolling_horizons(spark, window):
         assert r.n_rows == len(e) and r.mae == pytest.approx(np.mean(e)) and r.mdape == 1.0
 
 
+def test_windows_from_sums_equal_windows_of_rows(spark):
+    """All measures over rolling horizons, with ties, gaps, nulls, uneven horizons and several series."""
+    rng = np.random.default_rng(5)
+    c = dt.date(2020, 1, 1)
+    rows = []
+    for k in ("a", "b", None):
+        for h in (1, 2, 3, 4, 5, 8, 9, 10, 15):
+            for _ in range(int(rng.integers(1, 40))):
+                y = float(rng.choice([0.0, 1.0, 2.0, rng.normal() * 10]))
+                p = float(y + rng.choice([0.0, 0.5, rng.normal()]))
+                rows.append((k, c, c + dt.timedelta(h), None if rng.random() < 0.05 else y, None if rng.random() < 0.05 else p, p - 0.4, p + 0.4))
+    df = spark.createDataFrame(rows, "k string, cutoff date, ds date, y double, yhat double, yhat_lower double, yhat_upper double")
+    names = [*metrics.WINDOWED, "mdape"]
+    for by in (["k"], []):
+        for window in (2, 4, 30):
+            got = metrics.score_by_horizon(df, "y", "yhat", "ds", by=by, window=window, metrics=names).collect()
+            copied = df.withColumn("horizon", F.datediff("ds", "cutoff")).withColumn("_last", F.lit(15))
+            want = metrics.score(metrics._reaching(copied, window), "y", "yhat", [*by, "horizon"], names, median="grouped").collect()
+            key = lambda r: (str(r.k) if by else "", r.horizon)
+            assert sorted(map(key, got)) == sorted(map(key, want)) and (len(got) > 0) == (window < 30)
+            for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
+                assert a.n_rows == b.n_rows
+                for m in names:
+                    assert (a[m] is None) == (b[m] is None) and (a[m] is None or a[m] == pytest.approx(b[m], rel=1e-9, abs=1e-12)), m
+
+
 def test_horizon_given_equals_horizon_found(spark):
     c = dt.date(2020, 1, 1)
     rows = [("a", c, c + dt.timedelta(h), float(h), 1.0) for h in range(1, 6)]
