@@ -4,12 +4,14 @@ A block is a run of as many consecutive words as the template has (fewer at the
 It matches a template if it holds at least `containment` of the template's distinct words.
 Template words are ordered by how often they occur in the whole corpus, rarest first; a block
 that matches must hold one of the first |T| - need + 1 of them (the prefix), so only blocks
-around such words are looked at. The length filter needs `need` words in the block, the
-positional filter needs enough template words from the found one on; what is left is counted.
-Phrases (containment 1, consecutive) are confirmed word by word afterwards.
+around such words are looked at. The length filter needs `need` words in the block. The positional
+filter takes the first prefix word in the block: before it stand at most need - 1 of the template's
+words, as the others are prefix words, so together with the template words still to come there must be
+enough; what is left is counted. Phrases (containment 1, consecutive) are confirmed word by word
+afterwards.
 
-The templates are a parameter that is shipped to the tasks, so their number is bounded by the
-caller; the corpus is read twice and never shuffled.
+The templates are a stated set, given in the code or as a table (`templates_of`), and are shipped to the
+tasks: at most `MAX_TEMPLATE_WORDS` words of them. The corpus is read twice and never shuffled.
 
 Defined results: a null or empty text has no words and no labels, score 0; repeated rows are
 scanned one by one; overlapping places all count; an empty table gives no rows.
@@ -57,6 +59,10 @@ NOTICES = (
 )
 
 
+MAX_TEMPLATE_WORDS = 1_000_000
+CELLS = 1 << 20  # words of blocks compared at once
+
+
 @dataclass
 class Pattern:
     """A template made ready: its words, their set, the number needed and the prefix words."""
@@ -111,35 +117,60 @@ def patterns(docs: DataFrame, text: str, templates: tuple[Template, ...]) -> lis
     return out
 
 
+def templates_of(table: DataFrame) -> tuple[Template, ...]:
+    """The templates of a table (label, text and, if there, phrase and containment); null texts are left out."""
+    rows = table.where(F.col("text").isNotNull()).limit(MAX_TEMPLATE_WORDS + 1).collect()
+    out = tuple(Template(r["label"], r["text"], *(r[c] for c in ("phrase", "containment") if c in table.columns)) for r in rows)
+    if sum(len(t.text.split()) for t in out) > MAX_TEMPLATE_WORDS:
+        raise ValueError(f"more than {MAX_TEMPLATE_WORDS} words of templates")
+    return out
+
+
+def candidates(w: Words, p: Pattern, positional: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(start of the blocks that pass the filters, whether a word is one of the template's)."""
+    length = len(p.words)
+    member = np.isin(w.hash, p.distinct)
+    at = np.flatnonzero(member)
+    at = at[np.isin(w.hash[at], p.prefix)]
+    if not len(at):
+        return at, member
+    around = (at[:, None] - np.arange(length)).ravel()
+    start = np.unique(around[around >= np.repeat(w.first[w.text[at]], length)])
+    end = np.minimum(start + length, w.first[w.text[start] + 1])
+    start, end = (x[end - start >= p.need] for x in (start, end))  # length filter
+    if positional and len(start):
+        first = at[np.searchsorted(at, start)]  # every block holds a prefix word
+        many = np.r_[0, np.cumsum(member)]
+        bound = np.minimum(many[first] - many[start], p.need - 1) + many[end] - many[first]
+        start = start[bound >= p.need]
+    return start, member
+
+
 def matches(w: Words, p: Pattern) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the blocks that match a pattern, and the share of its distinct words they hold."""
     length = len(p.words)
-    starts = []
-    for rank, rare in enumerate(p.prefix):
-        if len(p.distinct) - rank < p.need:  # positional filter
-            break
-        at = np.flatnonzero(w.hash == rare)
-        if len(at):
-            around = (at[:, None] - np.arange(length)).ravel()
-            owner = np.repeat(w.text[at], length)
-            starts.append(around[around >= w.first[owner]])
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0)
-    start = np.unique(np.concatenate(starts))
-    end = w.first[w.text[start] + 1]
-    start = start[np.minimum(end - start, length) >= p.need]  # length filter
+    start, member = candidates(w, p)
     if not len(start):
         return start, np.zeros(0)
-    end = w.first[w.text[start] + 1]
-    cells = start[:, None] + np.arange(length)
-    block = np.where(cells < end[:, None], w.hash[np.minimum(cells, len(w.hash) - 1)], np.uint64(0))
-    held = np.zeros(len(start), np.int64)
-    for h in p.distinct:
-        held += (block == h).any(axis=1)
-    good = held >= p.need
-    if p.template.phrase:
-        good &= (block == p.words).all(axis=1)
-    return start[good], held[good] / len(p.distinct)
+    # A word of the template counts at its first place in the block.
+    at = np.flatnonzero(member)
+    order = at[np.lexsort((at, w.hash[at]))]
+    before = np.full(len(w.hash) + 1, -1)
+    same = w.hash[order[1:]] == w.hash[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    member = np.r_[member, False]
+    good, held = [], []
+    for lo in range(0, len(start), max(1, CELLS // length)):
+        some = start[lo : lo + max(1, CELLS // length)]
+        cells = some[:, None] + np.arange(length)
+        cells = np.where(cells < w.first[w.text[some] + 1][:, None], cells, len(w.hash))
+        n = (member[cells] & (before[cells] < some[:, None])).sum(axis=1)
+        fits = n >= p.need
+        if p.template.phrase:
+            fits &= (np.r_[w.hash, np.uint64(0)][cells] == p.words).all(axis=1)
+        good.append(some[fits])
+        held.append(n[fits])
+    return np.concatenate(good), np.concatenate(held) / len(p.distinct)
 
 
 def scan(w: Words, ready: list[Pattern]):
@@ -166,14 +197,14 @@ def scan(w: Words, ready: list[Pattern]):
     return n_base, first, last, base, every, score
 
 
-def license_scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = PHRASES + NOTICES) -> DataFrame:
+def license_scan(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] | DataFrame = PHRASES + NOTICES) -> DataFrame:
     """All rows and columns of `docs` plus n_words, n_base, first_word, last_word (null without a
     place), base_labels, labels (sorted, comma-joined) and score (largest share of a template
     held, 0 without a match). Columns of the same names are replaced."""
     added = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     rest = [c for c in docs.columns if c not in added]
     rows = docs.select(*rest)
-    ready = patterns(rows, text, templates)
+    ready = patterns(rows, text, templates_of(templates) if isinstance(templates, DataFrame) else templates)
     at = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

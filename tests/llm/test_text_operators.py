@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkseries.llm.decontaminate import contaminated
 from sparkseries.llm.language import language_of
-from sparkseries.llm.licenses import NOTICES, PHRASES, license_scan, need
+from sparkseries.llm.licenses import NOTICES, PHRASES, Pattern, Template, candidates, license_scan, matches, need
 from sparkseries.llm.lines import BOILERPLATE, BOILERPLATE_LINE_WORDS, SEPARATORS, SYMBOLS, TERMINAL, cleaned
 from sparkseries.llm.lm import VOCABULARY, Weights, contexts, lm_scores, tables
 from sparkseries.llm.ranking import quality_scores, ranked_value
@@ -148,6 +148,45 @@ def test_license_scan(spark):
     assert license_scan(frame(spark, [])).count() == 0
 
 
+def test_long_templates_from_a_table(spark):
+    rng = random.Random(31)
+    pool = [f"t{i}" for i in range(400)]
+    long = [" ".join(rng.choice(pool) for _ in range(n)) for n in (300, 500)]
+    worn = lambda t, share: " ".join("other" if rng.random() < share else x for x in t.split())
+    noise = lambda n: " ".join(rng.choice(pool + ["a", "b"] * 300) for _ in range(n))
+    texts = [noise(200) + " " + worn(t, share) + " " + noise(100) for t in long for share in (0.0, 0.1, 0.15, 0.3, 0.5)] + [noise(900), ""]
+    table = spark.createDataFrame([("one", long[0], False, 0.8), ("two", long[1], False, 0.8), ("none", None, False, 0.8)], "label string, text string, phrase boolean, containment double")
+    rows = license_scan(frame(spark, texts), templates=table).orderBy("doc_id").collect()
+    for r, t in zip(rows, texts):
+        w, labels, score = alnum(t), set(), 0.0
+        for label, p in zip(("one", "two"), map(str.split, long)):
+            size = len(set(p))
+            best = max([len(set(w[i:i + len(p)]) & set(p)) for i in range(len(w))], default=0)
+            if best >= need(Template(label, ""), size):
+                labels.add(label)
+                score = max(score, best / size)
+        assert r.labels == ",".join(sorted(labels)) and abs(r.score - score) < 1e-12
+
+
+def test_positional_filter_removes_blocks_and_no_match():
+    rng = random.Random(32)
+    removed = kept = 0
+    for _ in range(40):
+        template = [f"w{i}" for i in rng.sample(range(30), 12)]
+        text = " ".join(f"w{rng.randrange(45)}" for _ in range(300))
+        w = words(next(slices(pa.array([text]))), ALNUM_LOWER)
+        hashes = words(next(slices(pa.array([" ".join(template)]))), ALNUM_LOWER).hash
+        p = Pattern(Template("x", " ".join(template), containment=0.5), hashes, hashes, 6)
+        some, every = candidates(w, p)[0], candidates(w, p, positional=False)[0]
+        removed += len(every) - len(some)
+        start, _ = matches(w, p)
+        assert set(start) <= set(some) <= set(every)
+        want = [i for i in range(300) if len(set(text.split()[i:i + 12]) & set(template)) >= 6]
+        kept += len(want)
+        assert start.tolist() == want
+    assert removed > 1000 and kept > 50
+
+
 # ------------------------------------------------------------------ decontamination
 
 
@@ -165,6 +204,27 @@ def hit(text, items, width):
     return len(w), len(inside), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(inside)
 
 
+def test_shipped_and_joined_windows_give_the_same_rows(spark):
+    texts = ODD + random_texts(6, 60, 12) + [" ".join(["the the the the"] * 40)]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(random_texts(7, 12, 12) + ["the the the the", "a", None, "w1"])], "item_id long, text string")
+    docs = frame(spark, texts + texts[-3:], "hits").repartition(3)
+    rows = [sorted(map(str, contaminated(docs, bench, width=4, block_windows=n).collect())) for n in (200_000, 1)]
+    assert rows[0] == rows[1] and sum("contaminated=True" in r for r in rows[0]) > 10
+
+
+def test_joined_windows_read_the_documents_twice(spark, tmp_path, monkeypatch):
+    from sparkseries.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 1 << 16)
+    frame(spark, random_texts(8, 200)).write.parquet(str(tmp_path / "d"))
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(random_texts(9, 30))], "item_id long, text string")
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    out = contaminated(docs, bench, width=4, block_windows=10)
+    assert out.where("contaminated").count() > 0 and out.count() == 200
+    # What is left to run reads the documents once more, however many windows there are.
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet [doc_id") <= 1
+
+
 @pytest.mark.parametrize("block_windows", [200_000, 7])
 def test_decontamination(spark, block_windows):
     texts = ODD + random_texts(4, 30, vocabulary=4)
