@@ -10,11 +10,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sparkseries.llm import lm
 from sparkseries.llm.decontaminate import contaminated
 from sparkseries.llm.language import language_of
 from sparkseries.llm.licenses import NOTICES, PHRASES, Pattern, Template, candidates, license_scan, matches, need
 from sparkseries.llm.lines import BOILERPLATE, BOILERPLATE_LINE_WORDS, SEPARATORS, SYMBOLS, TERMINAL, cleaned
-from sparkseries.llm.lm import VOCABULARY, Weights, contexts, lm_scores, tables
+from sparkseries.llm.lm import lm_scores
 from sparkseries.llm.ranking import quality_scores, ranked_value
 from sparkseries.llm.words import ALNUM_LOWER, SPACED, SPACED_LOWER, grams, slices, words
 
@@ -276,16 +277,57 @@ def test_lm_counts_and_normalisation(spark):
         assert r.score < 0
 
 
-def test_lm_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    w = Weights(*[rng.normal(0, 1, (VOCABULARY, 8)).astype(np.float32) for _ in range(3)], rng.normal(0, 1, VOCABULARY).astype(np.float32))
-    t = tables(w)
-    every = np.arange(VOCABULARY)
-    for one, two in ((0, 5), (511, 510)):
-        p = np.exp(t.log_prob(np.full(VOCABULARY, one), np.full(VOCABULARY, two), every))
-        assert p.sum() == pytest.approx(1, abs=1e-4)
-    one, two = contexts(np.array([1, 2, 510, 7, 510]), np.array([0, 3, 5]))
-    assert one.tolist() == [510, 1, 2, 510, 7] and two.tolist() == [510, 510, 1, 510, 510]
+def random_weights(n, seed=0):
+    rng = np.random.default_rng(seed)
+    make = lambda *shape: rng.normal(0, 1, shape).astype(np.float32)
+    classes = -(-n // lm.class_width(n))
+    return lm.Weights(make(n, lm.DIM), make(2, lm.DIM), make(n, lm.DIM), make(n), make(classes, lm.DIM), make(classes))
+
+
+@pytest.mark.parametrize("n", [2, 3, 50, 400])
+def test_lm_probabilities_sum_to_one(n, monkeypatch):
+    monkeypatch.setattr(lm, "CONTEXTS", 7)
+    w = random_weights(n)
+    for one, two in ((0, 1), (n - 1, 0), (1, n // 2)):
+        p = np.exp(w.log_prob(np.full(n, one), np.full(n, two), np.arange(n)))
+        assert p.sum() == pytest.approx(1, abs=1e-4) and (p > 0).all()
+    rng = np.random.default_rng(1)
+    many = rng.integers(0, n, (3, 300))
+    single = [w.log_prob(*(np.array([x]) for x in t))[0] for t in many.T]
+    assert np.allclose(w.log_prob(*many), single, atol=1e-4)
+
+
+def test_lm_score_of_a_text_by_hand(spark):
+    """One text's score from the model's weights, word by word, with rare and unknown words."""
+    texts = random_texts(40, 60, 20) + ["w1 w2 once w3 never", "", None]
+    docs = frame(spark, texts)
+    train_on = F.col("doc_id") < 60
+    out = {r.doc_id: r for r in lm_scores(docs, train_on).collect()}
+    counts = Counter()
+    for t in texts[:60]:
+        counts.update((t or "").translate(LOWER).split() + ["</s>"])
+    # The same weights, as training is the same for the same texts.
+    lex, _ = lm.lexicon(lm.word_counts(docs.where(train_on), "text"))
+    w = lm.train(docs.where(train_on), "text", lex)
+    kept = [t for t, n in counts.items() if n >= lm.MIN_COUNT and t != "</s>"]
+    hashes = {t: int(words(next(slices(pa.array([t]))), SPACED_LOWER).hash[0]) for t in counts}
+    number = {t: int(lex.look_up(np.array([hashes[t]], np.uint64))[1][0]) for t in kept} | {"</s>": lm.STOP}
+    assert sorted(number.values()) == list(range(1, len(kept) + 2)) and lex.size == len(kept) + 2
+    rest = {t: n for t, n in counts.items() if t not in number}
+    for i in (0, 7, 60, 61, 62):
+        tokens, total, before = (texts[i] or "").translate(LOWER).split() + ["</s>"], 0.0, [lm.STOP, lm.STOP]
+        for t in tokens:
+            word = number.get(t, lm.OTHER)
+            q = w.context[before[-1]] * w.place[0] + w.context[before[-2]] * w.place[1]
+            s = w.group @ q + w.group_bias
+            c = word // w.width
+            total += s[c] - np.log(np.exp(s).sum())
+            s = w.word[c * w.width:(c + 1) * w.width] @ q + w.word_bias[c * w.width:(c + 1) * w.width]
+            total += s[word - c * w.width] - np.log(np.exp(s).sum())
+            if word == lm.OTHER:
+                total += np.log((rest.get(t, 0) + 0.1) / (sum(rest.values()) + 0.1 * (len(rest) + 1)))
+            before.append(word)
+        assert out[i].score == pytest.approx(total / np.log(10), rel=1e-4)
 
 
 def test_lm_learns_order(spark):
