@@ -4,6 +4,9 @@ Each round every node points to its smallest neighbour, pointers are doubled unt
 roots, and edges are moved to the roots; edges inside one root vanish. Pointers only lead to
 smaller ids, so there are no cycles. Hubs are aggregated before the shuffle. Every table of a
 round is written to the shared folder; only row counts reach the driver.
+
+Defined results: repeated edges count once, an edge from a node to itself is none; only the columns a and b are
+read; no edges give no rows.
 """
 
 from __future__ import annotations

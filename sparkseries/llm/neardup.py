@@ -16,11 +16,13 @@ minhashes each cost only 2 * half_keys * rows minhash functions.
    pair that shares a bucket is left out, and a group of copies costs about its size.
 
 A pair at exactly the threshold shares no table with probability at most `miss`; more similar
-pairs are missed more rarely. Every link is confirmed on full sets.
+pairs are missed more rarely. Every link between classes is confirmed on full sets; texts are of one
+class if the number of their shingles and two 64-bit sums over all of them are equal.
 
 Defined results: a text with fewer words than a shingle is one shingle; a null or empty text has
 an empty set and is linked with nothing; a null id is never linked and has a null component;
-rows of one id are one document; an empty table gives no rows.
+rows of one id are one document; a very long text counts whole, its set in one task; columns other than id
+and text are not read, so their names do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
