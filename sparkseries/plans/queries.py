@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkseries.functions.text import parse_timestamp, to_number
 from sparkseries.functions.timegrid import bucket
-from sparkseries.operators import attribution, clean, ensemble, features, forecast, metrics, models, quality, search, splits, synth, tuning
+from sparkseries.operators import attribution, clean, ensemble, features, forecast, metrics, models, quality, search, smoothing, splits, synth, tuning
 from sparkseries.operators.joins import join_on
 from sparkseries.operators.resample import resample
 from sparkseries.plans import backtest, layers, reports
@@ -638,6 +638,21 @@ def additive_ridge_known_series(spark, sf):
     )
 
 
+@query(
+    "WITH " + DAILY_SQL + ", x AS (SELECT ds, y, CAST(date_diff('day', DATE '1970-01-01', ds) AS DOUBLE) AS t FROM d),"
+    " r AS (SELECT *, row_number() OVER (ORDER BY t, y) AS rn FROM x),"
+    " n AS (SELECT a.rn, a.ds, a.t AS t0, b.t, b.y, abs(b.t - a.t) AS dist FROM r a JOIN r b ON b.rn BETWEEN a.rn - 29 AND a.rn + 29"
+    " QUALIFY row_number() OVER (PARTITION BY a.rn ORDER BY abs(b.t - a.t), b.t, b.y) <= 30),"
+    " w AS (SELECT *, pow(1 - pow(dist / max(dist) OVER (PARTITION BY rn), 3), 3) AS w FROM n),"
+    " m AS (SELECT rn, ds, t0, sum(w * t) / sum(w) AS mt, sum(w * y) / sum(w) AS my FROM w GROUP BY 1, 2, 3)"
+    " SELECT m.ds, round(any_value(my) + sum(w * (t - mt) * (y - my)) / sum(w * (t - mt) * (t - mt)) * any_value(m.t0 - mt), 3) + 0.0 AS smooth"
+    " FROM w JOIN m USING (rn) GROUP BY m.rn, m.ds"
+)
+def smoothed_series(spark, sf):
+    """Locally weighted line through the 30 nearest days of each day."""
+    return rounded(smoothing.local_regression(daily(spark, sf), [], "ds", "y", 30), 3, "smooth").select("ds", "smooth")
+
+
 _CV_SQL = (
     DAILY_SQL + ", " + CUTOFF_SQL
     + ", tr AS (SELECT d.series, cutoff, ds, y FROM d JOIN c ON d.series = c.series AND ds <= cutoff), "
