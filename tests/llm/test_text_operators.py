@@ -280,8 +280,9 @@ def test_lm_counts_and_normalisation(spark):
 def random_weights(n, seed=0):
     rng = np.random.default_rng(seed)
     make = lambda *shape: rng.normal(0, 1, shape).astype(np.float32)
-    classes = -(-n // lm.class_width(n))
-    return lm.Weights(make(n, lm.DIM), make(2, lm.DIM), make(n, lm.DIM), make(n), make(classes, lm.DIM), make(classes))
+    width = lm.level_width(n)
+    levels = [n, -(-n // width), -(-(-(-n // width)) // width)]
+    return lm.Weights(make(n, lm.DIM), make(2, lm.DIM), *(x for size in levels for x in (make(size, lm.DIM), make(size))))
 
 
 @pytest.mark.parametrize("n", [2, 3, 50, 400])
@@ -319,11 +320,12 @@ def test_lm_score_of_a_text_by_hand(spark):
         for t in tokens:
             word = number.get(t, lm.OTHER)
             q = w.context[before[-1]] * w.place[0] + w.context[before[-2]] * w.place[1]
-            s = w.group @ q + w.group_bias
             c = word // w.width
-            total += s[c] - np.log(np.exp(s).sum())
-            s = w.word[c * w.width:(c + 1) * w.width] @ q + w.word_bias[c * w.width:(c + 1) * w.width]
-            total += s[word - c * w.width] - np.log(np.exp(s).sum())
+            levels = [(w.section, w.section_bias, 0, c // w.width), (w.group, w.group_bias, c // w.width, c), (w.word, w.word_bias, c, word)]
+            for k, (vectors, biases, block, target) in enumerate(levels):
+                part = slice(None) if k == 0 else slice(block * w.width, (block + 1) * w.width)
+                s = vectors[part] @ q + biases[part]
+                total += s[target - (part.start or 0)] - np.log(np.exp(s).sum())
             if word == lm.OTHER:
                 total += np.log((rest.get(t, 0) + 0.1) / (sum(rest.values()) + 0.1 * (len(rest) + 1)))
             before.append(word)
