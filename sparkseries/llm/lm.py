@@ -4,8 +4,8 @@ The model predicts the next word from the two words before it: their vectors, we
 are summed and matched with a vector and a bias of each of three levels: sections, classes of a section,
 words of a class, of alike frequency and about the cube root of the words each. The product of a softmax
 on each level is the probability of the word. It is trained in numpy by noise-contrastive estimation on
-each level. The training texts are dealt over tasks, each task learns from every `EVERY`-th of the
-shuffled batches of its share's tokens, and the weights are averaged.
+each level. The training texts are dealt over tasks of about `SHARE_TOKENS` tokens, each task learns once from all
+tokens of its share, in the same number of slices whatever the size of the input, and the weights are averaged.
 
 The model's words are those that the training texts have at least `MIN_COUNT` times, at most
 `MAX_WORDS` (the most frequent), and one member for all others; so its tables grow with the
@@ -44,8 +44,10 @@ OTHER, STOP = 0, 1  # model numbers of all other words, and of the end token
 DIM = 16
 HEAD = 300_000
 SHARE_TOKENS = 10_000_000
-EVERY = 8
 CONTEXTS = 1024  # rows of a matrix product
+STEPS = 32  # slices of a share
+RATE, SCALE = 0.15, 1 / 8  # of the steps; weight of a token
+PORTION = 1024  # weights that travel together
 FLUSH = 2_000_000
 END = mix(np.array([0x5E17], np.uint64))[0]
 
@@ -173,27 +175,60 @@ class Weights(NamedTuple):
 
     def log_prob(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Log probabilities of words after contexts."""
-        pair, where = np.unique(two * np.int64(len(self.word_bias)) + one, return_inverse=True)
-        one, two = pair % len(self.word_bias), pair // len(self.word_bias)
-        q = self.context[one] * self.place[0] + self.context[two] * self.place[1]
-        out = np.zeros(len(word))
-        below = word
-        for vectors, biases in ((self.word, self.word_bias), (self.group, self.group_bias), (self.section, self.section_bias)):
-            block = below // self.width if vectors is not self.section else np.zeros(len(below), np.int64)
-            size = self.width if vectors is not self.section else len(biases)
-            order = np.argsort(block, kind="stable")
-            edge = np.searchsorted(block[order], np.arange(block.max(initial=0) + 2))
-            for c in np.flatnonzero(np.diff(edge)):
-                v, bias = vectors[c * size : (c + 1) * size].T, biases[c * size : (c + 1) * size]
-                for lo in range(edge[c], edge[c + 1], CONTEXTS):
-                    some = order[lo : min(lo + CONTEXTS, edge[c + 1])]
-                    s = q[where[some]] @ v + bias
-                    top = s.max(axis=1)
-                    out[some] += s[np.arange(len(some)), below[some] - c * size] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
-            below = block
+        order = by_class(word, self.width)
+        one, two, below = one[order], two[order], word[order]
+        q = mixed(self.context, self.place, one, two)
+        picked, total, found = np.empty(len(word), np.float32), np.empty(len(word), np.float32), np.zeros(len(word))
+        ones = np.ones(max(self.width, len(self.section_bias)), np.float32)
+        for vectors, biases, width in (
+                (self.word, self.word_bias, self.width), (self.group, self.group_bias, self.width),
+                (self.section, self.section_bias, len(self.section_bias))):
+            table = np.concatenate([vectors, biases[:, None]], axis=1)
+            for c, begin, end in blocks(below, width):
+                members = np.ascontiguousarray(table[c * width : (c + 1) * width].T)
+                for lo in range(begin, end, CONTEXTS):
+                    at = slice(lo, min(lo + CONTEXTS, end))
+                    s = q[at] @ members
+                    own = s.ravel()[at_member(below[at], width, s)]
+                    if s.max() > 60 or own.min() < -60:  # else no exponential leaves its range
+                        top = s.max(axis=1)
+                        s -= top[:, None]
+                        own -= top
+                    picked[at] = own
+                    total[at] = np.exp(s, out=s) @ ones[: s.shape[1]]
+            found += picked - np.log(total)
+            below = below // width
+        out = np.empty(len(word))
+        out[order] = found
         return out
 
 
+def by_class(word: np.ndarray, width: int) -> np.ndarray:
+    """An order in which the words of each class, and the classes of each section, lie together."""
+    own = word // width
+    return np.argsort(own.astype(np.uint16) if own.max(initial=0) < 1 << 16 else own, kind="stable")
+
+
+def blocks(members: np.ndarray, width: int) -> Iterator[tuple[int, int, int]]:
+    """(block, begin, end) of the runs of members of one block of `width`."""
+    own = members // width
+    edge = np.r_[0, np.flatnonzero(np.diff(own)) + 1, len(own)]
+    return zip(own[edge[:-1]].tolist(), edge[:-1].tolist(), edge[1:].tolist()) if len(own) else iter(())
+
+
+def at_member(members: np.ndarray, width: int, table: np.ndarray) -> np.ndarray:
+    """Places of the rows' own members in the flat `table` (tokens x members of their block)."""
+    return np.arange(len(members)) * table.shape[1] + members % width
+
+
+def mixed(context: np.ndarray, place: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The vectors of contexts, with a one for the biases."""
+    q = np.ones((len(one), DIM + 1), np.float32)
+    np.multiply(context[one], place[0], out=q[:, :DIM])
+    q[:, :DIM] += context[two] * place[1]
+    return q
+
+
 def level_width(size: int) -> int:
     width = max(1, round(size ** (1 / 3)))
     return width if width**3 >= size else width + 1
@@ -223,67 +258,75 @@ def start_weights(unigram: np.ndarray, seed: int = 3) -> Weights:
 
 
 class Trainer:
-    """Noise-contrastive estimation on batches of tokens, with AdaGrad steps."""
-
-    def __init__(self, weights: Weights, unigram: np.ndarray, seed: int, rate: float = 0.15, noise: tuple[int, int, int] = (3, 3, 3)):
-        self.w = [x.copy() for x in weights]
-        self.seen = [np.full(x.shape, 1e-3, np.float32) for x in weights]
-        self.rng = np.random.default_rng(seed)
-        self.rate, self.noise, self.width = rate, noise, weights.width
-        self.shares = level_shares(unigram, self.width)
-        self.reach = [np.cumsum(x) for x in self.shares]
-        self.logs = inner_logs(self.shares, self.width)
-
-    def step(self, k: int, rows: np.ndarray | None, grad: np.ndarray) -> None:
-        """A step on the given rows of the k-th weights (all rows if None), gradients of one row summed."""
-        if rows is not None:
-            order = np.argsort(rows, kind="stable")
-            rows, first = np.unique(rows[order], return_index=True)
-            grad = np.add.reduceat(grad[order], first, axis=0)
-        at = slice(None) if rows is None else rows
-        self.seen[k][at] += grad * grad
-        self.w[k][at] -= self.rate * grad / np.sqrt(self.seen[k][at])
+    """Noise-contrastive estimation with AdaGrad steps, one per slice of tokens.
+
+    The noise of a token is uniform over its block on each level (its class, its section, the sections), and each
+    member is drawn once, so that a block's tokens need one matrix product and the optimum of a score is the
+    log probability itself."""
+
+    def __init__(self, weights: Weights, rate: float = RATE, scale: float = SCALE):
+        self.context, self.place = weights.context.copy(), weights.place.copy()
+        self.levels = [np.concatenate([v, b[:, None]], axis=1) for v, b in zip(weights[2::2], weights[3::2])]
+        self.seen = [np.full(x.shape, 1e-3, np.float32) for x in (self.context, self.place, *self.levels)]
+        self.rate, self.scale, self.width = np.float32(rate), np.float32(scale), weights.width
+
+    @property
+    def weights(self) -> Weights:
+        return Weights(self.context, self.place, *(x for t in self.levels for x in (t[:, :DIM], t[:, DIM])))
+
+    def step(self, x: np.ndarray, seen: np.ndarray, grad: np.ndarray) -> None:
+        """A step on the weights `x`."""
+        seen += grad * grad
+        grad *= self.rate
+        x -= grad / np.sqrt(seen)
 
     def learn(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> None:
-        context, place = self.w[:2]
-        n, scale = len(word), np.float32(32.0 / len(word))
-        a, b = context[one], context[two]
-        q = a * place[0] + b * place[1]
+        order = by_class(word, self.width)
+        one, two, own = one[order], two[order], word[order]
+        q = mixed(self.context, self.place, one, two)
         g_q = np.zeros_like(q)
-        steps = []
-        own = word
-        for level, k in enumerate(self.noise):
-            vectors, biases = self.w[2 + 2 * level], self.w[3 + 2 * level]
-            # Noise from the shares of the others in the same class or section.
-            reach, size = self.reach[level], len(biases)
-            block = own // self.width if level < 2 else np.zeros(n, np.int64)
-            begin, end = (block * self.width, np.minimum((block + 1) * self.width, size)) if level < 2 else (block, block + size)
-            low = np.where(begin > 0, reach[begin - 1], 0.0)
-            u = low[:, None] + self.rng.random((n, k)) * (reach[end - 1] - low)[:, None]
-            drawn = np.clip(np.searchsorted(reach, u.ravel(), side="right").reshape(n, k), begin[:, None], end[:, None] - 1)
-            tried = np.concatenate([own[:, None], drawn], axis=1)
-            v = vectors[tried]
-            g = _sigmoid(np.einsum("nd,nkd->nk", q, v) + biases[tried] - np.float32(np.log(k)) - self.logs[level][tried])
-            g[:, 0] -= 1
-            g_q += np.einsum("nk,nkd->nd", g, v)
-            g *= scale
-            steps.append((2 + 2 * level, tried.ravel(), (g[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1]), g.ravel()))
-            own = block
-        for k, rows, g_vectors, g_biases in steps:
-            self.step(k, rows, g_vectors)
-            self.step(k + 1, rows, g_biases)
-        g_q *= scale
-        self.step(0, np.r_[one, two], np.concatenate([g_q * place[0], g_q * place[1]]))
-        self.step(1, None, np.stack([(g_q * a).sum(axis=0), (g_q * b).sum(axis=0)]))
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return (1 / (1 + np.exp(-np.clip(x, -30, 30)))).astype(np.float32)
-
-
-def train(docs: DataFrame, text: str, lex: Lexicon, least_steps: int = 250, batch: int = 4096) -> Weights:
-    """The average of the weights that the shares of the texts come to, each learning from every `EVERY`-th
-    batch of its shuffled tokens (all of them, several times, where these make less than `least_steps`)."""
+        start = np.arange(CONTEXTS)
+        with np.errstate(over="ignore"):
+            for table, seen in zip(self.levels, self.seen[2:]):
+                width = self.width if table is not self.levels[-1] else len(table)
+                member = own % width
+                for c, begin, end in blocks(own, width):
+                    rows = slice(c * width, (c + 1) * width)
+                    members = table[rows]
+                    against = -members.T
+                    grad = 0
+                    for lo in range(begin, end, CONTEXTS):
+                        at = slice(lo, min(lo + CONTEXTS, end))
+                        q_at = q[at]
+                        g = q_at @ against
+                        np.exp(g, out=g)
+                        g += 1
+                        np.reciprocal(g, out=g)  # the probability that a member is data, not noise
+                        flat, true = g.reshape(-1), start[: len(g)] * len(members) + member[at]
+                        flat[true] = 2 * flat[true] - 1
+                        grad = grad + g.T @ q_at
+                        g_q[at] += g @ members
+                    grad *= self.scale
+                    self.step(members, seen[rows], grad)
+                own = own // width
+        self.learn_contexts(one, two, g_q)
+
+    def learn_contexts(self, one: np.ndarray, two: np.ndarray, g_q: np.ndarray) -> None:
+        met = np.zeros(len(self.context), bool)
+        met[one] = met[two] = True
+        rows, number = np.flatnonzero(met), np.cumsum(met) - 1
+        by_dim = np.ascontiguousarray(g_q[:, :DIM].T) * self.scale
+        sums = [np.array([np.bincount(x, g, len(rows)) for g in by_dim], np.float32).T for x in (number[one], number[two])]
+        context, seen = self.context[rows], self.seen[0][rows]
+        places = np.stack([(g * context).sum(axis=0) for g in sums])
+        self.step(context, seen, sums[0] * self.place[0] + sums[1] * self.place[1])
+        self.context[rows], self.seen[0][rows] = context, seen
+        self.step(self.place, self.seen[1], places)
+
+
+def train(docs: DataFrame, text: str, lex: Lexicon) -> Weights:
+    """The average of the weights that the shares of the texts come to, each learning once from all of its
+    tokens, in slices of a `STEPS`-th of the average share."""
     unigram = lex.unigram()
     weights = start_weights(unigram)
     if not lex.total:
@@ -291,51 +334,66 @@ def train(docs: DataFrame, text: str, lex: Lexicon, least_steps: int = 250, batc
     model = lex.ids != OTHER
     small = Lexicon(lex.keys[model], lex.counts[model], lex.ids[model], 0, 0, 0, 0, lex.size)
     shares = max(1, round(lex.total / SHARE_TOKENS))
-    per_share = max(lex.total // shares, 1)
-    every = EVERY if per_share >= EVERY * least_steps * batch else 1
-    passes = max(1, int(np.ceil(least_steps * batch / per_share)))
+    step = -(-lex.total // (shares * STEPS))
     sizes, total = [x.size for x in weights], lex.total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, n = None, 0
+        trainer, n = Trainer(weights), 0
+        held, size = [], 0
 
-        def teach(held: list[tuple[np.ndarray, ...]]) -> None:
-            one, two, word = (np.concatenate(x) for x in zip(*held))
-            for _ in range(passes):
-                order = trainer.rng.permutation(len(word))
-                size = batch if len(word) >= 8 * batch else max(32, len(word) // 8)
-                for at in range(0, len(order), size * every):
-                    some = order[at : at + size]
-                    trainer.learn(one[some], two[some], word[some])
+        def teach(least: int) -> None:
+            """Learn from the held tokens, but for a rest of less than `least`."""
+            nonlocal held, size
+            parts = [np.concatenate(x) for x in zip(*held)]
+            at = 0
+            while size - at >= least:
+                trainer.learn(*(x[at : at + step] for x in parts))
+                at += step
+            held, size = [tuple(x[at:] for x in parts)], max(size - at, 0)
 
-        held, size = [], 0
         for b in batches:
             for part in slices(b.column(0)):
                 h, first = tokens(part)
                 ids = small.look_up(h)[1]
-                trainer = trainer or Trainer(weights, unigram, seed=len(h))
                 held.append((*contexts(ids, first), ids))
                 size += len(ids)
                 n += len(ids)
-                if size >= 40 * batch:  # about a slice
-                    teach(held)
-                    held, size = [], 0
-        if held:
-            teach(held)
+                if size >= step:
+                    teach(step)
+        if size:
+            teach(1)
         if n:  # weighted by the share's tokens
-            flat = np.concatenate([x.ravel() for x in trainer.w]) * np.float32(n / total)
-            for lo in range(0, len(flat), 1 << 16):
-                part = flat[lo : lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(lo, lo + len(part)), pa.int32()), pa.array(part, pa.float32())], ["i", "v"])
-
-    dealt = docs.select(text).coalesce(shares)
-    sums = dealt.mapInArrow(run, "i int, v float").groupBy("i").agg(F.sum("v").cast("float").alias("v")).toArrow()
-    flat = np.zeros(sum(sizes), np.float32)
-    flat[sums.column("i").to_numpy()] = sums.column("v").to_numpy()
+            flat = np.concatenate([x.ravel() for x in trainer.weights]) * np.float32(n / total)
+            yield from portions(np.split(flat, range(PORTION, len(flat), PORTION)))
+
+    dealt = docs.select(text).coalesce(shares).mapInArrow(run, "i int, v binary")
+    sums = dealt.repartition("i").mapInArrow(added, "i int, v binary").orderBy("i").toArrow()
+    flat = np.frombuffer(b"".join(sums.column("v").to_pylist()), np.float32)
     parts = np.split(flat, np.cumsum(sizes)[:-1])
     return Weights(*[p.reshape(x.shape) for p, x in zip(parts, weights)])
 
 
+def portions(values: list[np.ndarray], numbers: list[int] | None = None) -> Iterator[pa.RecordBatch]:
+    """Numbered portions of weights, a few hundred a batch."""
+    numbers = list(range(len(values))) if numbers is None else numbers
+    for lo in range(0, len(values), 256):
+        packed = [v.astype(np.float32).tobytes() for v in values[lo : lo + 256]]
+        yield pa.RecordBatch.from_arrays([pa.array(numbers[lo : lo + 256], pa.int32()), pa.array(packed, pa.binary())], ["i", "v"])
+
+
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of the portions of one number."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            v = np.frombuffer(packed.as_buffer(), np.float32)
+            if i in sums:
+                sums[i] += v
+            else:
+                sums[i] = v.astype(np.float64)
+    yield from portions(list(sums.values()), list(sums))
+
+
 def scored(docs: DataFrame, text: str, lex: Lexicon, model: Weights) -> DataFrame:
     """All rows and columns plus _n, _known, _base, _model (without the rarer words) and _rare
     (hashes of the words that are not among the frequent ones)."""

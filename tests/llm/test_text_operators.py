@@ -343,6 +343,44 @@ def test_lm_learns_order(spark):
     assert sum(r.score for r in rows) > 0.8 * sum(r.base_score for r in rows)
 
 
+@pytest.mark.parametrize("total", [None, 10_000_000])
+def test_lm_learns_once_from_every_token(total, monkeypatch):
+    """Whatever the size of the input, a task learns once from each token of its share."""
+    column = pa.array(random_texts(17, 400))
+    ids = [lm.tokens(part) for part in slices(column)]
+    keys, counts = np.unique(np.concatenate([h for h, _ in ids]), return_counts=True)
+    lex = lm.Lexicon(keys, counts, np.where(keys == lm.END, lm.STOP, np.cumsum(keys != lm.END) + 1),
+                     total or int(counts.sum()), len(keys), 0, 0, len(keys) + 1)
+    wanted = Counter()
+    for h, first in ids:
+        own = lex.look_up(h)[1]
+        wanted.update(zip(*(x.tolist() for x in (*lm.contexts(own, first), own))))
+    learned = Counter()
+
+    class Noted(lm.Trainer):
+        def learn(self, one, two, word):
+            learned.update(zip(one.tolist(), two.tolist(), word.tolist()))
+            super().learn(one, two, word)
+
+    class Rows:
+        """Runs the training function of the first step on the texts, then stops."""
+
+        def select(self, *_):
+            return self
+
+        coalesce = select
+
+        def mapInArrow(self, run, _):
+            rows = [pa.RecordBatch.from_arrays([column.slice(at, 150)], ["text"]) for at in range(0, len(column), 150)]
+            list(run(iter(rows)))
+            raise StopIteration
+
+    monkeypatch.setattr(lm, "Trainer", Noted)
+    with pytest.raises(StopIteration):
+        lm.train(Rows(), "text", lex)
+    assert learned == wanted
+
+
 def test_lm_without_training_rows(spark):
     rows = lm_scores(frame(spark, ["a b", None], "x"), F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in rows)
